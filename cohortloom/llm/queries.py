@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, licenses, repetition, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,27 @@ def op1_toxicity(spark, sf_dir):
     return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_secrets(spark, sf_dir):
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:long,kind:int,end:long,wider:boolean,h:long,n_owners:long,n_repos:long,live:boolean>>"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source").select("doc_id", spans.alias("spans"))
+    base = F.filter("spans", lambda x: ~x["wider"])
+    named = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", secrets.kind_name(x["kind"]), x["start"], x["end"])), ",")
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(("assign", "access", "hex"))), F.sha2(named(base), 256).alias("base_sha256"), named("spans").alias("spans"), F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live"))
+
+
+def op5_repetition(spark, sf_dir):
+    found = repetition.rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & ~F.col("repetitive")).drop("repetitive")
+
+
+def op7_licenses(spark, sf_dir):
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 def op8_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(_fold(4) != 2))
@@ -34,6 +55,9 @@ def op8_language(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_secrets": op2_secrets,
+    "op5_repetition": op5_repetition,
+    "op7_licenses": op7_licenses,
     "op8_language": op8_language,
 }
 
