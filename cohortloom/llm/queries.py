@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, repetition, secrets, toxicity
+from . import decontaminate, langid, licenses, mixing, repetition, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,14 @@ def op2_secrets(spark, sf_dir):
     return found.select("doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(("assign", "access", "hex"))), F.sha2(named(base), 256).alias("base_sha256"), named("spans").alias("spans"), F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live"))
 
 
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_repetition(spark, sf_dir):
     found = repetition.rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -56,6 +64,8 @@ def op8_language(spark, sf_dir):
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_mixing": op4_mixing,
     "op5_repetition": op5_repetition,
     "op7_licenses": op7_licenses,
     "op8_language": op8_language,
