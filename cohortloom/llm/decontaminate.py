@@ -12,7 +12,7 @@ Items come to the tasks in blocks of at most ``BLOCK_ITEMS`` items and
 broadcast has a bound whatever the benchmark's size. A passage that a third of
 all documents hold costs each of them one alignment; nothing is grouped by it.
 
-Words are runs of ASCII letters, digits and characters outside ASCII, A-Z
+Words are runs of ASCII letters, digits and characters outside ASCII,
 lower-cased. Null and empty texts match nothing, nor do items of fewer than n
 words, which can't be told from chance. Copies of an item match alike. Tables
 without rows give no pairs.
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ class Block:
 
 
 def _hashes(column):
-    data, offsets = text_bytes(column)
+    data, offsets = text_bytes(pc.utf8_lower(column))
     start, end, first = word_spans(data, offsets, ALNUM)
     return Spans(data).hashes(start, end), first
 

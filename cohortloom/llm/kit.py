@@ -13,7 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 1 << 21
@@ -132,6 +133,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tupl
     return start, end, np.searchsorted(start, offsets)
 
 
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each line, and each row's first line."""
+    breaks = np.flatnonzero(data == 10)
+    row = np.searchsorted(offsets, breaks, "right") - 1
+    start = np.concatenate([offsets[:-1], breaks + 1])
+    end = np.concatenate([breaks, offsets[1:]])
+    of = np.concatenate([np.arange(len(offsets) - 1), row])
+    by = np.lexsort((start, of))
+    last = np.concatenate([row, np.arange(len(offsets) - 1)])
+    ends = end[np.lexsort((end, last))]
+    return start[by], ends, np.searchsorted(of[by], np.arange(len(offsets)))
+
+
 def hash_words(words: list[str]) -> np.ndarray:
     """The hashes that Spans gives the same (lower-cased) words."""
     column = pa.array(words, type=pa.string())
@@ -179,3 +193,41 @@ def lookup(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def pack(values: np.ndarray, delta: bool = True) -> bytes:
+    """64-bit integers as compressed bytes; small where neighbours are alike (delta) or high bytes are 0."""
+    x = np.ascontiguousarray(values).view(np.int64)
+    if delta:
+        x = np.diff(x, prepend=np.int64(0))
+        x = (x << 1) ^ (x >> 63)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True) if len(x) else b""
+
+
+def unpack(data: bytes, n: int, delta: bool = True) -> np.ndarray:
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    x = np.ascontiguousarray(planes.reshape(8, n).T).view(np.int64).reshape(n)
+    if delta:
+        x = np.cumsum((x.view(np.uint64) >> np.uint64(1)).view(np.int64) ^ -(x & 1))
+    return x
+
+
+def by_part(part: np.ndarray, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings each part together and leaves it in order, and where each part starts."""
+    order = np.argsort(part.astype(np.uint16) if n_parts < 65536 else part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(n_parts + 1))
+
+
+def prime_above(n: int) -> int:
+    """The least odd prime from n on: ids with a common factor still spread over that many buckets."""
+    n = max(3, n | 1)
+    while any(n % k == 0 for k in range(3, int(n**0.5) + 1, 2)):
+        n += 2
+    return n
+
+
+def integer_id(column: Column) -> Column:
+    """Ids as longs; a null one sorts below all others."""
+    return F.coalesce(column.cast("long"), F.lit(-(1 << 63)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, mixing, repetition, secrets, toxicity
+from . import decontaminate, langid, licenses, linededup, mixing, repetition, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op8_language(spark, sf_dir):
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_lines(spark, sf_dir):
+    return linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -69,6 +73,7 @@ QUERIES = {
     "op5_repetition": op5_repetition,
     "op7_licenses": op7_licenses,
     "op8_language": op8_language,
+    "op10_lines": op10_lines,
 }
 
 ORACLE_SQL: dict[str, str] = {}

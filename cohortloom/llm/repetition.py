@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import NOT_SPACE, Spans, more, per_row, row_of, slices, text_bytes, windows, word_spans
+from .kit import NOT_SPACE, Spans, line_spans, more, per_row, row_of, slices, text_bytes, windows, word_spans
 
 MIN_WORDS = 4
 MAX_COVERED = 0.5
@@ -91,19 +91,6 @@ def repeats(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lines(data, offsets):
-    """Start and end of each line, and each row's first line."""
-    breaks = np.flatnonzero(data == 10)
-    row = np.searchsorted(offsets, breaks, "right") - 1
-    start = np.concatenate([offsets[:-1], breaks + 1])
-    end = np.concatenate([breaks, offsets[1:]])
-    of = np.concatenate([np.arange(len(offsets) - 1), row])
-    by = np.lexsort((start, of))
-    last = np.concatenate([row, np.arange(len(offsets) - 1)])
-    ends = end[np.lexsort((end, last))]
-    return start[by], ends, np.searchsorted(of[by], np.arange(len(offsets)))
-
-
 def measure(column: pa.Array, min_words: int) -> list[np.ndarray]:
     """The columns of FIELDS."""
     data, offsets = text_bytes(column)
@@ -118,7 +105,7 @@ def measure(column: pa.Array, min_words: int) -> list[np.ndarray]:
     symbol[list(SYMBOLS.encode())] = True
     symbols = per_row(symbol[data], offsets)
 
-    a, b, line_first = _lines(data, offsets)
+    a, b, line_first = line_spans(data, offsets)
     worded = np.searchsorted(start, b) > np.searchsorted(start, a)
     line, of = spans.hashes(a, b)[worded], row_of(line_first)[worded]
     by = np.lexsort((line, of))
