@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, linededup, mixing, repetition, secrets, toxicity
+from . import decontaminate, langid, licenses, linededup, mixing, repetition, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op5_repetition(spark, sf_dir):
     return found.withColumn("base_failed", failed).withColumn("kept", ~failed & ~F.col("repetitive")).drop("repetitive")
 
 
+def op6_substrings(spark, sf_dir):
+    return substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+
+
 def op7_licenses(spark, sf_dir):
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_mixing": op4_mixing,
     "op5_repetition": op5_repetition,
+    "op6_substrings": op6_substrings,
     "op7_licenses": op7_licenses,
     "op8_language": op8_language,
     "op10_lines": op10_lines,
