@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, linededup, mixing, repetition, secrets, substrings, toxicity
+from . import decontaminate, langid, licenses, linededup, mixing, neardup, repetition, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op8_language(spark, sf_dir):
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+
+
 def op10_lines(spark, sf_dir):
     return linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op6_substrings": op6_substrings,
     "op7_licenses": op7_licenses,
     "op8_language": op8_language,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_lines": op10_lines,
 }
 

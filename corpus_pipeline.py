@@ -1,8 +1,69 @@
-"""Corpus cleaning in stages; each stage reads what the one before it wrote."""
+"""Corpus cleaning in stages over ``documents``.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
+Parquet and read again as the next stage's docs. All but the last return the
+columns of ``documents``; ``n_chars`` follows the text where a stage changes it.
+Null and empty texts are rejected by the first stage.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortloom.llm import decontaminate, langid, linededup, mixing, neardup
+from cohortloom.llm.kit import shared_dir
+
+#: No SQL: the stages hold a trained model, sketches and alignments. Tests compare with brute force.
 ORACLE_SQL = None
-STAGES: list = []
+
+#: A document goes if no language is at least this likely.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a letter and a language that is likely enough."""
+    found = langid.identify(docs, langid.fit(docs))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that at least three of them share, but in the last one."""
+    found = linededup.dedup(docs)
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8)."""
+    return neardup.keep_one(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with their copies and the words taken."""
+    mixed = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("mixed_id"), "size", "source_size", "target", "copies", "taken").dropDuplicates(["mixed_id"])
+    return docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("mixed_id"))).drop("mixed_id")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_near),
+    ("decontamination", remove_benchmark),
+    ("source_mixing", mix_sources),
+]
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
