@@ -20,8 +20,7 @@ def op1_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(_fold(5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rate = labels.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    training = docs.where(_fold(5) != 0).join(labels.where("toxic = 1").select("doc_id", F.lit(True).alias("positive")), "doc_id", "left")
-    model = toxicity.fit(training, "positive", min(max(rate or 0.01, 0.001), 0.5))
+    model = toxicity.fit(docs.where(_fold(5) != 0), labels.where("toxic = 1"), min(max(rate or 0.01, 0.001), 0.5))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
 

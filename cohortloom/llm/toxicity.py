@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import ALPHA, Spans, batch_of, lookup, more, row_of, slices, text_bytes, word_spans
+from .kit import ALPHA, Spans, batch_of, cut, lookup, more, row_of, slices, text_bytes, word_spans
 
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
@@ -56,13 +56,22 @@ def _word_counts(batches):
         yield batch_of(schema, keys.view(np.int64), p, np.bincount(same, minlength=len(keys)) - p)
 
 
-def fit(docs: DataFrame, positive: str, prior: float, text_col: str = "text", id_col: str = "doc_id", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_words: int = MAX_WORDS) -> Model:
-    """Fit on docs whose boolean column ``positive`` marks confirmed toxic texts; null counts as unlabelled."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(positive), F.lit(False)).alias("positive"))
-    size = {r["positive"]: r["count"] for r in rows.groupBy("positive").count().collect()}
-    share = F.when(F.col("positive"), min(1.0, max_positive / max(1, size.get(True, 0)))).otherwise(min(1.0, max_unlabelled / max(1, size.get(False, 0))))
-    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 20)) < share * (1 << 20)).select("text", "positive")
-    n_p, n_u = (min(size.get(k, 0), m) for k, m in ((True, max_positive), (False, max_unlabelled)))
+def _draw(docs: DataFrame, positives: DataFrame, max_positive: int, max_unlabelled: int) -> DataFrame:
+    """Texts of at most max_positive toxic and max_unlabelled other documents, by a hash of the id.
+
+    Ids alone are joined and drawn; the texts of the drawn ids, whose number is bounded, are found by a broadcast.
+    """
+    ids = docs.select("id").join(positives.select("id").distinct().withColumn("positive", F.lit(True)), "id", "left").select("id", F.coalesce("positive", F.lit(False)).alias("positive"), F.xxhash64("id", F.lit("toxicity")).alias("draw"))
+    drawn = [ids.where(F.col("positive") == kind).orderBy("draw", "id").limit(most).select("id", "positive") for kind, most in ((True, max_positive), (False, max_unlabelled))]
+    return cut(docs.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]).distinct())), "id").select("text", "positive"))
+
+
+def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "text", id_col: str = "doc_id", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_words: int = MAX_WORDS) -> Model:
+    """Fit on docs; positives holds the ids (id_col) of confirmed toxic ones, all others count as unlabelled."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    drawn = _draw(rows, positives.select(F.col(id_col).alias("id")), max_positive, max_unlabelled)
+    size = {r["positive"]: r["count"] for r in drawn.groupBy("positive").count().collect()}
+    n_p, n_u = size.get(True, 0), size.get(False, 0)
     lift = F.log((F.col("p") + 0.5) / (n_p + 1)) - F.log((F.col("u") + 0.5) / (n_u + 1))
     counts = drawn.mapInArrow(_word_counts, "h long, p long, u long").groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     chosen = counts.where(F.col("p") >= MIN_POSITIVE_DOCS).orderBy(F.desc(F.col("p") * lift), "h").limit(max_words).select("h").toArrow()["h"].to_numpy()
@@ -75,9 +84,9 @@ def fit(docs: DataFrame, positive: str, prior: float, text_col: str = "text", id
         for batch in slices(batches):
             row, h = _present(*text_bytes(batch.column("text")))
             at = lookup(words, h)
-            cut = np.searchsorted(row[at >= 0], np.arange(batch.num_rows + 1))
+            ends = np.searchsorted(row[at >= 0], np.arange(batch.num_rows + 1))
             at = at[at >= 0].astype(np.int16)
-            yield batch_of(schema, batch.column("positive"), [at[a:b].tobytes() for a, b in zip(cut, cut[1:])])
+            yield batch_of(schema, batch.column("positive"), [at[a:b].tobytes() for a, b in zip(ends, ends[1:])])
 
     table = drawn.mapInArrow(matrix, "positive boolean, at binary").toArrow()
     y = table["positive"].to_numpy(zero_copy_only=False).astype(bool)
