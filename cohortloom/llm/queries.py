@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, langid, licenses, linededup, mixing, neardup, repetition, secrets, substrings, toxicity
+from .sql import ORACLE_SQL  # noqa: F401  what the entry point reads
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +46,7 @@ def op4_mixing(spark, sf_dir):
 def op5_repetition(spark, sf_dir):
     found = repetition.rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & ~F.col("repetitive")).drop("repetitive")
+    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & ~F.col("repetitive")).drop("repetitive", "longest_repeat")
 
 
 def op6_substrings(spark, sf_dir):
@@ -65,7 +66,7 @@ def op8_language(spark, sf_dir):
 
 
 def op9_near_duplicates(spark, sf_dir):
-    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2).drop("n_links")
 
 
 def op10_lines(spark, sf_dir):
@@ -85,4 +86,3 @@ QUERIES = {
     "op10_lines": op10_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {}
