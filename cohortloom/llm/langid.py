@@ -147,15 +147,15 @@ def score_batch(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:
     return [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], np.where(lettered, probability, 0.0)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of docs, with ``lang_pred`` and ``score`` added (or replaced)."""
+def identify(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of docs, with the language and its probability added (or replaced) under the given names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = docs.select(*(c for c in docs.columns if c not in names))
+    old = kept.columns
 
     def run(batches):
         for batch in slices(batches, text_col):
             lang, score = score_batch(shared.value, batch.column(text_col))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*old, *names])
 
-    kept = docs.select(*names)
-    return kept.mapInArrow(run, more(kept, "lang_pred string, score double"))
+    return kept.mapInArrow(run, more(kept, f"`{names[0]}` string, `{names[1]}` double"))

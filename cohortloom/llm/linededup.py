@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .kit import NOT_SPACE, Spans, batch_of, by_part, integer_id, line_spans, mix, pack, parts, prime_above, row_of, slices, text_bytes, unpack
 
@@ -218,6 +219,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_l
         text = pa.array([hashlib.sha256(t).hexdigest() for t in texts] if digest else texts, pa.string())
         return pa.table([left.column("rest"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), text], names=["rest", "n_lines", "n_dropped", "text"])
 
-    kind = packed.schema["rest"].dataType.simpleString()
-    out = packed.groupBy("bucket").cogroup(drops.groupBy("bucket")).applyInArrow(apply, f"rest {kind}, n_lines long, n_dropped long, text string")
+    schema = T.StructType([packed.schema["rest"], *T.StructType.fromDDL("n_lines long, n_dropped long, text string")])
+    out = packed.groupBy("bucket").cogroup(drops.groupBy("bucket")).applyInArrow(apply, schema)
     return out.select("rest.*", "n_lines", "n_dropped", F.col("text").alias("kept_sha256" if digest else text_col))

@@ -5,7 +5,8 @@ confirmed toxic texts and unlabelled texts. The risk of the unlabelled texts as
 negatives, less the class prior times that of the toxic ones, estimates the risk
 of the clean ones; where a step would make it negative, the step is undone
 instead. Training takes bounded samples (``max_positive``, ``max_unlabelled``
-texts, ``max_words`` words), so the model and what reaches the driver are bounded.
+texts), and looks at the ``max_words`` words whose share of toxic texts deviates
+most, so the model and what reaches the driver are bounded.
 
 Null and empty texts have no word and get the score of the bias alone. Words are
 runs of ASCII letters and characters outside ASCII, A-Z lower-cased. Without a
@@ -28,6 +29,7 @@ MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
 MAX_WORDS = 1024
 MIN_POSITIVE_DOCS = 3
+MIN_DEVIATIONS = 4.0
 
 
 @dataclass(frozen=True)
@@ -57,13 +59,14 @@ def _word_counts(batches):
 
 
 def _draw(docs: DataFrame, positives: DataFrame, max_positive: int, max_unlabelled: int) -> DataFrame:
-    """Texts of at most max_positive toxic and max_unlabelled other documents, by a hash of the id.
+    """Texts of at most max_positive toxic documents and of max_unlabelled of all documents, by a hash of the id.
 
-    Ids alone are joined and drawn; the texts of the drawn ids, whose number is bounded, are found by a broadcast.
+    The unlabelled sample comes from all documents, so that its share of toxic ones is the prior. Ids alone are
+    drawn; the texts of the drawn ids, whose number is bounded, are found by a broadcast.
     """
-    ids = docs.select("id").join(positives.select("id").distinct().withColumn("positive", F.lit(True)), "id", "left").select("id", F.coalesce("positive", F.lit(False)).alias("positive"), F.xxhash64("id", F.lit("toxicity")).alias("draw"))
-    drawn = [ids.where(F.col("positive") == kind).orderBy("draw", "id").limit(most).select("id", "positive") for kind, most in ((True, max_positive), (False, max_unlabelled))]
-    return cut(docs.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]).distinct())), "id").select("text", "positive"))
+    ids = docs.select("id", F.xxhash64("id", F.lit("toxicity")).alias("draw"))
+    drawn = [found.orderBy("draw", "id").limit(most).select("id", F.lit(kind).alias("positive")).distinct() for kind, found, most in ((True, ids.join(positives.distinct(), "id", "left_semi"), max_positive), (False, ids, max_unlabelled))]
+    return cut(docs.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]))), "id").select("text", "positive"))
 
 
 def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "text", id_col: str = "doc_id", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_words: int = MAX_WORDS) -> Model:
@@ -72,9 +75,10 @@ def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "te
     drawn = _draw(rows, positives.select(F.col(id_col).alias("id")), max_positive, max_unlabelled)
     size = {r["positive"]: r["count"] for r in drawn.groupBy("positive").count().collect()}
     n_p, n_u = size.get(True, 0), size.get(False, 0)
-    lift = F.log((F.col("p") + 0.5) / (n_p + 1)) - F.log((F.col("u") + 0.5) / (n_u + 1))
-    counts = drawn.mapInArrow(_word_counts, "h long, p long, u long").groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    chosen = counts.where(F.col("p") >= MIN_POSITIVE_DOCS).orderBy(F.desc(F.col("p") * lift), "h").limit(max_words).select("h").toArrow()["h"].to_numpy()
+    share = (F.col("p") + F.col("u")) / (n_p + n_u)
+    z = (F.col("p") / max(n_p, 1) - F.col("u") / max(n_u, 1)) / F.sqrt(share * (1 - share) * (1 / max(n_p, 1) + 1 / max(n_u, 1)) + 1e-12)
+    counts = drawn.mapInArrow(_word_counts, "h long, p long, u long").groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).withColumn("z", z)
+    chosen = counts.where((F.col("p") >= MIN_POSITIVE_DOCS) & (F.abs("z") >= MIN_DEVIATIONS)).orderBy(F.desc(F.abs("z")), "h").limit(max_words).select("h").toArrow()["h"].to_numpy()
     words = np.sort(np.asarray(chosen, dtype=np.int64).view(np.uint64))
     if not n_p or not n_u or not len(words):
         return Model(words[:0], np.zeros(0), float(np.log(prior / (1 - prior))))

@@ -25,8 +25,8 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a letter and a language that is likely enough."""
-    found = langid.identify(docs, langid.fit(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = langid.identify(docs, langid.fit(docs), names=("_language", "_likely"))
+    return found.where((F.col("_language") != langid.UNKNOWN) & (F.col("_likely") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +46,9 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their copies and the words taken."""
+    """The documents that the mix takes, with their copies and the words taken; those columns replace any of the same names."""
     mixed = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("mixed_id"), "size", "source_size", "target", "copies", "taken").dropDuplicates(["mixed_id"])
-    return docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("mixed_id"))).drop("mixed_id")
+    return docs.drop(*mixed.columns).join(mixed, F.col("doc_id").eqNullSafe(F.col("mixed_id"))).drop("mixed_id")
 
 
 STAGES = [
