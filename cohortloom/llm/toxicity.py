@@ -102,7 +102,7 @@ def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "te
     return Model(words, *train(x[y], x[~y], prior))
 
 
-def train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 2e-4) -> tuple[np.ndarray, float]:
+def train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise prior * R(p as 1) + max(0, R(u as 0) - prior * R(p as 0)) by Adam, logistic loss."""
     w = np.zeros(p.shape[1] + 1)
     w[-1] = np.log(prior / (1 - prior))
