@@ -14,7 +14,8 @@ whose size is fixed in words). What then remains is less than one document;
 ``top_ups`` times the largest document that still fits is added.
 
 No window holds a source: ranks are cut into ``BUCKETS`` ranges, whose sums are
-added up first, and only the range at the limit is ordered row by row. Random
+added up first; the range at the limit is cut again, ``LEVELS`` times in all, and
+only the last range at the limit is ordered row by row. Random
 numbers come from a hash of the id, so that reruns agree. Rows with the same id,
 source and size tie and are ordered at random among themselves, with the same
 counts. Null or empty texts have size 0 and are never taken. An empty table gives
@@ -33,7 +34,8 @@ from .kit import cut
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
-BUCKETS = 65536
+BUCKETS = 1024
+LEVELS = 2
 
 
 def word_count(text: Column) -> Column:
@@ -65,6 +67,20 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) ->
     return by.withColumn("at", level).select("source", "source_size", F.least(F.col("most").cast("double"), F.coalesce(F.col("at") * F.col("weight"), F.col("most").cast("double"))).alias("target"))
 
 
+def _narrow(drawn: DataFrame, level: int) -> DataFrame:
+    """Rows with the limit's range at the next finer level, and the words before it; a null limit: all rows fit.
+
+    The window sees at most BUCKETS sums of each source.
+    """
+    bucket = F.floor(F.col("place") * BUCKETS**level).cast("long")
+    inside = drawn.where(F.floor(bucket / BUCKETS).cast("long") == F.col("limit"))
+    sums = inside.groupBy("source", bucket.alias("bucket"), "due", "before").agg(F.sum("size").alias("n"))
+    upto = F.col("before") + F.sum("n").over(W.partitionBy("source").orderBy("bucket"))
+    found = sums.withColumn("upto", upto).where("upto > due").groupBy(F.col("source").alias("s")).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("x"))
+    limit = cut(found.select("s", F.col("x.bucket").alias("limit"), F.col("x.before").alias("before")))
+    return drawn.drop("limit", "before").join(limit, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = "mix", top_ups: int = 2) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies, taken (copies * size)."""
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
@@ -75,22 +91,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     u = uniform(F.col("doc_id"), seed)
     odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
     ranked = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    ranked = ranked.withColumn("odds", F.when(F.col("p") > 0, odds))
-    ranked = ranked.withColumn("bucket", F.floor(F.col("odds") / (1 + F.col("odds")) * BUCKETS).cast("int"))
-    ranked = cut(ranked)
-
-    drawn = ranked.where("odds is not null")
-    sums = drawn.groupBy("source", "bucket", "due").agg(F.sum("size").alias("n"))
-    upto = F.sum("n").over(W.partitionBy("source").orderBy("bucket"))
-    sums = sums.withColumn("upto", upto)
-    limit = cut(sums.where("upto > due").groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("x")).select(F.col("source").alias("s"), F.col("x.bucket").alias("limit"), F.col("x.before").alias("before")))
-    drawn = drawn.join(limit, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    below = drawn.where("limit is null or bucket < limit").withColumn("taken_one", F.lit(True))
+    ranked = cut(ranked.withColumn("odds", F.when(F.col("p") > 0, odds)).withColumn("place", u))  # a source's odds are in the order of u
+
+    drawn = ranked.where("odds is not null").withColumns({"limit": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
+    for level in range(1, LEVELS + 1):
+        drawn = _narrow(drawn, level)
     run = F.sum("size").over(W.partitionBy("source").orderBy("odds", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
-    at = drawn.where("bucket = limit").withColumn("taken_one", F.col("before") + run <= F.col("due"))
-    above = drawn.where("bucket > limit").withColumn("taken_one", F.lit(False))
-    rest = ranked.where("odds is null").withColumns({"limit": F.lit(None).cast("int"), "before": F.lit(None).cast("long"), "taken_one": F.lit(False)})
-    chosen = cut(below.unionByName(at).unionByName(above).unionByName(rest).select("doc_id", "source", "size", "source_size", "target", "whole", "due", "odds", F.col("taken_one").alias("one")))
+    last = F.floor(F.col("place") * BUCKETS**LEVELS).cast("long")
+    below = drawn.where(F.col("limit").isNull() | (last < F.col("limit"))).withColumn("one", F.lit(True))
+    at = drawn.where(last == F.col("limit")).withColumn("one", F.col("before") + run <= F.col("due"))
+    above = drawn.where(last > F.col("limit")).withColumn("one", F.lit(False))
+    rest = ranked.where("odds is null").withColumn("one", F.lit(False))
+    names = ["doc_id", "source", "size", "source_size", "target", "whole", "due", "odds", "one"]
+    chosen = cut(below.select(*names).unionByName(at.select(*names)).unionByName(above.select(*names)).unionByName(rest.select(*names)))
 
     for _ in range(top_ups):
         left = chosen.groupBy("source").agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left")).withColumnRenamed("source", "s")
