@@ -208,8 +208,8 @@ def _drop_map(table: pa.Table) -> dict:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS, digest: bool = False) -> DataFrame:
     """All columns of docs with the text's dropped lines gone, and n_lines (before) and n_dropped; digest: kept_sha256 in place of the text."""
-    n_shards = 2 * parts(docs.sparkSession)
-    n_buckets = prime_above(4 * parts(docs.sparkSession))
+    n_shards = parts(docs.sparkSession)
+    n_buckets = prime_above(2 * n_shards)
     drops = _drops(docs.select(integer_id(F.col(id_col)).alias("id"), F.col(text_col).alias("text")), min_length, min_docs, n_shards, n_buckets)
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped", "kept_sha256")]
     packed = docs.select(integer_id(F.col(id_col)).alias("id"), F.pmod(integer_id(F.col(id_col)), F.lit(n_buckets)).cast("int").alias("bucket"), F.col(text_col).alias("text"), F.struct(*rest).alias("rest"))

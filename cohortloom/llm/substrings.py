@@ -33,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import Spans, batch_of, by_part, integer_id, pack, parts, prime_above, ranges, slices, text_bytes, unpack
+from .kit import Spans, batch_of, by_part, integer_id, mix, pack, parts, prime_above, ranges, slices, text_bytes, unpack
 
 LENGTH = 50
 GRAM = 16
 BLOCK = 1 << 21
+CHUNK = 1 << 19
 KEY_BITS = np.uint64(16)
 
 PACKED = "part int, n long, a binary, b binary, c binary, d binary, e binary"
@@ -74,19 +75,22 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple
     empty = np.zeros(0, dtype=np.int64)
     if len(data) < length:
         return empty.view(np.uint64), empty, empty, empty
-    at = np.arange(len(data) - gram + 1)
-    key = Spans(data, lower=False).hashes(at, at + gram)
+    spans = Spans(data, lower=False)
+    key = mix((spans.prefix[gram:] - spans.prefix[:-gram]) * spans.down[: len(data) - gram + 1])
     span = 1
     while span < width:
         step = min(span, width - span)
         key = np.minimum(key[:-step], key[step:])
         span += step
-    size = np.maximum(np.diff(offsets) - length + 1, 0)
-    start = np.repeat(offsets[:-1], size) + ranges(size)
-    row = np.repeat(np.arange(len(size)), size)
-    key = key[start]
-    new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[: len(key)])
-    return key[new] >> KEY_BITS, start[new], np.diff(np.append(new, len(key))), row[new]
+    new = np.append(True, key[1:] != key[:-1])
+    for edge in (offsets[:-1], offsets[1:] - length + 1):  # where windows of the next row, or of none, begin
+        new[edge[(edge >= 0) & (edge < len(key))]] = True
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(key)))
+    row = np.searchsorted(offsets, start, "right") - 1
+    inside = start + length <= offsets[row + 1]
+    start = start[inside]
+    return key[start] >> KEY_BITS, start, count[inside], row[inside]
 
 
 def _shared(rows: DataFrame, length: int, gram: int, n_shards: int, n_buckets: int) -> DataFrame:
@@ -140,29 +144,42 @@ def _shared(rows: DataFrame, length: int, gram: int, n_shards: int, n_buckets: i
     return rows.mapInArrow(entries, PACKED).groupBy("part").applyInArrow(judge, PACKED)
 
 
-def _prefixes(words: list[np.ndarray], order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorts entries by group and then by the words (8 bytes each); common prefix, in bytes, with the one before."""
-    n = len(order)
-    by = np.argsort(group, kind="stable")
-    order = order[by]
-    differs = np.append(True, group[by][1:] != group[by][:-1])[:n]
-    common = np.zeros(n, dtype=np.int64)
-    common[~differs] = 8 * len(words)
-    for level, word in enumerate(words):
+def _prefixes(text: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (from at on, length bytes) in order of group and bytes; common prefix, in bytes, with the one before.
+
+    Eight bytes at a time; groups of windows that agree on them need no sorting. group: from 0 on, not falling.
+    """
+    n = len(at)
+    words = np.ndarray((len(text) - 7,), dtype=">u8", buffer=text, strides=(1,))
+    bits = int(group[-1]).bit_length() if n else 0
+
+    def word(k, windows):
+        left = length - 8 * k
+        x = words[at[windows] + 8 * k].astype(np.uint64)
+        return x if left >= 8 else x & np.uint64(((1 << 64) - 1) ^ ((1 << (64 - 8 * left)) - 1))
+
+    order = np.argsort((group.astype(np.uint64) << np.uint64(64 - bits)) | (word(0, slice(None)) >> np.uint64(bits))) if bits else np.argsort(word(0, slice(None)))
+    differs = np.append(True, group[order][1:] != group[order][:-1])[:n]
+    common = np.where(differs, 0, length)
+    for level in range((length + 7) // 8):
         tied = ~differs
         tied[:-1] |= ~differs[1:]
-        at = np.flatnonzero(tied)
-        if not len(at):
+        spot = np.flatnonzero(tied)
+        if not len(spot):
             break
-        part = np.cumsum(differs)[at]
-        value = word(order[at])
-        again = np.lexsort((value, part))
-        order[at] = order[at][again]
-        value, part = value[again], part[again]
+        value = word(level, order[spot])
+        part = np.cumsum(differs[spot])
+        falls = (value[1:] < value[:-1]) & (part[1:] == part[:-1])
+        if falls.any():
+            mixed = np.zeros(part[-1] + 1, dtype=bool)
+            mixed[part[1:][falls]] = True
+            some = np.flatnonzero(mixed[part])
+            again = some[np.lexsort((value[some], part[some]))]
+            order[spot[some]], value[some] = order[spot[again]], value[again]
         split = np.append(False, (value[1:] != value[:-1]) & (part[1:] == part[:-1]))
-        xor = value ^ np.append(value[:1], value[:-1])
-        common[at[split]] = 8 * level + _leading_zero_bytes(xor[split])
-        differs[at[split]] = True
+        where = np.flatnonzero(split)
+        common[spot[where]] = 8 * level + _leading_zero_bytes(value[where] ^ value[where - 1])
+        differs[spot[where]] = True
     return order, common
 
 
@@ -173,54 +190,55 @@ def _leading_zero_bytes(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def previous_factors(doc: np.ndarray, common: np.ndarray) -> np.ndarray:
+def previous_factors(doc: np.ndarray, common: np.ndarray, wanted: int = 1) -> np.ndarray:
     """Longest previous factor of each entry in suffix order: the longest common prefix with an entry of a smaller document.
 
     common: of each entry and the one before. The nearest entries before and after
-    with smaller documents are found by jumping over those already passed.
+    with smaller documents are found by jumping over those already passed. Lengths
+    below wanted are given as 0.
     """
     n = len(doc)
     best = np.zeros(n, dtype=np.int64)
     for backward in (False, True):
         d = doc[::-1] if backward else doc
-        c = np.append(0, common[1:][::-1]) if backward else common
-        jump, least = np.arange(n) - 1, c.copy()
-        live = np.flatnonzero((jump >= 0) & (least > 0))
+        c = np.append(0, common[1:][::-1]) if backward else common.copy()
+        jump, least = np.arange(n) - 1, np.where(c >= wanted, c, 0)
+        least[:1] = 0
+        live = np.flatnonzero(least)
         while len(live):
             p = jump[live]
             on = d[p] >= d[live]
             live, p = live[on], p[on]
             new_least = np.minimum(least[live], least[p])
-            new_jump = jump[p]
-            jump[live], least[live] = new_jump, new_least
-            ended = (new_jump < 0) | (new_least <= 0)
-            least[live[ended]] = 0
-            live = live[~ended]
+            jump[live], least[live] = jump[p], new_least
+            live = live[new_least > 0]
         best = np.maximum(best, least[::-1] if backward else least)
     return best
 
 
 def _removed(key, id, blob, start, n_windows, length):
-    """Of the windows of runs, entry by entry, those that a smaller document has in a run of the same key."""
-    entry = np.repeat(np.arange(len(key)), n_windows)
-    at = np.repeat(start, n_windows) + ranges(n_windows)
-    padded = np.append(blob, np.zeros(8, dtype=np.uint8))
-
-    def word(k, size):
-        def of(windows):
-            out = np.zeros(len(windows), dtype=np.uint64)
-            for j in range(size):
-                out |= padded[at[windows] + 8 * k + j].astype(np.uint64) << np.uint64(56 - 8 * j)
-            return out
+    """Entry and number of each window of the runs that a smaller document has in a run of the same key.
 
-        return of
-
-    words = [word(k, min(8, length - 8 * k)) for k in range((length + 7) // 8)]
-    _, group = np.unique(key, return_inverse=True)
-    order, common = _prefixes(words, np.arange(len(at)), group[entry])
-    gone = np.zeros(len(at), dtype=bool)
-    gone[order] = previous_factors(id[entry][order], common) >= length
-    return entry, at - np.repeat(start, n_windows), gone
+    Keys are taken some CHUNK windows at a time, which bounds memory.
+    """
+    text = np.append(blob, np.zeros(8, dtype=np.uint8))
+    by = np.argsort(key, kind="stable")
+    firsts = np.flatnonzero(np.append(True, key[by][1:] != key[by][:-1])[: len(key)])
+    total = np.append(0, np.cumsum(n_windows[by]))
+    upto = total[np.append(firsts[1:], len(key))]
+    entries, numbers, k = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while k < len(firsts):
+        last = max(k + 1, int(np.searchsorted(upto, total[firsts[k]] + CHUNK, "right")))
+        some = by[firsts[k] : firsts[last] if last < len(firsts) else len(by)]
+        k = last
+        number = ranges(n_windows[some])
+        entry = np.repeat(some, n_windows[some])
+        group = np.cumsum(np.append(False, key[some][1:] != key[some][:-1]))
+        order, common = _prefixes(text, start[entry] + number, np.repeat(group, n_windows[some]), length)
+        gone = order[previous_factors(id[entry[order]], common, length) >= length]
+        entries.append(entry[gone])
+        numbers.append(number[gone])
+    return np.concatenate(entries), np.concatenate(numbers)
 
 
 def _spans(gone_id, gone_start, n_buckets, length):
@@ -292,8 +310,7 @@ def spans(docs: DataFrame, length: int, gram: int, n_shards: int, n_buckets: int
         (key, id, offset, size), rows = _columns(table, (False, True, True, True))
         blob = np.frombuffer(b"".join(r["e"] for r in rows), dtype=np.uint8)
         n = size + length - 1
-        entry, inside, gone = _removed(key, id, blob, np.cumsum(n) - n, size, length)
-        entry, inside = entry[gone], inside[gone]
+        entry, inside = _removed(key, id, blob, np.cumsum(n) - n, size, length)
         return pa.Table.from_batches([_spans(id[entry], offset[entry] + inside, n_buckets, length)])
 
     pairs = docs.groupBy("bucket").cogroup(shared.groupBy("part")).applyInArrow(send, PACKED)
@@ -312,8 +329,8 @@ def _cut(text: np.ndarray, first, count, length):
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, digest: bool = False) -> DataFrame:
     """Per document: id_col, n_bytes, n_removed, n_spans, and the remaining bytes (``kept``), or their kept_sha256 if digest."""
-    n_shards = 2 * parts(docs.sparkSession)
-    n_buckets = prime_above(4 * parts(docs.sparkSession))
+    n_shards = parts(docs.sparkSession)
+    n_buckets = prime_above(2 * n_shards)
     id = integer_id(F.col(id_col))
     rows = docs.select(F.pmod(id, F.lit(n_buckets)).cast("int").alias("bucket"), id.alias("id"), F.col(id_col).isNull().alias("no_id"), F.col(text_col).alias("text"))
     removed = spans(rows, length, gram, n_shards, n_buckets)
