@@ -14,9 +14,10 @@ Jaccard similarity.
 3. A pair goes on if its similarity, estimated jointly from all registers and the
    two set sizes by maximum likelihood, is within ``MARGIN`` of the threshold, and
    is linked if the full sets confirm it.
-4. What these links leave apart inside a key is paired in full: each member outside
-   the key's largest component with all members of other components. No pair that
-   could join two components is left out, and none inside a component is made.
+4. What these links leave apart inside a key is searched in full: each member outside
+   the key's largest component, against that component and the other members
+   outside it, in blocks; registers, then full sets. No pair that could join two
+   components is left out, and none inside a component is looked at.
 5. Components of all links, by smallest id.
 
 A pair at the threshold misses all bands with a probability of about 5e-6.
@@ -33,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kit import NOT_SPACE, Spans, batch_of, cut, integer_id, mix, row_of, slices, text_bytes, windows, word_spans
+from .kit import NOT_SPACE, Spans, batch_of, cut, integer_id, lookup, mix, row_of, slices, text_bytes, windows, word_spans
 
 SHINGLE = 5
 THRESHOLD = 80  # hundredths
 BANDS, ROWS = 40, 6
 BASE, RATE = 1.1, 20.0
 MARGIN = 0.15
+BLOCK = 2000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -152,24 +154,80 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, s): the sorted shingle hashes of the documents in ids."""
+    schema = pa.schema([("id", pa.int64()), ("s", pa.binary())])
+
+    def run(batches):
+        for batch in slices(batches):
+            row, h = shingles(batch.column("text"), n)
+            first = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            yield batch_of(schema, batch.column("id"), pa.array([h[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()))
+
+    return docs.join(ids, "id", "left_semi").mapInArrow(run, "id long, s binary")
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
 
     def run(batches):
-        for batch in slices(batches, "t1"):
-            (r1, h1), (r2, h2) = shingles(batch.column("t1"), n), shingles(batch.column("t2"), n)
-            row, h = np.concatenate([r1, r2]), np.concatenate([h1, h2])
-            by = np.lexsort((h, row))
-            twice = (h[by][1:] == h[by][:-1]) & (row[by][1:] == row[by][:-1])
-            both = np.bincount(row[by][1:][twice], minlength=batch.num_rows)
-            union = np.bincount(row, minlength=batch.num_rows) - both
-            yield batch.select(["a", "b"]).filter(pa.array((100 * both >= threshold * union) & (union > 0)))
-
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = cut(docs.join(ids, "id", "left_semi"))
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("t1"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").alias("t2"))
-    return cut(pairs.join(one, "a").join(two, "b").select("a", "b", "t1", "t2").mapInArrow(run, "a long, b long"))
+        for batch in batches:
+            keep = []
+            for s1, s2 in zip(batch.column("s1").to_pylist(), batch.column("s2").to_pylist()):
+                a, b = np.frombuffer(s1, np.uint64), np.frombuffer(s2, np.uint64)
+                both = int((lookup(a, b) >= 0).sum())
+                keep.append(both > 0 and 100 * both >= threshold * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sets.select(F.col("id").alias("a"), F.col("s").alias("s1"))
+    two = sets.select(F.col("id").alias("b"), F.col("s").alias("s2"))
+    return cut(pairs.join(one, "a").join(two, "b").select("a", "b", "s1", "s2").mapInArrow(run, "a long, b long").distinct())
+
+
+def _across(apart: DataFrame, placed: DataFrame, reps: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between components that meet in a key.
+
+    apart: (id, component, largest) of members of keys that hold more than one component. The members outside a
+    key's largest component are the queries of that component: each is held against the component and the other
+    queries, in blocks of about BLOCK documents each, first by registers and then by full sets. Only links leave a block.
+    """
+    queries = cut(apart.where("component <> largest").select("largest", "id", "component").distinct())
+    inside = placed.select("id", "component").distinct().join(queries.select(F.col("largest").alias("component")).distinct(), "component").select(F.col("component").alias("largest"), "id", "component")
+    targets = cut(inside.unionByName(queries))
+
+    def blocks(rows, name):
+        return rows.groupBy("largest").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    number = blocks(queries, "nq").join(blocks(targets, "nt"), "largest")
+    data = reps.join(sets, "id")
+
+    def dealt(rows, own, other, own_block, other_block, mark):
+        found = rows.join(number, "largest").withColumn(own_block, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+        found = found.join(data, "id").withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        keys = ["largest", "bq", "bt"]
+        return found.select(*(F.col(c).alias(mark + c) for c in (*keys, "id", "component", "n", "k", "s"))).groupBy(*(mark + c for c in keys))
+
+    def match(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        if left.num_rows and right.num_rows:
+            k = np.frombuffer(b"".join(right.column("t_k").to_pylist()), dtype=np.uint8).reshape(right.num_rows, -1)
+            size, of, names = (right.column(f"t_{c}").to_numpy() for c in ("n", "component", "id"))
+            held = [np.frombuffer(s, np.uint64) for s in right.column("t_s").to_pylist()]
+            for q in left.to_pylist():
+                n = q["q_n"]
+                near = (of != q["q_component"]) & (100 * np.minimum(size, n) >= threshold * np.maximum(size, n))
+                near = np.flatnonzero(near)
+                near = near[(k[near] == np.frombuffer(q["q_k"], np.uint8)).mean(axis=1) >= threshold / 100 - MARGIN]
+                if len(near):
+                    count = size[near]
+                    hit = lookup(np.frombuffer(q["q_s"], np.uint64), np.concatenate([held[i] for i in near])) >= 0
+                    both = np.add.reduceat(hit, np.cumsum(count) - count, dtype=np.int64)
+                    near = near[100 * both >= threshold * (n + count - both)]
+                    ids = [np.append(ids[0], np.minimum(names[near], q["q_id"])), np.append(ids[1], np.maximum(names[near], q["q_id"]))]
+        return pa.table({"a": pa.array(ids[0], pa.int64()), "b": pa.array(ids[1], pa.int64())})
+
+    pairs = dealt(queries, "nq", "nt", "bq", "bt", "q_").cogroup(dealt(targets, "nt", "nq", "bt", "bq", "t_")).applyInArrow(match, "a long, b long")
+    return cut(pairs.distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -186,17 +244,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = members.join(reach, "id").groupBy("key").agg(F.max(F.struct("reach", -F.col("id"), "n")).alias("x")).select("key", (-F.col("x.col2")).alias("centre"), F.col("x.n").alias("n2"))
     starred = members.join(centres, "key").where((F.col("id") != F.col("centre")) & _near("n", "n2", threshold))
     tried = cut(starred.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
-    links = _confirm(cut(_likely(tried, reps, threshold)), rows, shingle, threshold)
+    sets = cut(_sets(rows, members.select("id").distinct(), shingle))
+    links = _confirm(cut(_likely(tried, reps, threshold)), sets, threshold)
 
     found = components(links)
-    placed = members.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    placed = cut(members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("x.component").alias("largest"))
-    apart = cut(placed.join(largest, "key"))
-    outside = apart.where("component <> largest").select("key", F.col("id").alias("id1"), F.col("n").alias("n1"), F.col("component").alias("c1"))
-    crossing = outside.join(apart, "key").where((F.col("component") != F.col("c1")) & ((F.col("component") == F.col("largest")) | (F.col("c1") < F.col("component"))) & _near("n", "n1", threshold))
-    crossing = crossing.select(F.least("id", "id1").alias("a"), F.greatest("id", "id1").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirm(cut(_likely(crossing, reps, threshold)), rows, shingle, threshold))
+    links = links.unionByName(_across(placed.join(largest, "key"), placed, reps, sets, threshold))
 
     found = components(links)
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
