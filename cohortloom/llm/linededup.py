@@ -132,7 +132,9 @@ def _block_rows(h, d, n_shards, n_buckets, min_docs):
     yield batch_of(_SCHEMA, [k for k, _ in picks], [-1] * len(picks), [len(p) for _, p in picks], [pack(sh[p]) for _, p in picks], [pack(c[p]) for _, p in picks], [pack(sd[p]) for _, p in picks])
     drop = many & ~last
     if drop.any():
-        yield batch_of(_SCHEMA, *_drop_rows(h[drop], d[drop], n_buckets, int(h[0] % np.uint64(n_shards))))
+        columns = _drop_rows(h[drop], d[drop], n_buckets, 0)
+        columns[0] = columns[1] % np.int32(n_shards)  # shards only pass these on: deal them evenly
+        yield batch_of(_SCHEMA, *columns)
 
 
 def _drops(rows: DataFrame, min_length: int, min_docs: int, n_shards: int, n_buckets: int) -> DataFrame:
