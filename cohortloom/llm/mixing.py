@@ -36,6 +36,8 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 BUCKETS = 1024
 LEVELS = 2
+#: Tables of one row a source are broadcast up to so many rows, and joined by a shuffle beyond.
+FEW_SOURCES = 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -67,7 +69,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) ->
     return by.withColumn("at", level).select("source", "source_size", F.least(F.col("most").cast("double"), F.coalesce(F.col("at") * F.col("weight"), F.col("most").cast("double"))).alias("target"))
 
 
-def _narrow(drawn: DataFrame, level: int) -> DataFrame:
+def _narrow(drawn: DataFrame, level: int, side) -> DataFrame:
     """Rows with the limit's range at the next finer level, and the words before it; a null limit: all rows fit.
 
     The window sees at most BUCKETS sums of each source.
@@ -78,24 +80,29 @@ def _narrow(drawn: DataFrame, level: int) -> DataFrame:
     upto = F.col("before") + F.sum("n").over(W.partitionBy("source").orderBy("bucket"))
     found = sums.withColumn("upto", upto).where("upto > due").groupBy(F.col("source").alias("s")).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("x"))
     limit = cut(found.select("s", F.col("x.bucket").alias("limit"), F.col("x.before").alias("before")))
-    return drawn.drop("limit", "before").join(limit, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    return drawn.drop("limit", "before").join(side(limit), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = "mix", top_ups: int = 2) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies, taken (copies * size)."""
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
     plan = cut(targets(rows, weights, max_copies))
+    few = plan.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
+
+    def side(df):
+        return F.broadcast(df) if few else df
+
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = plan.withColumn("whole", F.floor(due)).withColumn("p", due - F.floor(due))
     plan = plan.withColumn("due", F.col("target") - F.col("whole") * F.col("source_size"))
     u = uniform(F.col("doc_id"), seed)
     odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    ranked = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
+    ranked = rows.join(side(plan.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     ranked = cut(ranked.withColumn("odds", F.when(F.col("p") > 0, odds)).withColumn("place", u))  # a source's odds are in the order of u
 
     drawn = ranked.where("odds is not null").withColumns({"limit": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
     for level in range(1, LEVELS + 1):
-        drawn = _narrow(drawn, level)
+        drawn = _narrow(drawn, level, side)
     run = F.sum("size").over(W.partitionBy("source").orderBy("odds", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
     last = F.floor(F.col("place") * BUCKETS**LEVELS).cast("long")
     below = drawn.where(F.col("limit").isNull() | (last < F.col("limit"))).withColumn("one", F.lit(True))
@@ -108,10 +115,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     for _ in range(top_ups):
         left = chosen.groupBy("source").agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left")).withColumnRenamed("source", "s")
         left = cut(left)
-        free = chosen.where("not one and odds is not null and size > 0").join(left, F.col("source").eqNullSafe(F.col("s"))).where("size <= left")
+        free = chosen.where("not one and odds is not null and size > 0").join(side(left), F.col("source").eqNullSafe(F.col("s"))).where("size <= left")
         add = free.groupBy("s").agg(F.min(F.struct(-F.col("size"), F.col("odds"), F.col("doc_id"))).alias("x")).select("s", F.col("x.doc_id").alias("add_id"), (-F.col("x.col1")).alias("add_size"))
         add = cut(add)
-        chosen = chosen.join(add, F.col("source").eqNullSafe(F.col("s")), "left")
+        chosen = chosen.join(side(add), F.col("source").eqNullSafe(F.col("s")), "left")
         chosen = cut(chosen.withColumn("one", F.col("one") | F.coalesce((F.col("doc_id") == F.col("add_id")) & (F.col("size") == F.col("add_size")), F.lit(False))).drop("s", "add_id", "add_size"))
     copies = (F.col("whole") + F.col("one").cast("int")).cast("long")
     return chosen.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
