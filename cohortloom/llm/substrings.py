@@ -64,9 +64,14 @@ def _rows(part, n_parts, columns, texts=None):
 
 
 def _columns(table, deltas):
-    rows = table.to_pylist()
-    out = [np.concatenate([unpack(r[name], r["n"], delta) for r in rows] or [np.zeros(0, np.int64)]) for name, delta in zip("abcde", deltas)]
-    return out, rows
+    sizes = table.column("n").to_pylist()
+    return [np.concatenate([unpack(x.as_py(), n, delta) for x, n in zip(table.column(name), sizes)] or [np.zeros(0, np.int64)]) for name, delta in zip("abcde", deltas)]
+
+
+def _texts(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of all rows of a column and eight more, copied once."""
+    views = [np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in column]
+    return np.concatenate([*views, np.zeros(8, dtype=np.uint8)])
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +136,7 @@ def _shared(rows: DataFrame, length: int, gram: int, n_shards: int, n_buckets: i
     def judge(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:  # known to be shared: on to the documents
             return table.set_column(0, "part", pa.array([-1 - x for x in table.column("part").to_pylist()], pa.int32()))
-        (key, id, place, known), _ = _columns(table, (False, True, True, True))
+        key, id, place, known = _columns(table, (False, True, True, True))
         by = np.lexsort((id, key))
         key, id, place, known = key[by], id[by], place[by], known[by]
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
@@ -216,12 +221,11 @@ def previous_factors(doc: np.ndarray, common: np.ndarray, wanted: int = 1) -> np
     return best
 
 
-def _removed(key, id, blob, start, n_windows, length):
+def _removed(key, id, text, start, n_windows, length):
     """Entry and number of each window of the runs that a smaller document has in a run of the same key.
 
-    Keys are taken some CHUNK windows at a time, which bounds memory.
+    text: the bytes of all runs and eight more. Keys are taken some CHUNK windows at a time, which bounds memory.
     """
-    text = np.append(blob, np.zeros(8, dtype=np.uint8))
     by = np.argsort(key, kind="stable")
     firsts = np.flatnonzero(np.append(True, key[by][1:] != key[by][:-1])[: len(key)])
     total = np.append(0, np.cumsum(n_windows[by]))
@@ -286,7 +290,7 @@ def spans(docs: DataFrame, length: int, gram: int, n_shards: int, n_buckets: int
     shared = _shared(docs.select("id", "text"), length, gram, n_shards, n_buckets)
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        (id, place), _ = _columns(right, (True, True))
+        id, place = _columns(right, (True, True))
         if not left.num_rows or not len(id):
             return pa.Table.from_batches([], schema=_SCHEMA)
         key, id, offset, size, start, blob = _of_documents(left, length, gram, id, place)
@@ -307,10 +311,9 @@ def spans(docs: DataFrame, length: int, gram: int, n_shards: int, n_buckets: int
     def judge(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:
             return table.set_column(0, "part", pa.array([-1 - x for x in table.column("part").to_pylist()], pa.int32()))
-        (key, id, offset, size), rows = _columns(table, (False, True, True, True))
-        blob = np.frombuffer(b"".join(r["e"] for r in rows), dtype=np.uint8)
+        key, id, offset, size = _columns(table, (False, True, True, True))
         n = size + length - 1
-        entry, inside = _removed(key, id, blob, np.cumsum(n) - n, size, length)
+        entry, inside = _removed(key, id, _texts(table.column("e")), np.cumsum(n) - n, size, length)
         return pa.Table.from_batches([_spans(id[entry], offset[entry] + inside, n_buckets, length)])
 
     pairs = docs.groupBy("bucket").cogroup(shared.groupBy("part")).applyInArrow(send, PACKED)
@@ -336,7 +339,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     removed = spans(rows, length, gram, n_shards, n_buckets)
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        (id, first, count), _ = _columns(right, (True, True, True))
+        id, first, count = _columns(right, (True, True, True))
         by = np.lexsort((first, id))
         found = dict(zip(*_groups(id[by], np.stack([first[by], count[by]], axis=1)))) if len(id) else {}
         n_bytes, n_removed, n_spans, kept = [], [], [], []
