@@ -1,15 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Pass one counts, over all passages, the documents that hold each n-gram of the
-test items. An n-gram is a seed of its items if at most ``rare_docs`` documents
-hold it, or if it is among the item's ``always`` rarest (so a widely leaked item
-keeps seeds). Pass two joins passages to items on seeds and aligns each item with
-the words around each seed; the best local alignment, over that of the item with
-itself, is the score, and the pair is returned if it reaches ``min_score``.
+Every n-gram of the test items is a seed, however many documents hold it, so an
+item that leaked widely still finds its partial and edited copies. Passages are
+joined to items on seeds. A pair goes on if the passage holds as many of the item's
+words as any alignment of ``min_score`` must match, which loses nothing; then the
+item is aligned with the words around each seed. The best local alignment, over that
+of the item with itself, is the score, and the pair is returned if it reaches
+``min_score``.
 
 Items come to the tasks in blocks of at most ``BLOCK_ITEMS`` items and
 ``BLOCK_WORDS`` words, a pass over the documents for each block, so what is
-broadcast has a bound whatever the benchmark's size. A passage that a third of
+broadcast has a bound whatever the benchmark's size; seeds are looked up for
+``HITS`` pairs of words and items at a time, one passage at least. A passage that a third of
 all documents hold costs each of them one alignment; nothing is grouped by it.
 
 Words are runs of ASCII letters, digits and characters outside ASCII,
@@ -28,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import ALNUM, Spans, batch_of, lookup, more, row_of, slices, text_bytes, windows, word_spans
+from .kit import ALNUM, Spans, lookup, more, per_row, ranges, row_of, slices, text_bytes, windows, word_spans
 
 N = 3
 RARE_DOCS = 50
@@ -36,12 +38,17 @@ ALWAYS = 12
 MIN_SCORE = 0.5
 BLOCK_ITEMS = 20_000
 BLOCK_WORDS = 4_000_000
+#: Pairs of a passage's word and an item's that are held at once.
+HITS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
 @dataclass(frozen=True)
 class Block:
-    """Items' ids and word hashes; sorted seed hashes with the places (item, word) that each stands for."""
+    """Items' ids and word hashes; sorted seed hashes with the places (item, word) that each stands for.
+
+    words: the sorted hashes of all items' words; codes: the items' words as places there, one item after the other.
+    """
 
     ids: list[int]
     items: list[np.ndarray]
@@ -49,6 +56,9 @@ class Block:
     first: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    words: np.ndarray
+    codes: np.ndarray
+    starts: np.ndarray
 
 
 def _hashes(column):
@@ -81,40 +91,13 @@ def _places(items, n):
     return h, item, at - first[item]
 
 
-def _frequencies(docs: DataFrame, grams: np.ndarray, n: int) -> np.ndarray:
-    """Number of documents that hold each of the sorted n-gram hashes."""
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
-
-    def run(batches):
-        total = np.zeros(len(shared.value), dtype=np.int64)
-        for batch in slices(batches):
-            hashes, first = _hashes(batch.column("text"))
-            h, at = windows(hashes, first, n)
-            gram = lookup(shared.value, h)
-            at, gram = at[gram >= 0], gram[gram >= 0]
-            both = np.unique(row_of(first)[at] * len(total) + gram)
-            total += np.bincount(both % max(len(total), 1), minlength=len(total))
-        k = np.flatnonzero(total)
-        yield batch_of(pa.schema([("k", pa.int64()), ("c", pa.int64())]), k, total[k])
-
-    counts = docs.select("text").mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).toArrow()
-    out = np.zeros(len(grams), dtype=np.int64)
-    out[counts["k"].to_numpy()] = counts["c"].to_numpy()
-    return out
-
-
-def _block(docs, ids, items, n, rare_docs, always) -> Block:
+def _block(ids, items, n) -> Block:
     h, item, place = _places(items, n)
-    grams, gram = np.unique(h, return_inverse=True)
-    df = _frequencies(docs, grams, n)[gram]
-    by = np.lexsort((place, df, item))
-    rank = np.empty(len(by), dtype=np.int64)
-    starts = np.searchsorted(item[by], np.arange(len(items)))
-    rank[by] = np.arange(len(by)) - starts[item[by]]
-    keep = np.flatnonzero((df <= rare_docs) | (rank < always))
-    keep = keep[np.argsort(h[keep], kind="stable")]
-    seeds, first = np.unique(h[keep], return_index=True)
-    return Block(ids, items, seeds, np.append(first, len(keep)), item[keep], place[keep])
+    by = np.argsort(h, kind="stable")
+    seeds, first = np.unique(h[by], return_index=True)
+    words, codes = np.unique(np.concatenate([*items, np.zeros(0, np.uint64)]), return_inverse=True)
+    starts = np.append(0, np.cumsum([len(x) for x in items])).astype(np.int64)
+    return Block(ids, items, seeds, np.append(first, len(by)), item[by], place[by], words, codes, starts)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -147,15 +130,52 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def _likely(block: Block, held: np.ndarray, row, item, min_score) -> np.ndarray:
+    """Whether each row holds min_score of its item's words, as any alignment of that score must; held: sorted keys of row and word."""
+    size = np.diff(block.starts)[item]
+    out = np.zeros(len(row), dtype=bool)
+    ends = np.cumsum(size)
+    a = 0
+    while a < len(row):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - size[a] + HITS, "right")))
+        code = block.codes[np.repeat(block.starts[item[a:b]], size[a:b]) + ranges(size[a:b])]
+        found = lookup(held, np.repeat(row[a:b], size[a:b]) * len(block.words) + code) >= 0
+        out[a:b] = per_row(found, np.append(0, np.cumsum(size[a:b]))) / size[a:b] >= min_score
+        a = b
+    return out
+
+
 def _pairs(block: Block, hashes, first, n, min_score):
     """(row, item, score, first word, end word) of a slice's passages; the best place for each row and item."""
     h, at = windows(hashes, first, n)
     seed = lookup(block.seeds, h)
     at, seed = at[seed >= 0], seed[seed >= 0]
+    found: dict = {}
+    if not len(at):
+        return found
+    of = row_of(first)
+    code = lookup(block.words, hashes)
+    held = np.unique((of * len(block.words) + code)[code >= 0])
     count = block.first[seed + 1] - block.first[seed]
-    place = np.repeat(block.first[seed], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+    rows, begin = np.unique(of[at], return_index=True)
+    before, begin = np.append(0, np.cumsum(count)), np.append(begin, len(at))
+    a = 0
+    while a < len(rows):
+        b = max(a + 1, int(np.searchsorted(before[begin], before[begin[a]] + HITS, "right")) - 1)
+        hits = slice(begin[a], begin[b])
+        found.update(_aligned(block, hashes, first, n, min_score, held, of, at[hits], seed[hits], count[hits]))
+        a = b
+    return found
+
+
+def _aligned(block: Block, hashes, first, n, min_score, held, of, at, seed, count):
+    """What _pairs gives, for the seeds found in some of the rows."""
+    place = np.repeat(block.first[seed], count) + ranges(count)
     word, item, inside = np.repeat(at, count), block.item[place], block.place[place]
-    row = row_of(first)[word] if len(word) else word
+    row = of[word]
+    pairs, pair = np.unique(row * len(block.items) + item, return_inverse=True)
+    ok = _likely(block, held, pairs // len(block.items), pairs % len(block.items), min_score)[pair]
+    word, item, inside, row = word[ok], item[ok], inside[ok], row[ok]
     size = np.array([len(x) for x in block.items], dtype=np.int64)[item]
     pad = size // 2 + n
     low = np.maximum(word - inside - pad, first[row])
@@ -180,12 +200,15 @@ def _pairs(block: Block, hashes, first, n, min_score):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = N, rare_docs: int = RARE_DOCS, always: int = ALWAYS, min_score: float = MIN_SCORE) -> DataFrame:
-    """Pairs of passages and items: doc_id, item_id, score, first_word, end_word (of the passage)."""
+    """Pairs of passages and items: doc_id, item_id, score, first_word, end_word (of the passage).
+
+    rare_docs and always, which once limited the seeds, are accepted and change nothing.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = benchmark.schema[item_id].dataType
     out = None
     for ids, items in blocks(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(_block(rows, ids, items, n, rare_docs, always))
+        shared = docs.sparkSession.sparkContext.broadcast(_block(ids, items, n))
 
         def run(batches, shared=shared):
             block = shared.value
@@ -205,11 +228,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int = N, rare_docs: int = RARE_DOCS, always: int = ALWAYS, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of docs that pair with no item, columns unchanged."""
-    rows = docs.select(F.col(text_col).alias("text"))
+    """The rows of docs that pair with no item, columns unchanged; rare_docs and always as in contaminated."""
     names = docs.columns
     for ids, items in blocks(benchmark, "item_id", "text"):
-        shared = docs.sparkSession.sparkContext.broadcast(_block(rows, ids, items, n, rare_docs, always))
+        shared = docs.sparkSession.sparkContext.broadcast(_block(ids, items, n))
 
         def run(batches, shared=shared):
             for batch in slices(batches, text_col):

@@ -6,6 +6,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,6 +245,25 @@ def test_decontamination(make, spark, odd_texts, clashing, monkeypatch):
     assert decontaminate.contaminated(make([(None, items[0][1])]), benchmark).first().doc_id is None
 
 
+def test_decontamination_of_a_widely_leaked_item(make, spark, monkeypatch):
+    """Partial and edited copies are found whatever number of whole copies there is."""
+    rng = random.Random(14)
+    item = [f"w{k}" for k in range(40)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id int, text string")
+    edited = [x if k % 8 or not k else "new" for k, x in enumerate(item)]
+    pad = " ".join(words(rng, 30, 5000))
+    parts = [item[16:], item[:24], item[8:32], edited, edited[10:]]
+    texts = [" ".join(item)] * 60 + [f"{pad} {' '.join(x)}" for x in parts] + [f"{pad} {' '.join(item[:19])}", pad]
+    found = {r.doc_id: r.score for r in decontaminate.contaminated(make(texts), benchmark).collect()}
+    assert set(found) == set(range(65)) and [found[i] for i in (0, 60, 61, 62)] == [1.0, 0.6, 0.6, 0.6]
+    assert {r.doc_id for r in decontaminate.clean(make(texts), benchmark).select("doc_id").collect()} == {65, 66}
+    (ids, items), = decontaminate.blocks(benchmark, "item_id", "text")
+    block, texts = decontaminate._block(ids, items, 3), decontaminate._hashes(pa.array(texts))
+    whole = decontaminate._pairs(block, *texts, 3, 0.5)
+    monkeypatch.setattr(decontaminate, "HITS", 1)
+    assert decontaminate._pairs(block, *texts, 3, 0.5) == whole and len(whole) == 65
+
+
 def test_mixing_targets(make, monkeypatch):
     rows = [(i, "w " * 10, "en", "a") for i in range(50)] + [(100 + i, "w " * 10, "en", "b") for i in range(5)] + [(200, "w " * 7, "en", None), (201, None, "en", None), (202, "", "en", "e")]
     got = mixing.mix(make(rows))
