@@ -10,8 +10,12 @@ A document's expected copies are its source's target over its size. The whole pa
 is allocated to each document; the rest is the inclusion probability of one more
 copy. For it, documents are ranked by random odds divided by inclusion odds, and
 the longest run from the front that fits the words still due is taken (a sample
-whose size is fixed in words). What then remains is less than one document;
-``top_ups`` times the largest document that still fits is added.
+whose size is fixed in words). What then remains is less than the document that
+stopped the run, which may be a long one, so the rest is filled until no document
+fits: in rounds, each takes in the same order the longest run of those of at most
+half of the words left (this at least halves what is left, or takes them all), or
+the largest one that fits where there is none so short. With ``top_ups`` given, so
+many times the largest document that still fits is added instead, and no more.
 
 No window holds a source: ranks are cut into ``BUCKETS`` ranges, whose sums are
 added up first; the range at the limit is cut again, ``LEVELS`` times in all, and
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .kit import cut
+from .kit import cut, parts
 
 #: What a word is, and the weights of sources in turn.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -83,7 +87,46 @@ def _narrow(drawn: DataFrame, level: int, side) -> DataFrame:
     return drawn.drop("limit", "before").join(side(limit), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = "mix", top_ups: int = 2) -> DataFrame:
+def _front(drawn: DataFrame, side, names: list[str]) -> DataFrame:
+    """The named columns and whether a row is in the longest run from the front of its source that fits the words due."""
+    drawn = drawn.withColumns({"limit": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
+    for level in range(1, LEVELS + 1):
+        drawn = _narrow(drawn, level, side)
+    run = F.sum("size").over(W.partitionBy("source").orderBy("odds", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
+    last = F.floor(F.col("place") * BUCKETS**LEVELS).cast("long")
+    below = drawn.where(F.col("limit").isNull() | (last < F.col("limit"))).withColumn("one", F.lit(True))
+    at = drawn.where(last == F.col("limit")).withColumn("one", F.col("before") + run <= F.col("due"))
+    above = drawn.where(last > F.col("limit")).withColumn("one", F.lit(False))
+    return below.select(*names, "one").unionByName(at.select(*names, "one")).unionByName(above.select(*names, "one"))
+
+
+def _fill(chosen: DataFrame, side) -> DataFrame:
+    """chosen with further rows taken until none fits the words left of its source."""
+    chosen = cut(chosen.withColumn("row", F.monotonically_increasing_id()))
+    left = chosen.groupBy("source").agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left"))
+    names, few = ["row", "doc_id", "source", "size", "odds", "place"], parts(chosen.sparkSession)
+    state, taken = chosen.where("not one and odds is not null and size > 0").select(*names).coalesce(few), None
+    while True:
+        fits = state.join(side(left.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).where("size <= left").drop("s")
+        short = F.col("size") * 2 <= F.col("left")
+        by = cut(fits.groupBy("source").agg(F.max("left").alias("left"), F.max(short).alias("any_short"), F.min(F.struct(-F.col("size"), "odds", "doc_id", "row"))["row"].alias("largest")).coalesce(few))
+        if by.isEmpty():
+            break
+        fits = fits.drop("left").join(side(by.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        run = _front(fits.where(short).withColumn("due", F.col("left")), side, names)
+        rest = fits.where(~short).withColumn("one", ~F.col("any_short") & (F.col("row") == F.col("largest")))
+        step = cut(run.unionByName(rest.select(*names, "one")).coalesce(few))  # unions would multiply the partitions each round
+        new = step.where("one")
+        taken = new.select("row") if taken is None else taken.unionByName(new.select("row"))
+        used = new.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("used"))
+        left = by.join(side(used), F.col("source").eqNullSafe(F.col("s"))).select("source", (F.col("left") - F.col("used")).alias("left"))
+        state = step.where("not one").select(*names)
+    if taken is None:
+        return chosen
+    return chosen.join(taken.coalesce(few).withColumn("added", F.lit(True)), "row", "left").withColumn("one", F.col("one") | F.col("added").isNotNull())
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = "mix", top_ups: int | None = None) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies, taken (copies * size)."""
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
     plan = cut(targets(rows, weights, max_copies))
@@ -100,19 +143,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ranked = rows.join(side(plan.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     ranked = cut(ranked.withColumn("odds", F.when(F.col("p") > 0, odds)).withColumn("place", u))  # a source's odds are in the order of u
 
-    drawn = ranked.where("odds is not null").withColumns({"limit": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
-    for level in range(1, LEVELS + 1):
-        drawn = _narrow(drawn, level, side)
-    run = F.sum("size").over(W.partitionBy("source").orderBy("odds", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
-    last = F.floor(F.col("place") * BUCKETS**LEVELS).cast("long")
-    below = drawn.where(F.col("limit").isNull() | (last < F.col("limit"))).withColumn("one", F.lit(True))
-    at = drawn.where(last == F.col("limit")).withColumn("one", F.col("before") + run <= F.col("due"))
-    above = drawn.where(last > F.col("limit")).withColumn("one", F.lit(False))
+    names = ["doc_id", "source", "size", "source_size", "target", "whole", "due", "odds", "place"]
     rest = ranked.where("odds is null").withColumn("one", F.lit(False))
-    names = ["doc_id", "source", "size", "source_size", "target", "whole", "due", "odds", "one"]
-    chosen = cut(below.select(*names).unionByName(at.select(*names)).unionByName(above.select(*names)).unionByName(rest.select(*names)))
+    chosen = _front(ranked.where("odds is not null"), side, names).unionByName(rest.select(*names, "one"))
+    chosen = _fill(chosen, side) if top_ups is None else cut(chosen)
 
-    for _ in range(top_ups):
+    for _ in range(top_ups or 0):
         left = chosen.groupBy("source").agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left")).withColumnRenamed("source", "s")
         left = cut(left)
         free = chosen.where("not one and odds is not null and size > 0").join(side(left), F.col("source").eqNullSafe(F.col("s"))).where("size <= left")

@@ -278,6 +278,26 @@ def test_mixing_targets(make, monkeypatch):
     assert order(got) == order(mixing.mix(make(rows)))
 
 
+def test_mixing_goes_on_past_long_documents(make):
+    """A text larger than what is left does not block the rest, and at the end nothing that fits remains."""
+    rng = random.Random(15)
+    u = {r.id: r.u for r in make([]).sparkSession.range(5000).select("id", mixing.uniform(F.col("id"), "mix").alias("u")).collect()}
+    front = min(u, key=lambda i: abs(u[i] - 0.05))
+    short = [i for i in u if i != front][:1000]
+    rows = [(front, "w " * 30_000, "en", "a"), *((i, "w " * 20, "en", "a") for i in short)]
+    rows += [(6000 + i, "w " * int(2 ** rng.uniform(0, 12)), "en", None) for i in range(80)]
+    rows += [(7000 + i, "w " * (7 + i % 3), "en", "c") for i in range(2000)]
+    got = mixing.mix(make(rows)).collect()
+    assert len(got) == len(rows)
+    for source in ("a", None, "c"):
+        mine = [r for r in got if r.source == source]
+        missing = mine[0].target - sum(r.taken for r in mine)
+        whole = mine[0].target // mine[0].source_size
+        assert 0 <= missing and all(r.size > missing for r in mine if r.copies == whole)
+        if source == "a":
+            assert missing < 20
+
+
 def test_mixing_inclusion(make):
     """Over many seeds each document is taken about as often as its source's share says."""
     rows = [(i, "w " * (1 + i % 5), "en", "ab"[i % 2]) for i in range(60)]
