@@ -16,7 +16,8 @@ all documents hold costs each of them one alignment; nothing is grouped by it.
 
 Words are runs of ASCII letters, digits and characters outside ASCII,
 lower-cased. Null and empty texts match nothing, nor do items of fewer than n
-words, which can't be told from chance. Copies of an item match alike. Tables
+words, which can't be told from chance. Copies of an item match alike. An
+item with a null id is used like any other and gives pairs with a null item_id. Tables
 without rows give no pairs.
 """
 
@@ -70,7 +71,7 @@ def _hashes(column):
 def blocks(benchmark: DataFrame, id_col: str, text_col: str):
     """Lists of (id, word hashes), each of bounded size; rows come to the driver a few at a time."""
     ids, items, size = [], [], 0
-    rows = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null").orderBy("id")
+    rows = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).orderBy("id")
     for row in rows.toLocalIterator():
         h, _ = _hashes(pa.array([row["text"]], pa.string()))
         if ids and (len(ids) == BLOCK_ITEMS or size + len(h) > BLOCK_WORDS):

@@ -264,6 +264,15 @@ def test_decontamination_of_a_widely_leaked_item(make, spark, monkeypatch):
     assert decontaminate._pairs(block, *texts, 3, 0.5) == whole and len(whole) == 65
 
 
+def test_decontamination_by_items_without_id(make, spark):
+    rng = random.Random(16)
+    items = [" ".join(words(rng, 20, 5000)) for _ in range(3)]
+    benchmark = spark.createDataFrame([(None, items[0]), (None, items[1]), (4, items[2])], "item_id int, text string")
+    docs = make([*items, " ".join(words(rng, 40, 5000))])
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()} == {(0, None), (1, None), (2, 4)}
+    assert [r.doc_id for r in decontaminate.clean(docs, benchmark).collect()] == [3]
+
+
 def test_mixing_targets(make, monkeypatch):
     rows = [(i, "w " * 10, "en", "a") for i in range(50)] + [(100 + i, "w " * 10, "en", "b") for i in range(5)] + [(200, "w " * 7, "en", None), (201, None, "en", None), (202, "", "en", "e")]
     got = mixing.mix(make(rows))
