@@ -5,23 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import cut
+from .kit import cut, spread_join
+
+
+def _least(rows: DataFrame) -> DataFrame:
+    """The smallest v of each u, and its rows."""
+    return cut(rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in links (a, b); component: the smallest id reachable.
 
     Each round is written to the shared folder; rounds grow with the logarithm of
-    the longest chain. Ids with many links are aggregated before the shuffle.
+    the longest chain. Ids with many links are aggregated before the shuffle, and
+    their links joined where they are.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = _least(both)
+        large = cut(spread_join(both, least, ["u"], "c").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+        lowest = _least(large)
+        small = spread_join(large, lowest, ["u"], "c").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:

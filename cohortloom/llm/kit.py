@@ -7,7 +7,6 @@ memory follows the slice and not the partition.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.shared import shared_dir
+
 SLICE_BYTES = 1 << 21
 
-_MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+_MULTIPLIER = 0x9E3779B97F4A7C15
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -36,23 +36,25 @@ ALPHA = ALNUM.copy()
 ALPHA[0x30:0x3A] = False
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set (tests)."""
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="checkpoint-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(found)
-    return found
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and go on from there, so that a lost executor costs little."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, most: int = 1000) -> DataFrame:
+    """rows joined to the table's row of each key; weight: how many rows have the key.
+
+    Keys that more than one row in ``most`` has, fewer than ``most`` of them, are
+    broadcast; a shuffle deals the others, so no task gets more than its share.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    wide = F.col(weight) * most > F.lit(total)
+    hot = F.broadcast(table.where(wide))
+    rest = rows.join(F.broadcast(table.where(wide).select(*keys)), keys, "left_anti").join(table.where(~wide), keys)
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def more(df: DataFrame, fields: str) -> T.StructType:
     """The schema of df with further fields."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(fields).fields])
@@ -94,30 +96,57 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_powers: list[np.ndarray] = []
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        steps = np.full((2, size), [[_MULTIPLIER], [_INVERSE]], dtype=np.uint64)
-        steps[:, 0] = 1
-        _powers[:] = list(np.cumprod(steps, axis=1, dtype=np.uint64))
-    return _powers[0], _powers[1]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_PIECE = 1024
 
 
 class Spans:
-    """Hashes of any byte ranges of one buffer, from sums of its prefixes."""
+    """64-bit hashes of any byte ranges of one buffer.
+
+    A range is folded eight bytes at a time, each step a non-linear mix, so no sums of
+    bytes can cancel out; a range longer than _PIECE is the fold of its pieces' hashes.
+    Hashes of different salts are independent.
+    """
 
     def __init__(self, data: np.ndarray, lower: bool = True):
-        up, self.down = _tables(len(data) + 1)
-        values = (LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)
-        values *= up[: len(data)]
-        self.prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(values, out=self.prefix[1:])
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.prefix[end] - self.prefix[start]) * self.down[start])
+        self.data = np.zeros(len(data) + 8, dtype=np.uint8)
+        self.data[: len(data)] = LOWER[data] if lower else data
+        self.words = np.ndarray((len(data) + 1,), dtype="<u8", buffer=self.data, strides=(1,))
+
+    def hashes(self, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+        size = np.asarray(end, dtype=np.int64) - start
+        long = np.flatnonzero(size > _PIECE)
+        if not len(long):
+            return self._fold(start, size, salt)
+        out = np.empty(len(size), dtype=np.uint64)
+        short = size <= _PIECE
+        out[short] = self._fold(start[short], size[short], salt)
+        pieces = -(-size[long] // _PIECE)
+        at = np.repeat(start[long], pieces) + ranges(pieces) * _PIECE
+        h = self._fold(at, np.minimum(_PIECE, np.repeat(end[long], pieces) - at), salt)
+        to = 8 * np.cumsum(pieces)
+        out[long] = mix(Spans(h.view(np.uint8), lower=False).hashes(to - 8 * pieces, to, salt) ^ size[long].astype(np.uint64))
+        return out
+
+    def _fold(self, start, size, salt):
+        h = mix((size.astype(np.uint64) + np.uint64(salt << 32)) * _STEP)
+        live, k = np.flatnonzero(size > 0), 0
+        while len(live):
+            word, left = self.words[start[live] + k], size[live] - k
+            part = left < 8
+            word[part] &= (np.uint64(1) << (8 * left[part]).astype(np.uint64)) - np.uint64(1)
+            h[live] = mix((h[live] ^ word) + _STEP)
+            k += 8
+            live = live[left > 8]
+        return h
+
+    def grams(self, n: int) -> np.ndarray:
+        """The hash of the n bytes (8 at least) from each place on that has so many."""
+        count = max(0, len(self.data) - 8 - n + 1)
+        h = np.zeros(count, dtype=np.uint64)
+        for at in sorted({*range(0, n - 7, 8), n - 8}):
+            h = mix((h ^ self.words[at : at + count]) + _STEP)
+        return h
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,10 +20,17 @@ Jaccard similarity.
    components is left out, and none inside a component is looked at.
 5. Components of all links, by smallest id.
 
+Shingles are 64-bit hashes of words' bytes, made by non-linear steps. A link compares
+two texts' sets only, so a false match needs two of a pair's shingles to collide (under
+1e-7 for sets of a million), whatever the size of the corpus; equal sets are told by
+their size and two 64-bit sums. Keys, components and classes that many rows share
+are joined by ``spread_join``, so none makes one task read them all.
+
 A pair at the threshold misses all bands with a probability of about 5e-6.
 Null and empty texts have empty sets and link with nothing; a text of fewer words
 than a shingle is one shingle. Ids are integers; a null id counts as the smallest;
-rows that share an id count as linked. An empty table gives an empty result.
+rows that share an id count as linked. Very long texts are sketched whole. Other columns
+are ignored, and kept by ``keep_one``. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kit import NOT_SPACE, Spans, batch_of, cut, integer_id, lookup, mix, row_of, slices, text_bytes, windows, word_spans
+from .kit import NOT_SPACE, Spans, batch_of, cut, integer_id, lookup, mix, row_of, slices, spread_join, text_bytes, windows, word_spans
 
 SHINGLE = 5
 THRESHOLD = 80  # hundredths
@@ -192,17 +199,19 @@ def _across(apart: DataFrame, placed: DataFrame, reps: DataFrame, sets: DataFram
     queries, in blocks of about BLOCK documents each, first by registers and then by full sets. Only links leave a block.
     """
     queries = cut(apart.where("component <> largest").select("largest", "id", "component").distinct())
-    inside = placed.select("id", "component").distinct().join(queries.select(F.col("largest").alias("component")).distinct(), "component").select(F.col("component").alias("largest"), "id", "component")
+    members = placed.select("id", "component").distinct()
+    wanted = members.groupBy("component").agg(F.count("*").alias("c")).join(queries.select(F.col("largest").alias("component")).distinct(), "component", "left_semi")
+    inside = spread_join(members, cut(wanted), ["component"], "c").select(F.col("component").alias("largest"), "id", "component")
     targets = cut(inside.unionByName(queries))
 
     def blocks(rows, name):
-        return rows.groupBy("largest").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+        return rows.groupBy("largest").agg(F.count("*").alias("c" + name), F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
 
-    number = blocks(queries, "nq").join(blocks(targets, "nt"), "largest")
+    number = cut(blocks(queries, "nq").join(blocks(targets, "nt"), "largest"))
     data = reps.join(sets, "id")
 
     def dealt(rows, own, other, own_block, other_block, mark):
-        found = rows.join(number, "largest").withColumn(own_block, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+        found = spread_join(rows, number, ["largest"], "c" + own).withColumn(own_block, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
         found = found.join(data, "id").withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         keys = ["largest", "bq", "bt"]
         return found.select(*(F.col(c).alias(mark + c) for c in (*keys, "id", "component", "n", "k", "s"))).groupBy(*(mark + c for c in keys))
@@ -231,10 +240,10 @@ def _across(apart: DataFrame, placed: DataFrame, reps: DataFrame, sets: DataFram
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: id_col, n_shingles, component_id, n_links (confirmed links of its class), kept."""
+    """One row per document: id_col, n_shingles, component_id, kept."""
     rows = docs.select(integer_id(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
     sketches = cut(_sketch(rows, shingle, BANDS * ROWS))
-    classes = cut(sketches.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("k").alias("k")))
+    classes = cut(sketches.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("k").alias("k"), F.count("*").alias("c")))
     reps = classes.select(F.col("rep").alias("id"), "n", "k")
 
     bands = cut(reps.mapInArrow(_bands, "key long, id long, n long"))
@@ -254,12 +263,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(_across(placed.join(largest, "key"), placed, reps, sets, threshold))
 
     found = components(links)
-    degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
-    judged = classes.select("n", "s1", "s2", F.col("rep").alias("id")).join(found, "id", "left").join(degree, "id", "left")
-    judged = judged.select("n", "s1", "s2", F.coalesce("component", "id").alias("component"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = sketches.select("id", "n", "s1", "s2").join(judged, ["n", "s1", "s2"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.col("id") == component).alias("kept"))
+    judged = cut(classes.select("n", "s1", "s2", "c", F.col("rep").alias("id")).join(found, "id", "left").select("n", "s1", "s2", "c", F.coalesce("component", "id").alias("component")))
+    some = spread_join(sketches.where("n > 0").select("id", "n", "s1", "s2"), judged, ["n", "s1", "s2"], "c").select("id", "n", "component")
+    out = some.unionByName(sketches.where("n = 0").select("id", "n", F.col("id").alias("component")))
+    return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:

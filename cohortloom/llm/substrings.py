@@ -9,14 +9,18 @@ is removed; windows overlap freely and are judged on the input.
    blocks; a shard tells which keys more than one document holds. A key found
    twice inside a block is known to be shared there and is sent once.
 2. The bytes of the runs with shared keys go to shards by key. Among documents that
-   meet in one task anyway, a run with the very bytes of an earlier document's is
-   removed at once, so a passage that a third of all documents share sends one copy
+   meet in one task anyway, a run with the very bytes of an earlier document's (hashes
+   find it, the bytes are compared) is removed at once, so a passage that a third of all documents share sends one copy
    a task. A shard sorts the windows of each key (their suffix order, to ``length``
    bytes) with the longest common prefixes of neighbours. For each window the
    nearest entries before and after it in that order with a smaller document give
    the longest previous factor; at ``length`` or more the window goes.
 3. The removed windows return to the documents by buckets of ids.
 
+Shards and buckets are as many as the table's bytes ask for, so what a task holds at a
+time does not grow with the table, but for a key of which many different windows are
+in different documents: all windows of one key are sorted by one shard.
+
 Null and empty texts, and those shorter than ``length``, lose nothing. Ids are
 integers; a null id counts as the smallest. Rows that share an id are one
 document here: they never remove each other's bytes, and each loses what either
@@ -33,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import Spans, batch_of, by_part, integer_id, mix, pack, parts, prime_above, ranges, slices, text_bytes, unpack
+from .kit import Spans, batch_of, by_part, integer_id, pack, parts, prime_above, ranges, slices, text_bytes, unpack
 
 LENGTH = 50
 GRAM = 16
 BLOCK = 1 << 21
 CHUNK = 1 << 19
+#: Bytes of text to each shard, and half of them to each bucket of ids, whatever the size of the table.
+SHARD_BYTES = 1 << 22
 KEY_BITS = np.uint64(16)
 
 PACKED = "part int, n long, a binary, b binary, c binary, d binary, e binary"
@@ -80,8 +86,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple
     empty = np.zeros(0, dtype=np.int64)
     if len(data) < length:
         return empty.view(np.uint64), empty, empty, empty
-    spans = Spans(data, lower=False)
-    key = mix((spans.prefix[gram:] - spans.prefix[:-gram]) * spans.down[: len(data) - gram + 1])
+    key = Spans(data, lower=False).grams(gram)
     span = 1
     while span < width:
         step = min(span, width - span)
@@ -280,6 +285,20 @@ def _of_documents(left: pa.Table, length: int, gram: int, wanted_id, wanted_plac
     return key, id, offset, size, start, np.concatenate(blobs)
 
 
+def _same_bytes(blob, a, b, n):
+    """Whether the n bytes from each a on are those from b on."""
+    same = np.ones(len(a), dtype=bool)
+    ends = np.cumsum(n)
+    k = 0
+    while k < len(a):
+        last = max(k + 1, int(np.searchsorted(ends, ends[k] - n[k] + CHUNK, "right")))
+        inside = ranges(n[k:last])
+        equal = blob[np.repeat(a[k:last], n[k:last]) + inside] == blob[np.repeat(b[k:last], n[k:last]) + inside]
+        same[k:last] = np.logical_and.reduceat(equal, ends[k:last] - n[k:last] - (ends[k] - n[k]))
+        k = last
+    return same
+
+
 def _groups(keys, values):
     names, at = np.unique(keys, return_index=True)
     return names.tolist(), np.split(values, at[1:])
@@ -298,6 +317,8 @@ def spans(docs: DataFrame, length: int, gram: int, n_shards: int, n_buckets: int
         whole = Spans(blob, lower=False).hashes(start, start + n)
         by = np.lexsort((id, whole, n, key))
         same = np.append(False, (key[by][1:] == key[by][:-1]) & (n[by][1:] == n[by][:-1]) & (whole[by][1:] == whole[by][:-1]))
+        later = np.flatnonzero(same)
+        same[later] = _same_bytes(blob, start[by[later]], start[by[later - 1]], n[by[later]])
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
         copy = np.zeros(len(by), dtype=bool)
         copy[by] = same & (id[by] > id[by[head]])
@@ -332,7 +353,8 @@ def _cut(text: np.ndarray, first, count, length):
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, digest: bool = False) -> DataFrame:
     """Per document: id_col, n_bytes, n_removed, n_spans, and the remaining bytes (``kept``), or their kept_sha256 if digest."""
-    n_shards = parts(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    n_shards = max(parts(docs.sparkSession), -(-size // SHARD_BYTES))
     n_buckets = prime_above(2 * n_shards)
     id = integer_id(F.col(id_col))
     rows = docs.select(F.pmod(id, F.lit(n_buckets)).cast("int").alias("bucket"), id.alias("id"), F.col(id_col).isNull().alias("no_id"), F.col(text_col).alias("text"))

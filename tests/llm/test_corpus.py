@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortloom.llm import decontaminate, graph, linededup, mixing, neardup, substrings
+from cohortloom.llm import decontaminate, graph, kit, linededup, mixing, neardup, substrings
 
 from .conftest import words
 
@@ -36,9 +36,14 @@ def brute_lines(rows):
     return out
 
 
-@pytest.mark.parametrize("block", [1 << 21, 3])
-def test_lines_equal_brute_force(make, odd_texts, monkeypatch, block):
+@pytest.mark.parametrize(("block", "few"), [(1 << 21, 1 << 21), (3, 1 << 21), (1 << 21, 0)])
+def test_lines_equal_brute_force(make, odd_texts, monkeypatch, block, few):
+    """Blocks of either size, and shards that are broadcast or probed by a shuffle."""
     monkeypatch.setattr(linededup, "BLOCK", block)
+    monkeypatch.setattr(linededup, "BROADCAST_KEYS", few)
+    monkeypatch.setattr(linededup, "SPREAD", 5)
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 2)
+    monkeypatch.setattr(linededup, "BUCKET_DOCS", 20)
     rng = random.Random(1)
     common = ["É a shared line of some length", " É A shared LINE of some length\t", "twice only, in two documents", "short", "", "another line that many documents hold"]
     texts = ["\n".join(rng.choice(common) if rng.random() < 0.6 else " ".join(words(rng, 5)) for _ in range(rng.randrange(1, 7))) for _ in range(60)] + odd_texts + odd_texts[:3]
@@ -60,10 +65,41 @@ def test_lines_odd(make, clashing):
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64))
     assert sorted(linededup.PerfectHash(keys)(keys).tolist()) == list(range(len(keys)))
-    index = linededup.LineIndex(np.repeat(keys[:100], 2), np.ones(200, np.int64), np.arange(200))
-    counts, last = index.probe(keys[:100])
-    assert set(counts.tolist()) == {2} and last.tolist() == list(range(1, 200, 2))
-    assert (index.probe(keys[100:])[0] > 0).mean() < 0.01
+    prints, counts, last = kit.mix(keys), np.arange(3, 20_003), np.arange(20_000) * 7
+    index = linededup.LineIndex(keys, prints, counts, last)
+    found = index.probe(keys, prints)
+    assert (found[0] == counts).all() and (found[1] == last).all()
+
+
+def test_fingerprints_reject_what_is_not_in_the_index():
+    """Keys outside the set land on some slot; only the fingerprint tells. Keys that share a placing hash both are found."""
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64))
+    index = linededup.LineIndex(keys, kit.mix(keys), np.full(len(keys), 3), np.zeros(len(keys), np.int64))
+    other = rng.integers(0, 1 << 63, 50_000).astype(np.uint64)
+    assert (index.number(other) >= 0).mean() > 0.3 and not index.probe(other, kit.mix(other))[0].any()
+    assert not index.probe(keys, kit.mix(keys) + np.uint64(1))[0].any()
+    twice = linededup.LineIndex(np.array([5, 5, 6], np.uint64), np.array([1, 2, 3], np.uint64), np.array([3, 4, 5]), np.array([7, 8, 9]))
+    asked = np.array([5, 5, 6, 5], np.uint64), np.array([2, 1, 3, 9], np.uint64)
+    assert twice.probe(*asked)[0].tolist() == [4, 3, 5, 0] and twice.probe(*asked)[1][:3].tolist() == [8, 7, 9]
+
+
+def thue_morse(n):
+    """Two strings of n letters whose sums of letters times powers agree modulo 2^64 from 1,024 letters on."""
+    x = "".join("ab"[k.bit_count() % 2] for k in range(n))
+    return x, x.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_texts_that_break_linear_hashes(make, n):
+    x, y = thue_morse(n)
+    rows = [(1, x), (2, x), (3, y)]
+    assert len({int(h) for h in kit.hash_words([x, y])}) == 2
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in linededup.dedup(make(rows)).collect()} == brute_lines(rows)
+    near = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(make(rows), shingle=2).collect()}
+    assert near == brute_near(rows, 2) and near[3][1] == 3
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.dedup(make(rows), digest=True).collect()}
+    assert got == brute_bytes(rows, 50)
 
 
 def brute_bytes(rows, length):
