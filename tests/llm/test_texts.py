@@ -65,6 +65,17 @@ def test_repetition_odd(make, odd_texts, clashing):
     assert repetition.rules(make([])).count() == 0
 
 
+def test_repetition_rejects_what_the_base_rule_keeps(make):
+    """Texts under the base limits (50 words, half of them in repeated windows) that only the suffix array's limits reject."""
+    once = [f"u{i}" for i in range(1000)]
+    passage = [f"p{i}" for i in range(45)]
+    texts = [once[:900] + passage + once[900:] + passage, once[:70] + passage[:11] + once[70:80] + passage[:11], once[:100] + passage[:15] + once[100:130] + passage[:15], once, once[:300] + passage[:8] + once[300:] + passage[:8]]
+    rows = sorted(repetition.rules(make([" ".join(t) for t in texts])).collect())
+    assert not any(r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words for r in rows)
+    assert [r.repetitive for r in rows] == [True, True, False, False, False]
+    assert [(r.longest_repeat, r.n_covered) for r in rows] == [(45, 90), (11, 22), (15, 30), (0, 0), (8, 16)]
+
+
 def test_language(make, odd_texts, clashing):
     rng = random.Random(1)
     say = {"en": "the of and to in is".split(), "fr": "le la de et un une".split()}
