@@ -6,24 +6,27 @@ times its source's size and the excess is shared by weight among the others, unt
 none is above (the level of that filling has a closed form over the sources in
 order of size by weight).
 
-A document's expected copies are its source's target over its size. The whole part
-is allocated to each document; the rest is the inclusion probability of one more
-copy. For it, documents are ranked by random odds divided by inclusion odds, and
-the longest run from the front that fits the words still due is taken (a sample
-whose size is fixed in words). What then remains is less than the document that
-stopped the run, which may be a long one, so the rest is filled until no document
-fits: in rounds, each takes in the same order the longest run of those of at most
-half of the words left (this at least halves what is left, or takes them all), or
-the largest one that fits where there is none so short. With ``top_ups`` given, so
-many times the largest document that still fits is added instead, and no more.
-
-No window holds a source: ranks are cut into ``BUCKETS`` ranges, whose sums are
-added up first; the range at the limit is cut again, ``LEVELS`` times in all, and
-only the last range at the limit is ordered row by row. Random
-numbers come from a hash of the id, so that reruns agree. Rows with the same id,
-source and size tie and are ordered at random among themselves, with the same
-counts. Null or empty texts have size 0 and are never taken. An empty table gives
-an empty result.
+Inside a source documents are not alike: expected copies rise with the size class
+(the binary digits of the size), in proportion to ``lean`` plus the class, and stop
+at ``max_copies``; their factor is such that expected words add up to the target
+(again in closed form, over the few classes of a source). The whole part of a
+document's expected copies is allocated for certain; the rest is its inclusion
+probability for one more copy. For that, documents are ranked by random odds divided
+by inclusion odds, so the likelier come first, and taken in this order as long as the
+words still due hold them. The document that stops the run may be a long one, so the
+walk goes on in the same order and takes each later document that still fits: at the
+end none is left that does. The sample's size is thus fixed in words, to less than
+the smallest document that it leaves out.
+
+No window or array holds a source. Ranks are cut into ``BUCKETS`` ranges, whose sums
+are added up first; the range where the words run out is cut again, ``LEVELS`` times
+in all, and only the last is ordered row by row. The walk beyond takes the next
+``WALK`` documents that are no longer than the words left, folds them, and goes on
+until fewer than that were there. Random numbers come from a hash of the id, so that
+reruns agree. Rows with the same id, source and size tie and are taken in any order,
+with the same counts. Null or empty texts have size 0 and are never taken; very long
+ones count whole. Other columns play no part, whatever their names. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,14 +35,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .kit import cut, parts
+from .kit import cut
 
 #: What a word is, and the weights of sources in turn.
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
+LEAN = 8
 BUCKETS = 1024
 LEVELS = 2
+#: Spark keeps row numbers up to so many without a whole sort (spark.sql.optimizer.windowGroupLimitThreshold).
+WALK = 1000
 #: Tables of one row a source are broadcast up to so many rows, and joined by a shuffle beyond.
 FEW_SOURCES = 20_000
 
@@ -54,12 +60,11 @@ def uniform(key: Column, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
-def targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
-    """One row a source: source, source_size, target. sizes: (source, size) by document.
+def targets(by: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
+    """One row a source: source, source_size, target. by: (source, source_size).
 
     The windows below see one row a source.
     """
-    by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     nth = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (nth % len(weights) + 1).cast("int")).cast("long")
     by = by.withColumn("weight", weight).withColumn("most", F.col("source_size") * max_copies)
@@ -73,6 +78,24 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) ->
     return by.withColumn("at", level).select("source", "source_size", F.least(F.col("most").cast("double"), F.coalesce(F.col("at") * F.col("weight"), F.col("most").cast("double"))).alias("target"))
 
 
+def expected(classes: DataFrame, plan: DataFrame, max_copies: int, lean: int) -> DataFrame:
+    """One row a source: s, source_size, target, due (words left for the draw), copies (a map from size class to expected copies).
+
+    classes: (source, k, n): words by source and size class. The windows see the classes of one source.
+    """
+    rows = classes.where("k > 0").join(plan.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s")))
+    down = W.partitionBy("s").orderBy(F.desc("k"))
+    rows = rows.withColumn("w", F.lit(lean) + F.col("k"))
+    above = F.coalesce(F.sum("n").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) * max_copies
+    c = (F.col("target") - above.cast("double")) / F.sum(F.col("w") * F.col("n")).over(down.rowsBetween(0, W.unboundedFollowing)).cast("double")
+    rows = rows.withColumn("c", c)
+    factor = F.max(F.when(F.col("c") * F.col("w") <= max_copies, F.struct("k", "c"))).over(W.partitionBy("s"))["c"]
+    rows = rows.withColumn("e", F.least(F.lit(float(max_copies)), F.coalesce(factor * F.col("w"), F.lit(float(max_copies)))))
+    by = rows.groupBy("s").agg(F.max("target").alias("t"), F.sum(F.floor("e") * F.col("n")).alias("certain"), F.map_from_entries(F.collect_list(F.struct("k", "e"))).alias("copies"))
+    by = by.select(F.col("s").alias("s2"), (F.col("t") - F.col("certain").cast("double")).alias("due"), "copies")
+    return plan.withColumnRenamed("source", "s").join(by, F.col("s").eqNullSafe(F.col("s2")), "left").drop("s2")
+
+
 def _narrow(drawn: DataFrame, level: int, side) -> DataFrame:
     """Rows with the limit's range at the next finer level, and the words before it; a null limit: all rows fit.
 
@@ -92,7 +115,7 @@ def _front(drawn: DataFrame, side, names: list[str]) -> DataFrame:
     drawn = drawn.withColumns({"limit": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
     for level in range(1, LEVELS + 1):
         drawn = _narrow(drawn, level, side)
-    run = F.sum("size").over(W.partitionBy("source").orderBy("odds", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
+    run = F.sum("size").over(W.partitionBy("source").orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
     last = F.floor(F.col("place") * BUCKETS**LEVELS).cast("long")
     below = drawn.where(F.col("limit").isNull() | (last < F.col("limit"))).withColumn("one", F.lit(True))
     at = drawn.where(last == F.col("limit")).withColumn("one", F.col("before") + run <= F.col("due"))
@@ -100,61 +123,52 @@ def _front(drawn: DataFrame, side, names: list[str]) -> DataFrame:
     return below.select(*names, "one").unionByName(at.select(*names, "one")).unionByName(above.select(*names, "one"))
 
 
-def _fill(chosen: DataFrame, side) -> DataFrame:
-    """chosen with further rows taken until none fits the words left of its source."""
+def _walk_on(chosen: DataFrame, side) -> DataFrame:
+    """chosen with each further row taken, in order, that fits the words left of its source."""
     chosen = cut(chosen.withColumn("row", F.monotonically_increasing_id()))
-    left = chosen.groupBy("source").agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left"))
-    names, few = ["row", "doc_id", "source", "size", "odds", "place"], parts(chosen.sparkSession)
-    state, taken = chosen.where("not one and odds is not null and size > 0").select(*names).coalesce(few), None
+    left = chosen.groupBy(F.col("source").alias("s")).agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left"))
+    state = chosen.where("not one and place is not null").select("row", "doc_id", "source", "size", "place")
+    key, taken = F.struct("place", "doc_id", "size", "row"), []
     while True:
-        fits = state.join(side(left.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).where("size <= left").drop("s")
-        short = F.col("size") * 2 <= F.col("left")
-        by = cut(fits.groupBy("source").agg(F.max("left").alias("left"), F.max(short).alias("any_short"), F.min(F.struct(-F.col("size"), "odds", "doc_id", "row"))["row"].alias("largest")).coalesce(few))
-        if by.isEmpty():
+        fits = state.join(side(left), F.col("source").eqNullSafe(F.col("s"))).where("size <= left")
+        if "last" in left.columns:
+            fits = fits.where(key > F.col("last"))
+        nth = F.row_number().over(W.partitionBy("source").orderBy("place", "doc_id", "size", "row"))
+        some = fits.withColumn("nth", nth).where(F.col("nth") <= WALK).groupBy("source").agg(F.array_sort(F.collect_list(key)).alias("some"), F.max("left").alias("left"))
+        none = F.struct(F.col("left"), F.array().cast("array<bigint>").alias("rows"))
+        walked = F.aggregate("some", none, lambda at, x: F.when(x["size"] <= at["left"], F.struct((at["left"] - x["size"]).alias("left"), F.concat(at["rows"], F.array(x["row"])).alias("rows"))).otherwise(at))
+        step = cut(some.select(F.col("source").alias("s"), walked.alias("x"), F.size("some").alias("seen"), F.element_at("some", -1).alias("last")))
+        taken.append(step.select(F.explode("x.rows").alias("row")))
+        left = step.where(F.col("seen") == WALK).select("s", F.col("x.left").alias("left"), "last")
+        if left.isEmpty():
             break
-        fits = fits.drop("left").join(side(by.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-        run = _front(fits.where(short).withColumn("due", F.col("left")), side, names)
-        rest = fits.where(~short).withColumn("one", ~F.col("any_short") & (F.col("row") == F.col("largest")))
-        step = cut(run.unionByName(rest.select(*names, "one")).coalesce(few))  # unions would multiply the partitions each round
-        new = step.where("one")
-        taken = new.select("row") if taken is None else taken.unionByName(new.select("row"))
-        used = new.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("used"))
-        left = by.join(side(used), F.col("source").eqNullSafe(F.col("s"))).select("source", (F.col("left") - F.col("used")).alias("left"))
-        state = step.where("not one").select(*names)
-    if taken is None:
-        return chosen
-    return chosen.join(taken.coalesce(few).withColumn("added", F.lit(True)), "row", "left").withColumn("one", F.col("one") | F.col("added").isNotNull())
-
-
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = "mix", top_ups: int | None = None) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, copies, taken (copies * size)."""
-    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
-    plan = cut(targets(rows, weights, max_copies))
+    added = taken[0]
+    for more in taken[1:]:
+        added = added.unionByName(more)
+    return chosen.join(added.withColumn("added", F.lit(True)), "row", "left").withColumn("one", F.col("one") | F.col("added").isNotNull())
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, lean: int = LEAN, seed: str = "mix") -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, expected (copies), copies, taken (copies * size)."""
+    size = word_count(F.col(text_col))
+    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size")).withColumn("k", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0)))
+    classes = cut(rows.groupBy("source", "k").agg(F.sum("size").alias("n")))
+    plan = cut(expected(classes, targets(classes.groupBy("source").agg(F.sum("n").alias("source_size")), weights, max_copies), max_copies, lean))
     few = plan.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
 
     def side(df):
         return F.broadcast(df) if few else df
 
-    due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = plan.withColumn("whole", F.floor(due)).withColumn("p", due - F.floor(due))
-    plan = plan.withColumn("due", F.col("target") - F.col("whole") * F.col("source_size"))
-    u = uniform(F.col("doc_id"), seed)
-    odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    ranked = rows.join(side(plan.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    ranked = cut(ranked.withColumn("odds", F.when(F.col("p") > 0, odds)).withColumn("place", u))  # a source's odds are in the order of u
-
-    names = ["doc_id", "source", "size", "source_size", "target", "whole", "due", "odds", "place"]
-    rest = ranked.where("odds is null").withColumn("one", F.lit(False))
-    chosen = _front(ranked.where("odds is not null"), side, names).unionByName(rest.select(*names, "one"))
-    chosen = _fill(chosen, side) if top_ups is None else cut(chosen)
-
-    for _ in range(top_ups or 0):
-        left = chosen.groupBy("source").agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left")).withColumnRenamed("source", "s")
-        left = cut(left)
-        free = chosen.where("not one and odds is not null and size > 0").join(side(left), F.col("source").eqNullSafe(F.col("s"))).where("size <= left")
-        add = free.groupBy("s").agg(F.min(F.struct(-F.col("size"), F.col("odds"), F.col("doc_id"))).alias("x")).select("s", F.col("x.doc_id").alias("add_id"), (-F.col("x.col1")).alias("add_size"))
-        add = cut(add)
-        chosen = chosen.join(side(add), F.col("source").eqNullSafe(F.col("s")), "left")
-        chosen = cut(chosen.withColumn("one", F.col("one") | F.coalesce((F.col("doc_id") == F.col("add_id")) & (F.col("size") == F.col("add_size")), F.lit(False))).drop("s", "add_id", "add_size"))
+    u, p = uniform(F.col("doc_id"), seed), F.col("p")
+    odds = (u / (1 - u)) / (p / (1 - p))
+    ranked = rows.join(side(plan), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    ranked = ranked.withColumn("expected", F.when(F.col("k") > 0, F.element_at("copies", F.col("k"))).otherwise(0.0)).drop("copies", "k")
+    ranked = ranked.withColumn("whole", F.floor("expected")).withColumn("p", F.col("expected") - F.col("whole"))
+    ranked = cut(ranked.withColumn("odds", F.when(p > 0, odds)).withColumn("place", F.col("odds") / (1 + F.col("odds"))))  # odds on a scale from 0 to 1
+
+    names = ["doc_id", "source", "size", "source_size", "target", "expected", "whole", "due", "place"]
+    rest = ranked.where("place is null").withColumn("one", F.lit(False))
+    chosen = _front(ranked.where("place is not null"), side, names).unionByName(rest.select(*names, "one"))
+    chosen = _walk_on(chosen, side)
     copies = (F.col("whole") + F.col("one").cast("int")).cast("long")
-    return chosen.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return chosen.select("doc_id", "source", "size", "source_size", "target", "expected", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

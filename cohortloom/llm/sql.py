@@ -1,24 +1,29 @@
 """DuckDB SQL with the results of the queries that SQL can express."""
 
+#: Expected copies by size class, then a walk in Pareto order that takes each document that the words left still hold.
 OP4 = r"""
-WITH RECURSIVE rows AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH RECURSIVE rows AS (SELECT doc_id, source, size, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS k FROM (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents)),
 by_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY 1),
 weighed AS (SELECT *, 3 * source_size AS most, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight FROM by_source),
 ordered AS (SELECT *, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS k FROM weighed),
 levels AS (SELECT a.*, (SELECT CAST(sum(source_size) AS BIGINT) FROM ordered) - coalesce((SELECT CAST(sum(most) AS BIGINT) FROM ordered b WHERE b.k < a.k), 0) AS due_all, (SELECT CAST(sum(weight) AS BIGINT) FROM ordered b WHERE b.k >= a.k) AS w FROM ordered a),
 level AS (SELECT arg_min(CAST(due_all AS DOUBLE) / CAST(w AS DOUBLE), k) AS x FROM levels WHERE CAST(due_all AS DOUBLE) / CAST(w AS DOUBLE) * weight <= most),
 targets AS (SELECT source, source_size, least(CAST(most AS DOUBLE), coalesce(x * weight, CAST(most AS DOUBLE))) AS target FROM weighed, level),
-shares AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS r FROM targets),
-joined AS (SELECT d.doc_id, d.source, d.size, s.source_size, s.target, CAST(floor(r) AS BIGINT) AS whole, r - floor(r) AS p, target - floor(r) * s.source_size AS due,
-  (CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || 'mix'), 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u FROM rows d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source),
-keyed AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM joined),
-run AS (SELECT *, odds IS NOT NULL AND sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id, size ROWS UNBOUNDED PRECEDING) <= due AS one FROM keyed),
-left1 AS (SELECT source, max(due) - coalesce(sum(size) FILTER (one), 0) AS rest FROM run GROUP BY 1),
-add1 AS (SELECT r.source, arg_min(doc_id, (-size, odds, doc_id)) AS id FROM run r JOIN left1 l ON r.source IS NOT DISTINCT FROM l.source WHERE NOT one AND odds IS NOT NULL AND size > 0 AND size <= rest GROUP BY 1),
-run1 AS (SELECT r.* REPLACE (one OR coalesce(doc_id = id, false) AS one) FROM run r LEFT JOIN add1 a ON r.source IS NOT DISTINCT FROM a.source),
-left2 AS (SELECT source, max(due) - coalesce(sum(size) FILTER (one), 0) AS rest FROM run1 GROUP BY 1),
-add2 AS (SELECT r.source, arg_min(doc_id, (-size, odds, doc_id)) AS id FROM run1 r JOIN left2 l ON r.source IS NOT DISTINCT FROM l.source WHERE NOT one AND odds IS NOT NULL AND size > 0 AND size <= rest GROUP BY 1)
-SELECT doc_id, size, source_size, target, (whole + CASE WHEN one OR coalesce(doc_id = id, false) THEN 1 ELSE 0 END) * size AS taken FROM run1 r LEFT JOIN add2 a ON r.source IS NOT DISTINCT FROM a.source
+classes AS (SELECT r.source, k, 8 + k AS w, CAST(sum(size) AS BIGINT) AS n, any_value(target) AS target FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source WHERE k > 0 GROUP BY 1, 2),
+factors AS (SELECT a.source, max(a.k) AS k, arg_max((a.target - CAST(3 * coalesce(above.n, 0) AS DOUBLE)) / CAST(rest.n AS DOUBLE), a.k) AS c
+  FROM classes a, LATERAL (SELECT CAST(sum(n) AS BIGINT) AS n FROM classes b WHERE b.source IS NOT DISTINCT FROM a.source AND b.k > a.k) above, LATERAL (SELECT CAST(sum(w * n) AS BIGINT) AS n FROM classes b WHERE b.source IS NOT DISTINCT FROM a.source AND b.k <= a.k) rest
+  WHERE (a.target - CAST(3 * coalesce(above.n, 0) AS DOUBLE)) / CAST(rest.n AS DOUBLE) * a.w <= 3 GROUP BY 1),
+copies AS (SELECT s.source, s.k, s.n, s.target, least(3.0::DOUBLE, coalesce(f.c * s.w, 3.0::DOUBLE)) AS e FROM classes s LEFT JOIN factors f ON s.source IS NOT DISTINCT FROM f.source),
+dues AS (SELECT source, any_value(target) - sum(floor(e) * n) AS due FROM copies GROUP BY 1),
+drawn AS (SELECT r.*, coalesce(floor(c.e), 0) AS whole, c.e - floor(c.e) AS p, (CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || 'mix'), 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM rows r LEFT JOIN copies c ON r.source IS NOT DISTINCT FROM c.source AND r.k = c.k),
+odds AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM drawn),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source, q IS NULL ORDER BY q / (1 + q), doc_id NULLS FIRST, size) AS r FROM odds),
+free AS (SELECT source, r, size FROM ranked WHERE q IS NOT NULL),
+walk(source, r, due) AS (SELECT source, CAST(0 AS BIGINT), due FROM dues UNION ALL
+  SELECT source, r, due - size FROM (SELECT w.source, w.due, min((f.r, f.size)) AS x, x[1] AS r, x[2] AS size FROM walk w JOIN free f ON f.source IS NOT DISTINCT FROM w.source AND f.r > w.r AND f.size <= w.due GROUP BY ALL))
+SELECT d.doc_id, d.size, t.source_size, t.target, CAST(whole + CASE WHEN d.q IS NOT NULL AND w.r IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) * d.size AS taken
+FROM ranked d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN walk w ON d.source IS NOT DISTINCT FROM w.source AND d.r = w.r AND d.q IS NOT NULL
 """
 
 #: Repeats of at least four words are runs of equal four-word windows at a fixed distance.
@@ -35,7 +40,7 @@ pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS gap, a.i - row_number() OVER (PARTI
 longest AS (SELECT doc_id, max(c) + 3 AS longest FROM (SELECT doc_id, count(*) AS c FROM pairs GROUP BY doc_id, gap, island) GROUP BY 1),
 lines AS (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1, 2),
 dups AS (SELECT doc_id, sum(c - 1) AS n FROM lines GROUP BY 1)
-SELECT *, NOT base_failed AND NOT (n_covered > 0.5 * n_words OR longest > 400) AS kept FROM (
+SELECT *, NOT base_failed AND NOT (100 * n_covered > 20 * n_words OR longest > 30 OR 100 * longest > 15 * n_words) AS kept FROM (
   SELECT s.doc_id, n_words, word_chars, n_symbols, CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c3.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(c4.n, 0) AS BIGINT) AS n_covered, CAST(coalesce(l.longest, 0) AS BIGINT) AS longest,
     n_words < 50 OR 100 * coalesce(c3.n, 0) > 50 * n_words AS base_failed
   FROM sized s LEFT JOIN dups d USING (doc_id) LEFT JOIN cover3 c3 USING (doc_id) LEFT JOIN cover4 c4 USING (doc_id) LEFT JOIN longest l USING (doc_id))

@@ -309,6 +309,29 @@ def test_decontamination_by_items_without_id(make, spark):
     assert [r.doc_id for r in decontaminate.clean(docs, benchmark).collect()] == [3]
 
 
+def walk(rows, target, seed="mix", weight=lambda k: 8 + k):
+    """Copies of each row of one source, from the definition: (id, size) in, a list of copies out."""
+    classes = [s.bit_length() for _, s in rows]
+    lo, hi = 0.0, 3.0
+    for _ in range(200):  # the factor by halving
+        c = (lo + hi) / 2
+        lo, hi = (c, hi) if sum(min(3, c * weight(k)) * s for k, (_, s) in zip(classes, rows)) < target else (lo, c)
+    e = [min(3, lo * weight(k)) if s else 0 for k, (_, s) in zip(classes, rows)]
+    out = [int(x + 1e-9) for x in e]
+    due = target - sum(w * s for w, (_, s) in zip(out, rows))
+
+    def rank(i):
+        u = (int(hashlib.md5(f"{rows[i][0]}{seed}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+        p = e[i] - out[i]
+        q = u / (1 - u) / (p / (1 - p)) if p > 1e-9 else None
+        return q
+
+    for q, _, i in sorted((rank(i), rows[i][0], i) for i in range(len(rows)) if rank(i) is not None):
+        if rows[i][1] <= due:
+            out[i], due = out[i] + 1, due - rows[i][1]
+    return out, e
+
+
 def test_mixing_targets(make, monkeypatch):
     rows = [(i, "w " * 10, "en", "a") for i in range(50)] + [(100 + i, "w " * 10, "en", "b") for i in range(5)] + [(200, "w " * 7, "en", None), (201, None, "en", None), (202, "", "en", "e")]
     got = mixing.mix(make(rows))
@@ -323,44 +346,44 @@ def test_mixing_targets(make, monkeypatch):
     assert order(got) == order(mixing.mix(make(rows)))
 
 
-def test_mixing_goes_on_past_long_documents(make):
-    """A text larger than what is left does not block the rest, and at the end nothing that fits remains."""
+@pytest.mark.parametrize("walk_rows", [1000, 3])
+def test_mixing_equals_its_definition(make, monkeypatch, walk_rows):
+    """Unlike documents, one far longer than what is left, and a walk in small steps."""
+    monkeypatch.setattr(mixing, "WALK", walk_rows)
     rng = random.Random(15)
-    u = {r.id: r.u for r in make([]).sparkSession.range(5000).select("id", mixing.uniform(F.col("id"), "mix").alias("u")).collect()}
-    front = min(u, key=lambda i: abs(u[i] - 0.05))
-    short = [i for i in u if i != front][:1000]
-    rows = [(front, "w " * 30_000, "en", "a"), *((i, "w " * 20, "en", "a") for i in short)]
-    rows += [(6000 + i, "w " * int(2 ** rng.uniform(0, 12)), "en", None) for i in range(80)]
-    rows += [(7000 + i, "w " * (7 + i % 3), "en", "c") for i in range(2000)]
+    rows = [(i, "w " * int(2 ** rng.uniform(0, 9)), "en", "a") for i in range(150)] + [(999, "w " * 5000, "en", "a")]
+    rows += [(6000 + i, "w " * int(2 ** rng.uniform(0, 8)), "en", None) for i in range(80)]
+    rows += [(7000 + i, "w " * (7 + i % 3), "en", "c") for i in range(300)] + [(8000, "", "en", "c"), (8001, None, "en", "c")]
     got = mixing.mix(make(rows)).collect()
     assert len(got) == len(rows)
     for source in ("a", None, "c"):
-        mine = [r for r in got if r.source == source]
+        mine = sorted((r for r in got if r.source == source), key=lambda r: r.doc_id)
+        copies, expected = walk([(r.doc_id, r.size) for r in mine], mine[0].target)
+        assert [r.copies for r in mine] == copies and [r.expected for r in mine] == pytest.approx(expected)
         missing = mine[0].target - sum(r.taken for r in mine)
-        whole = mine[0].target // mine[0].source_size
-        assert 0 <= missing and all(r.size > missing for r in mine if r.copies == whole)
-        if source == "a":
-            assert missing < 20
+        assert 0 <= missing and all(r.size > missing for r in mine if r.size and r.copies == int(r.expected) and r.expected % 1)
 
 
 def test_mixing_inclusion(make):
-    """Over many seeds each document is taken about as often as its source's share says."""
-    rows = [(i, "w " * (1 + i % 5), "en", "ab"[i % 2]) for i in range(60)]
+    """Over many seeds each size class is taken about as often as its expected copies say, longer ones oftener; order is not that of the random numbers."""
+    rows = [(i, "w " * (1, 2, 4, 8, 16)[i // 2 % 5], "en", "ab"[i % 2]) for i in range(400)]
     docs = make(rows)
-    taken = collections.Counter()
-    for seed in range(12):
+    taken, expected = collections.Counter(), {}
+    for seed in range(8):
         for r in mixing.mix(docs, seed=str(seed)).collect():
-            taken[r.doc_id] += r.copies
-    share = {r.source: r.target / r.source_size for r in mixing.mix(docs).collect()}
-    for k, s in enumerate("ab"):
-        mean = np.mean([taken[i] / 12 for i in range(k, 60, 2)])
-        assert abs(mean - share[s]) < 0.08
+            taken[r.source, r.size] += r.copies / (8 * 40)
+            expected[r.source, r.size] = r.expected
+    assert len(set(expected.values())) > 5
+    for k, e in expected.items():
+        assert abs(taken[k] - e) < 0.08
+        assert e <= expected[k[0], 16] and (k[1] == 16 or e < expected[k[0], 16] or e == 3)
 
 
 def test_mixing_odd(make, odd_texts, clashing):
     rows = mixing.mix(make([(5, x) for x in odd_texts], clashing)).collect()
     assert len(rows) == len(odd_texts) and all(r.taken <= 3 * r.size for r in rows)
     assert mixing.mix(make([])).count() == 0
+    assert {r.taken for r in mixing.mix(make(["", None])).collect()} == {0}
 
 
 def test_pipeline(make, spark, tmp_path, odd_texts, clashing):
