@@ -1,18 +1,26 @@
 """License scans: a generalised suffix automaton of template words, streamed over texts.
 
-The automaton holds the words of all templates. Streaming a text through it gives
+The automaton holds the words of all templates: whole licenses and the notices that
+stand for them, several of each family. Streaming a text through it gives
 the matching statistics: at each word, the length of the longest string ending
-there that some template holds. Matches of at least ``min_match`` words are
-chained, in order in both text and template, into a covered span of each
-template; a template whose words are covered to ``min_cover`` labels the text.
+there that some template holds. Matches of at least ``min_match`` words that neither side
+extends, with every place that they have in a template, are chained, in order in both text and template,
+into a covered span of each template. A template labels the text if ``min_cover`` of its
+words are covered, and ``MIN_WORDS`` of them or all of a shorter one, unless another
+template covers more words, or as many and more of its own, on the same span or a wider
+one (a notice of one variant is nearly that of the next).
 
 Words are runs of ASCII letters, digits and characters outside ASCII, A-Z
-lower-cased. Null and empty texts have no words, no labels and score 0. Ties
-between templates keep all labels. Each row is judged alone.
+lower-cased. Null and empty texts have no words, no labels and score 0. Very long texts
+take time in proportion to their words, and to matches times their logarithm. Ties
+between templates keep all labels. Each row is judged alone, so repeated rows are
+judged alike; columns with the names of FIELDS are replaced.
 """
 
 from __future__ import annotations
 
+import heapq
+import importlib.resources
 import re
 
 import numpy as np
@@ -24,21 +32,14 @@ from .kit import ALNUM, Spans, hash_words, lookup, more, row_of, slices, text_by
 #: Phrases and the labels they stand for.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Notices and sentences of public licenses, by label.
-TEMPLATES = (
-    ("mit", "Released under the MIT License."),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("apache", "Licensed under the Apache License, Version 2.0."),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means"),
-)
+
+def templates() -> list[tuple[str, str]]:
+    """Fixed values, in license_texts: label and words of public licenses and notices, from files named label__name.txt."""
+    files = importlib.resources.files("cohortloom.llm") / "license_texts"
+    return [(f.name.split("__")[0], f.read_text(encoding="utf-8")) for f in sorted(files.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")]
+
+
+MIN_WORDS = 8
 
 _WORD = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -48,27 +49,27 @@ def words(text: str) -> list[str]:
 
 
 class Automaton:
-    """Generalised suffix automaton over word numbers; each state knows the first end of its strings in each template."""
+    """Generalised suffix automaton over word numbers; each state knows all ends of its strings in each template."""
 
     def __init__(self, sequences: list[list[int]]):
+        self.sequences = sequences
         self.next: list[dict] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict] = [{}]
+        self.ends: list[list] = [[]]
         for t, sequence in enumerate(sequences):
             last = 0
             for i, word in enumerate(sequence):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(t, i + 1)
+                self.ends[last].append((t, i + 1))
         for state in sorted(range(1, len(self.length)), key=lambda s: -self.length[s]):
-            above = self.ends[self.link[state]]
-            for t, i in self.ends[state].items():
-                above[t] = min(above.get(t, i), i)
+            if self.link[state]:
+                self.ends[self.link[state]] += self.ends[state]
 
     def _add(self, length: int, link: int, moves: dict) -> int:
         self.next.append(moves)
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self.ends.append([])
         return len(self.length) - 1
 
     def _split(self, p: int, word: int, q: int) -> int:
@@ -92,10 +93,22 @@ class Automaton:
         return new
 
     def matches(self, stream: list[int], min_match: int) -> list[tuple[int, int, int, int]]:
-        """(template, start in stream, start in template, length) of matches that the next word does not extend."""
+        """(template, start in stream, start in template, length) of matches that can be extended on neither side.
+
+        The state gives the longest match; on the way up its links are the places of the
+        templates that hold only a shorter one.
+        """
         out, state, length = [], 0, 0
         for i, word in enumerate([*stream, -1]):
-            was, before = state, length
+            s, n, seen = state, length, set()
+            while n >= min_match:
+                for t, end in self.ends[s]:
+                    if (t, end) not in seen:
+                        seen.add((t, end))
+                        if end == len(self.sequences[t]) or self.sequences[t][end] != word:
+                            out.append((t, i - n, end - n, n))
+                s = self.link[s]
+                n = self.length[s]
             while state and word not in self.next[state]:
                 state = self.link[state]
                 length = self.length[state]
@@ -103,23 +116,58 @@ class Automaton:
                 state, length = self.next[state][word], length + 1
             else:
                 length = 0
-            if before >= min_match and length != before + 1:
-                out += [(t, i - before, end - before, before) for t, end in self.ends[was].items()]
         return out
 
 
-def chain(matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-    """The chain of matches (start in text, start in template, length) that covers most: words, first, last word's end."""
-    best: list[tuple[int, int, int]] = []
-    matches = sorted(matches)
-    for k, (a, b, n) in enumerate(matches):
-        own = (n, a, a + n)
-        for j in range(k):
-            c, d, m = matches[j]
-            if c + m <= a and d + m <= b and best[j][0] + n > own[0]:
-                own = (best[j][0] + n, best[j][1], a + n)
-        best.append(own)
-    return max(best, key=lambda x: (x[0], -x[1]), default=(0, 0, 0))
+def chain(matches: list[tuple[int, int, int]], size: int) -> tuple[int, int, int]:
+    """The chain of matches (start in text, start in template, length) that covers most: words, first, last word's end.
+
+    Matches come by their start in the text; those that ended before it wait in a tree
+    of the best chain up to each place of the template (size words). Ties: the shortest span, then the earliest.
+    """
+    tree = [(0, 0)] * (size + 1)
+    waiting: list = []
+    best = (0, 0, 0)
+    for a, b, n in sorted(matches):
+        while waiting and waiting[0][0] <= a:
+            _, at, value = heapq.heappop(waiting)
+            while at <= size:
+                tree[at] = max(tree[at], value)
+                at += at & -at
+        top, at = (0, 0), b
+        while at:
+            top = max(top, tree[at])
+            at -= at & -at
+        value = (top[0] + n, top[1] if top[0] else a)
+        heapq.heappush(waiting, (a + n, b + n, value))
+        best = max(best, (value[0], value[1] - (a + n), -value[1]))
+    return best[0], -best[2], -best[2] - best[1]
+
+
+def outdone(found: list[tuple[tuple[int, float], int, int]]) -> list[bool]:
+    """Whether each ((words covered, share of the template), first, end) lies in the span of a greater one."""
+    ends = sorted({-end for _, _, end in found})
+    place = {end: k + 1 for k, end in enumerate(ends)}
+    tree, out = [(0, 0.0)] * (len(ends) + 1), [False] * len(found)
+    order = sorted(range(len(found)), key=lambda k: found[k][1])
+    k = 0
+    while k < len(order):
+        stop = k
+        while stop < len(order) and found[order[stop]][1] == found[order[k]][1]:
+            stop += 1
+        same = order[k:stop]
+        for j in same:
+            at = place[-found[j][2]]
+            while at <= len(ends):
+                tree[at] = max(tree[at], found[j][0])
+                at += at & -at
+        for j in same:
+            at = place[-found[j][2]]
+            while at:
+                out[j] = out[j] or tree[at] > found[j][0]
+                at -= at & -at
+        k = stop
+    return out
 
 
 class Scanner:
@@ -162,8 +210,9 @@ class Scanner:
         hit = at[lookup(self.seeds, short) >= 0]
         more_labels: list[set] = [set() for _ in range(n)]
         score, spans = np.zeros(n), [[] for _ in range(n)]
-        for r in np.unique(row[hit]):
-            for label, cover, a, b in self._stream(hashes[first[r] : first[r + 1]], hit[row[hit] == r] - first[r]):
+        ends = np.searchsorted(hit, first)
+        for r in np.flatnonzero(np.diff(ends)):
+            for label, cover, a, b in self._stream(hashes[first[r] : first[r + 1]], hit[ends[r] : ends[r + 1]] - first[r]):
                 more_labels[r].add(label)
                 score[r] = max(score[r], cover)
                 spans[r].append({"label": label, "cover": cover, "first": a, "end": b})
@@ -179,30 +228,37 @@ class Scanner:
             stream = np.where(at >= 0, self.numbers[at], -1).tolist()
             for t, i, j, length in self.automaton.matches(stream, self.min_match):
                 found.setdefault(t, []).append((a + i, j, length))
+        chains: list[tuple[int, int, int, int]] = []
         for t, matches in found.items():
             near: list[list] = []
+            end = 0
             for m in sorted(matches):  # matches further apart than the template is long are of another copy
-                if near and m[0] - near[-1][-1][0] <= 2 * self.sizes[t]:
+                if near and m[0] - end <= self.sizes[t]:
                     near[-1].append(m)
                 else:
                     near.append([m])
-            size, a, b = max((chain(x) for x in near), key=lambda x: (x[0], -x[1]))
-            if size >= self.min_cover * self.sizes[t]:
+                end = max(end, m[0] + m[2])
+            chains += [(*chain(copy, self.sizes[t]), t) for copy in near]
+        chains = [x for x in chains if x[0] >= max(self.min_cover * self.sizes[x[3]], min(MIN_WORDS, self.sizes[x[3]]))]
+        for (size, a, b, t), less in zip(chains, outdone([((n, n / self.sizes[t]), a, b) for n, a, b, t in chains])):
+            if not less:
                 yield self.labels[t], size / self.sizes[t], a, b
 
 
 FIELDS = "n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double, license_spans array<struct<label:string,cover:double,first:long,end:long>>"
 
 
-def scan(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, min_match: int = 4, min_cover: float = 0.6) -> DataFrame:
-    """All columns of docs but those of FIELDS, with FIELDS added; score: 1 with a phrase, else the best cover."""
+def scan(docs: DataFrame, text_col: str = "text", known: list[tuple[str, str]] | None = None, min_match: int = 4, min_cover: float = 0.6) -> DataFrame:
+    """All columns of docs but those of FIELDS, with FIELDS added; score: 1 with a phrase, else the best cover. known: templates (label, text)."""
     names = [f.split()[0] for f in FIELDS.split(", ")]
     kept = docs.select(*(c for c in docs.columns if c not in names))
     old = kept.columns
     span = pa.list_(pa.struct([("label", pa.string()), ("cover", pa.float64()), ("first", pa.int64()), ("end", pa.int64())]))
 
+    shared = docs.sparkSession.sparkContext.broadcast(Scanner(known or templates(), min_match, min_cover))
+
     def run(batches):
-        scanner = Scanner(templates, min_match, min_cover)
+        scanner = shared.value
         for batch in slices(batches, text_col):
             n_words, n_base, low, high, base, extra, score, spans = scanner.scan(batch.column(text_col))
             none = n_base == 0

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -126,11 +127,87 @@ def test_automaton_equals_brute_force():
         templates = [[rng.randrange(3) for _ in range(rng.randrange(1, 9))] for _ in range(3)]
         stream = [rng.randrange(3) for _ in range(12)]
         found = licenses.Automaton(templates).matches(stream, 2)
-        assert all(templates[t][j : j + n] == stream[i : i + n] for t, i, j, n in found)
-        strings = {tuple(t[i:j]) for t in templates for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
-        ends = [max([0, *(n for n in range(1, e + 1) if tuple(stream[e - n : e]) in strings)]) for e in range(1, 13)]
-        maximal = {(e - n, n) for e, n in enumerate(ends, 1) if n >= 2 and (e == 12 or ends[e] != n + 1)}
-        assert {(i, n) for _, i, _, n in found} == maximal
+        expected = set()
+        for t, template in enumerate(templates):
+            for i in range(12):
+                for j in range(len(template)):
+                    n = 0
+                    while i + n < 12 and j + n < len(template) and stream[i + n] == template[j + n]:
+                        n += 1
+                    if n >= 2 and not (i and j and stream[i - 1] == template[j - 1]):
+                        expected.add((t, i, j, n))
+        assert set(found) == expected and len(found) == len(expected)
+
+
+def test_chain_equals_brute_force():
+    rng = random.Random(5)
+    for _ in range(300):
+        matches = [(rng.randrange(30), rng.randrange(20), rng.randrange(1, 5)) for _ in range(rng.randrange(8))]
+        best = 0
+        for pick in range(1 << len(matches)):
+            some = sorted(m for k, m in enumerate(matches) if pick >> k & 1)
+            if all(a + n <= c and b + n <= d for (a, b, n), (c, d, _) in zip(some, some[1:])):
+                best = max(best, sum(n for *_, n in some))
+        got = licenses.chain(matches, 30)
+        assert got[0] == best and (not matches or any(a == got[1] for a, _, _ in matches) and any(a + n == got[2] for a, _, n in matches))
+
+
+def brute_licenses(text, templates, min_match, min_cover):
+    """Labels and score of a text, by its words: phrases, all common strings that can't be extended, and the best chains of them."""
+    own = licenses.words(text or "")
+    places = [i for phrase, _ in licenses.PHRASES for p in [phrase.split()] for i in range(len(own)) if own[i : i + len(p)] == p]
+    labels = {label for phrase, label in licenses.PHRASES for p in [phrase.split()] for i in range(len(own)) if own[i : i + len(p)] == p}
+    found = []
+    for label, template in templates:
+        t = licenses.words(template)
+        order = sorted((i, j, n) for i in range(len(own)) for j in range(len(t)) for n in range(min_match, len(t) - j + 1) if own[i : i + n] == t[j : j + n])
+        order = [(i, j, n) for i, j, n in order if not (i and j and own[i - 1] == t[j - 1]) and own[i + n : i + n + 1] != t[j + n : j + n + 1] or (i + n == len(own) and j + n == len(t) and not (i and j and own[i - 1] == t[j - 1]))]
+        copies, last = [], 0
+        for m in order:
+            copies = [*copies[:-1], [*copies[-1], m]] if copies and m[0] - last <= len(t) else [*copies, [m]]
+            last = max(last, m[0] + m[2])
+        for copy in copies:
+            best = {}
+            for i, j, n in copy:
+                size, first = max([(0, i), *(best[k] for k in best if k[0] + k[2] <= i and k[1] + k[2] <= j)])
+                best[i, j, n] = (size + n, first)
+            size, span, first = max((best[m][0], best[m][1] - m[0] - m[2], -best[m][1]) for m in best)
+            if size >= max(min_cover * len(t), min(licenses.MIN_WORDS, len(t))):
+                found.append((size, -first, -first - span, label, size / len(t)))
+    found = [x for x in found if not any(y[1] <= x[1] and y[2] >= x[2] and (y[0], y[4]) > (x[0], x[4]) for y in found)]
+    labels |= {x[3] for x in found}
+    cover = max([0.0, *(x[4] for x in found)])
+    return (len(own), len(places), min(places, default=None), max(places, default=None), sorted(labels), 1.0 if places else cover)
+
+
+def test_license_scan_equals_brute_force(make):
+    rng = random.Random(6)
+    templates = [("x", "a b c d e f g h"), ("y", "a b c d x y a b c d z"), ("z", "k l m n o p")]
+    texts = [None, "", "mit license a b c d", "MIT License, Apache License"]
+    for _ in range(60):
+        parts = [t.split() for _, t in templates] + [["q"], ["r", "s"], ["mit", "license"]]
+        text = []
+        for _ in range(rng.randrange(1, 4)):
+            p = rng.choice(parts)
+            text += p[rng.randrange(2) : len(p) - rng.randrange(2)]
+        texts.append(" ".join(text))
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.labels, r.score) for r in licenses.scan(make(texts), known=templates).collect()}
+    assert got == {i: brute_licenses(t, templates, 4, 0.6) for i, t in enumerate(texts)}
+
+
+def test_whole_licenses_label_themselves(make):
+    known = licenses.templates()
+    assert len(known) > 30 and len({label for label, _ in known}) > 15
+    rows = sorted(licenses.scan(make([text for _, text in known])).collect())
+    assert all(label in r.labels and r.score > 0.99 for (label, _), r in zip(known, rows))
+
+
+def test_very_long_license_texts(make):
+    """A million words of notices one after the other take linear time."""
+    notice = "Licensed under CC BY-NC 4.0. "
+    began = time.time()
+    row = licenses.scan(make([notice * 150_000])).first()
+    assert row.n_words == 1_050_000 and row.labels == ["cc-by-nc"] and time.time() - began < 60
 
 
 def test_licenses(make, odd_texts, clashing):
@@ -138,6 +215,7 @@ def test_licenses(make, odd_texts, clashing):
     rows = {r.doc_id: r for r in licenses.scan(make(texts)).collect()}
     assert (rows[0].n_base, rows[0].first_word, rows[0].last_word, rows[0].base_labels, rows[0].score) == (3, 1, 6, ["apache", "mit"], 1.0)
     assert rows[1].base_labels == [] and rows[1].labels == ["mit"] and 0.6 <= rows[1].score < 1 and rows[1].license_spans[0]["first"] == 1
+    assert licenses.scan(make(["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."])).first().labels == ["cc-by-nc"]
     assert rows[2].labels == ["cc-by-nc"] and rows[3].labels == [] and rows[3].first_word is None and rows[4].n_words == 0
     assert licenses.scan(make(odd_texts, clashing)).count() == len(odd_texts)
     assert licenses.scan(make([])).count() == 0
