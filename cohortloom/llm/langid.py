@@ -3,46 +3,62 @@
 A known word is scored by its log frequency in each language; an unseen one by
 its longest character n-grams that are known, trying shorter ones until some
 are. The model is fitted on a sample of labelled texts, bounded by
-``sample_docs`` texts a language, and holds at most ``max_words`` words and
-``max_grams`` n-grams, so its broadcast size has a bound.
+``sample_docs`` texts a language, and holds every word and n-gram of that sample that
+is among the ``max_words`` commonest words or ``max_grams`` n-grams of a language, so each
+language has its own share whatever its size. Frequencies are kept only where they
+are not 0, so the broadcast grows with languages times those shares.
 
-Null and empty texts and texts without a letter get ``und`` and score 0. Words
+Besides the language, a text gets the probability that the words give it, and how
+well it fits: the share of its words that the model knows, with 1 over the root of their
+number added, 1 at most, as a short text may miss by chance. The probability of a long text is near 1
+even if it is in none of the languages; its fit is not.
+
+Null and empty texts and texts without a letter get ``und``, score 0 and fit 0. Words
 are runs of ASCII letters and characters outside ASCII, A-Z lower-cased. Ties
 go to the first language in code point order. With no training text every
-document is ``und``. Other columns are ignored; repeated rows are scored alike.
+document is ``und``. Very long texts are read whole, a text at a time. Other columns are
+ignored and kept; repeated rows are scored alike.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .kit import ALPHA, Spans, batch_of, lookup, more, per_row, ranges, row_of, slices, text_bytes, word_spans
 
 SAMPLE_DOCS = 3000
-MAX_WORDS = 60_000
-MAX_GRAMS = 60_000
-MAX_LANGUAGES = 1000
+MAX_WORDS = 30_000
+MAX_GRAMS = 30_000
 LONGEST = 4
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+@dataclass(frozen=True)
+class Level:
+    """Log frequencies of words, or of n-grams of one length: of what a language never has (base), and what others add to it.
+
+    keys: sorted hashes; key k has the entries first[k] to first[k + 1] of lang and gain.
+    """
+
+    keys: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
+    gain: np.ndarray
+    base: np.ndarray
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages; sorted word and n-gram hashes (by length) with a row of log frequencies each."""
+    """Languages; a level for words, then one for each length of n-grams."""
 
     languages: list[str]
-    words: np.ndarray
-    word_logs: np.ndarray
-    grams: list[np.ndarray]
-    gram_logs: list[np.ndarray]
+    levels: list[Level]
 
 
 def _gram_spans(data, start, end, n):
@@ -79,83 +95,88 @@ def _counts(batches):
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """Fit on about sample_docs labelled texts of each language, chosen by a hash of the id."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
-        none = np.zeros(0, np.uint64)
-        return Model([], none, np.zeros((0, 0)), [none] * LONGEST, [np.zeros((0, 0))] * LONGEST)
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(sample_docs / n)).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) < share * (1 << 20))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
+    share = F.lit(float(sample_docs)) / F.col("docs")
+    drawn = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) < share * (1 << 20))
     counted = drawn.select("text", "lang").mapInArrow(_counts, "lang string, n int, h long, c long").groupBy("lang", "n", "h").agg(F.sum("c").alias("c"))
-    words = counted.where("n = 0").orderBy(F.desc("c"), "lang", "h").limit(max_words)
-    grams = counted.where("n > 0").orderBy(F.desc("c"), "lang", "n", "h").limit(max_grams)
-    table = words.unionByName(grams).toArrow()
-    languages = sorted(sizes)
-    code = np.array([languages.index(x) for x in table["lang"].to_pylist()], dtype=np.int64)
+    word = F.col("n") == 0
+    nth = F.row_number().over(W.partitionBy("lang", word).orderBy(F.desc("c"), "n", "h"))
+    table = counted.withColumn("nth", nth).where(F.col("nth") <= F.when(word, max_words).otherwise(max_grams)).drop("nth").toArrow()
+    languages = sorted(set(table["lang"].to_pylist()))
+    code = np.searchsorted(np.array(languages, dtype=object), np.array(table["lang"].to_pylist(), dtype=object)) if languages else np.zeros(0, np.int64)
     n, h, c = (table[x].to_numpy() for x in ("n", "h", "c"))
-    logs = [_log_table(h[n == k].view(np.uint64), code[n == k], c[n == k], len(languages)) for k in range(LONGEST + 1)]
-    return Model(languages, *logs[0], [x[0] for x in logs[1:]], [x[1] for x in logs[1:]])
+    return Model(languages, [_level(h[n == k].view(np.uint64), code[n == k], c[n == k], len(languages)) for k in range(LONGEST + 1)])
 
 
-def _log_table(h, code, c, n_languages):
+def _level(h, code, c, n_languages) -> Level:
     keys, at = np.unique(h, return_inverse=True)
-    table = np.zeros((len(keys), n_languages))
-    np.add.at(table, (at, code), c)
-    return keys, np.log((table + 0.5) / (table.sum(axis=0) + 0.5 * len(keys) + 1.0))
+    by = np.argsort(at, kind="stable")
+    total = np.bincount(code, weights=c, minlength=n_languages) + 0.5 * len(keys) + 1.0
+    first = np.searchsorted(at[by], np.arange(len(keys) + 1))
+    return Level(keys, first, code[by].astype(np.int32), np.log((c[by] + 0.5) / 0.5), np.log(0.5 / total))
+
 
+def _add(out: np.ndarray, level: Level, row: np.ndarray, key: np.ndarray, weight: np.ndarray) -> None:
+    """Add to the rows of out the log frequencies of keys (places in the level), times weight."""
+    count = level.first[key + 1] - level.first[key]
+    at = np.repeat(level.first[key], count) + ranges(count)
+    width = out.shape[1]
+    gains = np.repeat(weight, count) * level.gain[at]
+    out += np.bincount(np.repeat(row, count) * width + level.lang[at], weights=gains, minlength=out.size).reshape(out.shape)
+    out += np.bincount(row, weights=weight, minlength=len(out))[:, None] * level.base[None, :]
 
-def _word_logs(model: Model, data, spans, start, end):
-    """A row of log frequencies for each word; zeros where not even a character is known."""
-    at = lookup(model.words, spans.hashes(start, end))
-    out = np.zeros((len(start), len(model.languages)))
-    out[at >= 0] = model.word_logs[at[at >= 0]]
-    left = np.flatnonzero(at < 0)
+
+def score_batch(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, its probability and the fit of each text of a column."""
+    data, offsets = text_bytes(column)
+    start, end, first = word_spans(data, offsets, ALPHA)
+    none = np.zeros(len(column))
+    if not model.languages:
+        return [UNKNOWN] * len(column), none, none
+    spans, row = Spans(data), row_of(first)
+    hashes = spans.hashes(start, end)
+    at = lookup(model.levels[0].keys, hashes)
+    known = at >= 0
+    total = np.zeros((len(column), len(model.languages)))
+    _add(total, model.levels[0], row[known], at[known], np.ones(int(known.sum())))
+    # unseen words: each distinct one once, with its average over the longest n-grams that are known
+    _, where, same = np.unique(hashes[~known], return_index=True, return_inverse=True)
+    a, b = start[~known][where], end[~known][where]
+    logs, left = np.zeros((len(a), len(model.languages))), np.arange(len(a))
     for n in range(LONGEST, 0, -1):
         if not len(left):
             break
-        a, b, word = _gram_spans(data, start[left], end[left], n)
-        gram = lookup(model.grams[n - 1], spans.hashes(a, b))
+        x, y, word = _gram_spans(data, a[left], b[left], n)
+        gram = lookup(model.levels[n].keys, spans.hashes(x, y))
         word, gram = word[gram >= 0], gram[gram >= 0]
         found = np.bincount(word, minlength=len(left))
-        for k in range(len(model.languages)):
-            sums = np.bincount(word, weights=model.gram_logs[n - 1][gram, k], minlength=len(left))
-            out[left, k] = sums / np.maximum(found, 1)
+        some = np.zeros((len(left), len(model.languages)))
+        _add(some, model.levels[n], word, gram, 1 / found[word])
+        logs[left] = some
         left = left[found == 0]
-    return out
-
-
-def score_batch(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Language and probability of each text of a column."""
-    data, offsets = text_bytes(column)
-    start, end, first = word_spans(data, offsets, ALPHA)
-    if not model.languages:
-        return [UNKNOWN] * len(column), np.zeros(len(column))
-    spans = Spans(data)
-    _, where, same = np.unique(spans.hashes(start, end), return_index=True, return_inverse=True)
-    logs = _word_logs(model, data, spans, start[where], end[where])
-    total = np.stack([per_row(logs[same, k], first) for k in range(len(model.languages))], axis=1)
+    for k in range(len(model.languages)):
+        total[:, k] += np.bincount(row[~known], weights=logs[same, k], minlength=len(column))
     best = total.argmax(axis=1)
     probability = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+    n_words = np.maximum(np.diff(first), 1)
+    fit = np.minimum(1, per_row(known.astype(float), first) / n_words + 1 / np.sqrt(n_words))
     ascii_letter = np.zeros(256, dtype=bool)
     ascii_letter[65:91] = ascii_letter[97:123] = True
     lettered = per_row(ascii_letter[data], offsets) > 0
     for i in np.flatnonzero(~lettered):
-        lettered[i] = _LETTER.search(column[int(i)].as_py() or "") is not None
-    return [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], np.where(lettered, probability, 0.0)
+        lettered[i] = any(map(str.isalpha, column[int(i)].as_py() or ""))
+    return [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], np.where(lettered, probability, 0.0), np.where(lettered, fit, 0.0)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """All columns of docs, with the language and its probability added (or replaced) under the given names."""
+def identify(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "fit")) -> DataFrame:
+    """All columns of docs, with the language, its probability and its fit added (or replaced) under the given names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*(c for c in docs.columns if c not in names))
     old = kept.columns
 
     def run(batches):
         for batch in slices(batches, text_col):
-            lang, score = score_batch(shared.value, batch.column(text_col))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*old, *names])
+            lang, score, fits = score_batch(shared.value, batch.column(text_col))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.float64())], names=[*old, *names])
 
-    return kept.mapInArrow(run, more(kept, f"`{names[0]}` string, `{names[1]}` double"))
+    return kept.mapInArrow(run, more(kept, f"`{names[0]}` string, `{names[1]}` double, `{names[2]}` double"))

@@ -27,12 +27,14 @@ def op1_toxicity(spark, sf_dir):
 
 
 def op2_secrets(spark, sf_dir):
+    # a document stands for a repository and its source for the owner: the table has no nearer columns
     spans = F.coalesce("spans", F.array().cast("array<struct<start:long,kind:int,end:long,wider:boolean,h:long,n_owners:long,n_repos:long,live:boolean>>"))
     found = secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source").select("doc_id", spans.alias("spans"))
     base = F.filter("spans", lambda x: ~x["wider"])
     named = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", secrets.kind_name(x["kind"]), x["start"], x["end"])), ",")
+    ownership = lambda x: F.concat_ws(":", x["n_owners"], x["n_repos"], F.when(x["live"], "live").otherwise("copied"))
     count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
-    return found.select("doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(("assign", "access", "hex"))), F.sha2(named(base), 256).alias("base_sha256"), named("spans").alias("spans"), F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live"))
+    return found.select("doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(("assign", "access", "hex"))), F.sha2(named(base), 256).alias("base_sha256"), named("spans").alias("spans"), F.array_join(F.transform("spans", ownership), ",").alias("ownership"), F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live"))
 
 
 def op3_decontaminate(spark, sf_dir):

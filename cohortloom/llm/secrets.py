@@ -2,14 +2,18 @@
 
 Candidates are found by fixed patterns (``assign``, ``access``, ``hex``: the base)
 and by wider ones (``WIDER``). A hash of each candidate's value is counted over
-distinct repositories and owners in the whole corpus. The base spans always
-stay. A wider candidate counts as a live-looking credential, and adds its span,
-if at most ``max_owners`` owners and ``max_repos`` repositories have its value;
-one that more have is an example that was copied.
-
-Null and empty texts have no spans. A null owner or repository counts as one of
-its own. Rows are told apart by a row number of their own, so repeated rows give
-repeated results. Spans are in code points, the end exclusive.
+distinct repositories and owners in the whole corpus. Each span is then classed: a
+value that one owner alone has is a live-looking credential however often that owner
+repeats it, and so is one that at most ``max_owners`` owners and ``max_repos``
+repositories have; any other is an example that was copied. Base spans always
+stay, with their class; a wider candidate adds its span only if it is live.
+
+All patterns take time in proportion to the text, very long ones too: none begins with
+a repeated class that its own matches could begin in. Null and empty texts have no
+spans. A null owner or repository counts as one of its own. Rows are told apart by a
+row number of their own, so repeated rows give repeated results; columns that are not
+named are ignored, whatever they are called. An empty table gives an empty result.
+Spans are in code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import cut, more, slices
+from .kit import cut, more, slices, spread_join
 
 #: The base patterns; kind, pattern, least length, group measured, prefilter.
 BASE = (
@@ -34,10 +38,13 @@ BASE = (
 WIDER = (
     ("bearer", r"[bB][eE][aA][rR][eE][rR]\x20+([A-Za-z0-9+/_.=-]{16,})", 16, 1, r"(?i:bearer )"),
     ("github", r"gh[pousr]_[A-Za-z0-9]{30,}", 34, 0, r"gh[pousr]_"),
-    ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, 0, r"eyJ"),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, 0, r"eyJ"),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 15, 0, r"xox[abprs]-"),
+    ("google", r"AIza[0-9A-Za-z_-]{35}", 39, 0, r"AIza"),
+    ("stripe", r"[rs]k_live_[0-9A-Za-z]{24,}", 32, 0, r"[rs]k_live_"),
+    ("private", r"-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----\s+([A-Za-z0-9+/=]{32,})", 32, 1, r"PRIVATE KEY-----"),
     ("userinfo", r"://[^\s/:@]+:([^\s/:@]{8,})@", 8, 1, r"://[^\s/:@]+:"),
-    ("assigned", r"""[A-Za-z_]*(?:pwd|auth|credential|private_?key|access_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{12,})""", 12, 1, r"(?:pwd|auth|credential|private_?key|access_?key)"),
+    ("assigned", r"""(?:pwd|auth|credential|private_?key|access_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{12,})""", 12, 1, r"(?:pwd|auth|credential|private_?key|access_?key)"),
 )
 KINDS = [k for k, *_ in BASE + WIDER]
 _COMPILED = [(kind, re.compile(pattern), least, group, fast) for kind, pattern, least, group, fast in BASE + WIDER]
@@ -84,12 +91,12 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, max_owners: int = 2, max_repos: int = 5, **columns) -> DataFrame:
-    """Per document: doc_id, spans (start, end, kind, wider, h, n_owners, n_repos, live); wider spans only if live."""
+    """Per document: doc_id, spans (start, kind, end, wider, h, n_owners, n_repos, live); wider spans only if live."""
     found = cut(candidates(docs, **columns).withColumn("row", F.monotonically_increasing_id()))
-    owned = ownership(found)
     each = found.select("row", F.explode("spans").alias("s")).select("row", "s.*")
-    judged = each.join(owned, "h").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
-    kept = judged.where("live or not wider").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "wider", "h", "n_owners", "n_repos", "live"))).alias("judged"))
+    judged = spread_join(each, cut(ownership(found)), ["h"], "n_seen")
+    live = (F.col("n_owners") == 1) | ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
+    kept = judged.withColumn("live", live).where("live or not wider").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "wider", "h", "n_owners", "n_repos", "live"))).alias("judged"))
     return found.select("row", "doc_id").join(kept, "row", "left").select("doc_id", F.col("judged").alias("spans"))
 
 
