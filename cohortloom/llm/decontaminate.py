@@ -17,8 +17,10 @@ all documents hold costs each of them one alignment; nothing is grouped by it.
 Words are runs of ASCII letters, digits and characters outside ASCII,
 lower-cased. Null and empty texts match nothing, nor do items of fewer than n
 words, which can't be told from chance. Copies of an item match alike. An
-item with a null id is used like any other and gives pairs with a null item_id. Tables
-without rows give no pairs.
+item with a null id is used like any other and gives pairs with a null item_id; ids may be
+of any type. A document with a null doc_id gives pairs with a null doc_id; repeated rows
+give repeated pairs. Very long texts are aligned only around their seeds. Other columns
+are ignored, and kept by ``clean``. Tables without rows give no pairs.
 """
 
 from __future__ import annotations
@@ -30,12 +32,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .kit import ALNUM, Spans, lookup, more, per_row, ranges, row_of, slices, text_bytes, windows, word_spans
+from .kit import ALNUM, Spans, lookup, per_row, ranges, row_of, slices, text_bytes, windows, word_spans
 
 N = 3
-RARE_DOCS = 50
-ALWAYS = 12
 MIN_SCORE = 0.5
 BLOCK_ITEMS = 20_000
 BLOCK_WORDS = 4_000_000
@@ -200,13 +202,12 @@ def _aligned(block: Block, hashes, first, n, min_score, held, of, at, seed, coun
     return found
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = N, rare_docs: int = RARE_DOCS, always: int = ALWAYS, min_score: float = MIN_SCORE) -> DataFrame:
-    """Pairs of passages and items: doc_id, item_id, score, first_word, end_word (of the passage).
-
-    rare_docs and always, which once limited the seeds, are accepted and change nothing.
-    """
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = N, min_score: float = MIN_SCORE) -> DataFrame:
+    """Pairs of passages and items: doc_id, item_id, score, first_word, end_word (of the passage)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = benchmark.schema[item_id].dataType
+    fields = [T.StructField("item_id", benchmark.schema[item_id].dataType), *T.StructType.fromDDL("score double, first_word long, end_word long").fields]
+    schema = T.StructType([*rows.select("doc_id").schema.fields, *fields])
+    item_type = to_arrow_type(benchmark.schema[item_id].dataType)
     out = None
     for ids, items in blocks(benchmark, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(_block(ids, items, n))
@@ -216,20 +217,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for batch in slices(batches):
                 found = _pairs(block, *_hashes(batch.column("text")), n, min_score)
                 keys = sorted(found)
-                columns = [batch.column("doc_id").take(pa.array([k[0] for k in keys], pa.int64())), pa.array([block.ids[k[1]] for k in keys], pa.int64())]
+                columns = [batch.column("doc_id").take(pa.array([k[0] for k in keys], pa.int64())), pa.array([block.ids[k[1]] for k in keys], item_type)]
                 values = [found[k] for k in keys]
                 columns += [pa.array([v[0] for v in values], pa.float64()), *(pa.array([v[j] for v in values], pa.int64()) for j in (1, 2))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "score", "first_word", "end_word"])
 
-        found = rows.mapInArrow(run, more(rows.select("doc_id"), "item_id long, score double, first_word long, end_word long"))
+        found = rows.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = docs.sparkSession.createDataFrame([], more(rows.select("doc_id"), "item_id long, score double, first_word long, end_word long"))
-    return out.withColumn("item_id", F.col("item_id").cast(kind))
+        out = docs.sparkSession.createDataFrame([], schema)
+    return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int = N, rare_docs: int = RARE_DOCS, always: int = ALWAYS, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of docs that pair with no item, columns unchanged; rare_docs and always as in contaminated."""
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int = N, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of docs that pair with no item, columns unchanged."""
     names = docs.columns
     for ids, items in blocks(benchmark, "item_id", "text"):
         shared = docs.sparkSession.sparkContext.broadcast(_block(ids, items, n))

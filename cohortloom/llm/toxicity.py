@@ -4,14 +4,21 @@ A logistic classifier over the presence of words is trained with numpy from
 confirmed toxic texts and unlabelled texts. The risk of the unlabelled texts as
 negatives, less the class prior times that of the toxic ones, estimates the risk
 of the clean ones; where a step would make it negative, the step is undone
-instead. Training takes bounded samples (``max_positive``, ``max_unlabelled``
-texts), and looks at the ``max_words`` words whose share of toxic texts deviates
-most, so the model and what reaches the driver are bounded.
+instead.
+
+Every word counts: its hash gives it one of ``BINS`` weights. A bin's input is scaled
+by how far its share of toxic texts deviates from its share of all documents (``scales``),
+so that words that tell nothing have little say. Those shares come from all documents;
+only the texts that the risk is computed on are samples, of ``max_positive`` confirmed
+and ``max_unlabelled`` unlabelled texts, so the model and what reaches the driver are
+bounded.
 
 Null and empty texts have no word and get the score of the bias alone. Words are
 runs of ASCII letters and characters outside ASCII, A-Z lower-cased. Without a
-positive or an unlabelled text all scores are the prior. Repeated rows score
-alike; other columns are ignored in training and kept in scoring.
+positive or an unlabelled text all scores are the prior. Very long texts are read
+whole. Repeated rows score alike; other columns are ignored in training and kept in
+scoring, but for score and predicted, which are replaced. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -23,39 +30,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import ALPHA, Spans, batch_of, cut, lookup, more, row_of, slices, text_bytes, word_spans
+from .kit import ALPHA, Spans, batch_of, cut, more, row_of, slices, text_bytes, word_spans
 
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
-MAX_WORDS = 1024
-MIN_POSITIVE_DOCS = 3
-MIN_DEVIATIONS = 4.0
+BINS = 1 << 20
+#: Deviations at which a bin's input is halved.
+HALF = 4.0
+#: So many toxic documents with a word are taken for chance.
+FEW = 2.0
+STEPS = 300
+DECAY = 1e-6
 
 
 @dataclass(frozen=True)
 class Model:
-    words: np.ndarray
+    """A weight for each bin, scale included, and a bias."""
+
     weights: np.ndarray
     bias: float
 
 
-def _present(data, offsets):
-    """Distinct (row, word hash) of a slice, by row."""
+def _present(column) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, bin) of a slice, by row."""
+    data, offsets = text_bytes(column)
     start, end, first = word_spans(data, offsets, ALPHA)
-    h = Spans(data).hashes(start, end)
-    keys, same = np.unique(h, return_inverse=True)
-    both = np.unique(row_of(first) * len(keys) + same) if len(keys) else np.zeros(0, np.int64)
-    return both // max(len(keys), 1), keys[both % max(len(keys), 1)]
+    bins = (Spans(data).hashes(start, end) % np.uint64(BINS)).astype(np.int64)
+    both = np.unique(row_of(first) * BINS + bins)
+    return both // BINS, both % BINS
 
 
-def _word_counts(batches):
-    schema = pa.schema([("h", pa.int64()), ("p", pa.int64()), ("u", pa.int64())])
+def _bin_counts(batches):
+    """Documents with each bin, one row a bin and task."""
+    counts = np.zeros(BINS, dtype=np.int64)
     for batch in slices(batches):
-        row, h = _present(*text_bytes(batch.column("text")))
-        positive = batch.column("positive").to_numpy(zero_copy_only=False)[row]
-        keys, same = np.unique(h, return_inverse=True)
-        p = np.bincount(same, weights=positive, minlength=len(keys)).astype(np.int64)
-        yield batch_of(schema, keys.view(np.int64), p, np.bincount(same, minlength=len(keys)) - p)
+        counts += np.bincount(_present(batch.column("text"))[1], minlength=BINS)
+    some = np.flatnonzero(counts)
+    yield batch_of(pa.schema([("bin", pa.int32()), ("n", pa.int64())]), some.astype(np.int32), counts[some])
+
+
+def _bins(batches):
+    for batch in slices(batches):
+        row, bins = _present(batch.column("text"))
+        ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
+        bins = bins.astype(np.uint32)
+        yield batch_of(pa.schema([("positive", pa.bool_()), ("bins", pa.binary())]), batch.column("positive"), [bins[a:b].tobytes() for a, b in zip(ends, ends[1:])])
 
 
 def _draw(docs: DataFrame, positives: DataFrame, max_positive: int, max_unlabelled: int) -> DataFrame:
@@ -66,70 +85,74 @@ def _draw(docs: DataFrame, positives: DataFrame, max_positive: int, max_unlabell
     """
     ids = docs.select("id", F.xxhash64("id", F.lit("toxicity")).alias("draw"))
     drawn = [found.orderBy("draw", "id").limit(most).select("id", F.lit(kind).alias("positive")).distinct() for kind, found, most in ((True, ids.join(positives.distinct(), "id", "left_semi"), max_positive), (False, ids, max_unlabelled))]
-    return cut(docs.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]))), "id").select("text", "positive"))
+    return docs.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]))), "id").select("text", "positive")
+
 
+def scales(p: np.ndarray, n_p: int, u: np.ndarray, n_u: int) -> np.ndarray:
+    """0 to 1 for each bin: how far its share p / n_p of toxic documents deviates from its share u / n_u of all."""
+    share = (p + u) / (n_p + n_u)
+    z = (p / n_p - u / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u) + (FEW / n_p) ** 2)
+    return z**2 / (z**2 + HALF**2)
 
-def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "text", id_col: str = "doc_id", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_words: int = MAX_WORDS) -> Model:
-    """Fit on docs; positives holds the ids (id_col) of confirmed toxic ones, all others count as unlabelled."""
+
+def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "text", id_col: str = "doc_id", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
+    """Fit on docs; positives holds the ids (id_col) of confirmed toxic ones, all others count as unlabelled. prior: between 0 and 1."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    drawn = _draw(rows, positives.select(F.col(id_col).alias("id")), max_positive, max_unlabelled)
-    size = {r["positive"]: r["count"] for r in drawn.groupBy("positive").count().collect()}
-    n_p, n_u = size.get(True, 0), size.get(False, 0)
-    share = (F.col("p") + F.col("u")) / (n_p + n_u)
-    z = (F.col("p") / max(n_p, 1) - F.col("u") / max(n_u, 1)) / F.sqrt(share * (1 - share) * (1 / max(n_p, 1) + 1 / max(n_u, 1)) + 1e-12)
-    counts = drawn.mapInArrow(_word_counts, "h long, p long, u long").groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).withColumn("z", z)
-    chosen = counts.where((F.col("p") >= MIN_POSITIVE_DOCS) & (F.abs("z") >= MIN_DEVIATIONS)).orderBy(F.desc(F.abs("z")), "h").limit(max_words).select("h").toArrow()["h"].to_numpy()
-    words = np.sort(np.asarray(chosen, dtype=np.int64).view(np.uint64))
-    if not n_p or not n_u or not len(words):
-        return Model(words[:0], np.zeros(0), float(np.log(prior / (1 - prior))))
-
-    def matrix(batches):
-        schema = pa.schema([("positive", pa.bool_()), ("at", pa.binary())])
-        for batch in slices(batches):
-            row, h = _present(*text_bytes(batch.column("text")))
-            at = lookup(words, h)
-            ends = np.searchsorted(row[at >= 0], np.arange(batch.num_rows + 1))
-            at = at[at >= 0].astype(np.int16)
-            yield batch_of(schema, batch.column("positive"), [at[a:b].tobytes() for a, b in zip(ends, ends[1:])])
-
-    table = drawn.mapInArrow(matrix, "positive boolean, at binary").toArrow()
+    table = _draw(rows, positives.select(F.col(id_col).alias("id")), max_positive, max_unlabelled).mapInArrow(_bins, "positive boolean, bins binary").toArrow()
     y = table["positive"].to_numpy(zero_copy_only=False).astype(bool)
-    x = np.zeros((len(y), len(words)), dtype=np.float32)
-    for i, at in enumerate(table["at"].to_pylist()):
-        x[i, np.frombuffer(at, dtype=np.int16)] = 1
     if not y.any() or y.all():
-        return Model(words[:0], np.zeros(0), float(np.log(prior / (1 - prior))))
-    return Model(words, *train(x[y], x[~y], prior))
+        return Model(np.zeros(BINS, dtype=np.float32), float(np.log(prior / (1 - prior))))
+    texts = [np.frombuffer(x, dtype=np.uint32).astype(np.int64) for x in table["bins"].to_pylist()]
+    found = rows.select("text").mapInArrow(_bin_counts, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    everywhere = np.zeros(BINS)
+    everywhere[found["bin"].to_numpy()] = found["n"].to_numpy()
+    p, u = ([t for t, x in zip(texts, y) if x == kind] for kind in (True, False))
+    scale = scales(np.bincount(np.concatenate(p), minlength=BINS), len(p), everywhere, max(rows.count(), 1))
+    bins = np.unique(np.concatenate(texts))
+    weights, bias = train(Matrix(p, bins, scale[bins]), Matrix(u, bins, scale[bins]), prior)
+    all_weights = np.zeros(BINS, dtype=np.float32)
+    all_weights[bins] = weights * scale[bins]
+    return Model(all_weights, bias)
+
+
+class Matrix:
+    """Rows of bins, each with its scale as value: products from either side."""
+
+    def __init__(self, rows: list[np.ndarray], bins: np.ndarray, scale: np.ndarray):
+        self.at = np.searchsorted(bins, np.concatenate([*rows, np.zeros(0, np.int64)]))
+        self.value, self.n, self.width = scale[self.at], len(rows), len(bins)
+        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
 
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.at] * self.value, minlength=self.n)
 
-def train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
+    def __rmatmul__(self, g: np.ndarray) -> np.ndarray:
+        return np.bincount(self.at, weights=g[self.row] * self.value, minlength=self.width)
+
+
+def train(p: Matrix, u: Matrix, prior: float, steps: int = STEPS, rate: float = 0.1, decay: float = DECAY) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise prior * R(p as 1) + max(0, R(u as 0) - prior * R(p as 0)) by Adam, logistic loss."""
-    w = np.zeros(p.shape[1] + 1)
-    w[-1] = np.log(prior / (1 - prior))
-    m, v = np.zeros_like(w), np.zeros_like(w)
+    w, b = np.zeros(p.width), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(p.width + 1), np.zeros(p.width + 1)
     for t in range(1, steps + 1):
-        zp, zu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        zp, zu = p @ w + b, u @ w + b
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
         clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp, gu = prior * sp / len(p), su / len(u)
+        gp, gu = prior * sp / p.n, su / u.n
         if clean >= 0:
-            gp = prior * (sp - 1) / len(p) - gp
+            gp = prior * (sp - 1) / p.n - gp
         else:  # the estimate of a risk can't be negative: step back
             gu = -gu
-        grad = np.append(gp @ p + gu @ u + decay * w[:-1], gp.sum() + gu.sum())
+        grad = np.append(p.__rmatmul__(gp) + u.__rmatmul__(gu) + decay * w, gp.sum() + gu.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w[:-1], float(w[-1])
+        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return w, float(b)
 
 
 def score_batch(model: Model, column: pa.Array) -> np.ndarray:
-    data, offsets = text_bytes(column)
-    z = np.full(len(column), model.bias)
-    if len(model.words):
-        start, end, first = word_spans(data, offsets, ALPHA)
-        at = lookup(model.words, Spans(data).hashes(start, end))
-        both = np.unique(row_of(first)[at >= 0] * len(model.words) + at[at >= 0])
-        z += np.bincount(both // len(model.words), weights=model.weights[both % len(model.words)], minlength=len(column))
+    row, bins = _present(column)
+    z = model.bias + np.bincount(row, weights=model.weights[bins], minlength=len(column))
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import os
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -271,10 +272,10 @@ def test_decontamination(make, spark, odd_texts, clashing, monkeypatch):
     for size in (20_000, 2):
         monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", size)
         docs = make(texts, clashing)
-        found = decontaminate.contaminated(docs, benchmark, rare_docs=2).collect()
+        found = decontaminate.contaminated(docs, benchmark).collect()
         assert {(r.doc_id, r.item_id) for r in found} == expected
         assert [r.score for r in found if r.doc_id == 20] == [1.0] and [(r.first_word, r.end_word) for r in found if r.doc_id == 20] == [(100, 130)]
-        kept = decontaminate.clean(docs, benchmark, rare_docs=2)
+        kept = decontaminate.clean(docs, benchmark)
         assert kept.columns == docs.columns and {r.doc_id for r in kept.select("doc_id").collect()} == set(range(len(texts))) - {d for d, _ in expected}
     assert decontaminate.contaminated(make(texts), benchmark.where("false")).count() == 0
     assert decontaminate.contaminated(make([]), benchmark).count() == 0
@@ -300,6 +301,36 @@ def test_decontamination_of_a_widely_leaked_item(make, spark, monkeypatch):
     assert decontaminate._pairs(block, *texts, 3, 0.5) == whole and len(whole) == 65
 
 
+def test_decontamination_equals_brute_force(make, spark):
+    """All items against all whole passages, each pair by the full alignment table; items' ids are strings."""
+    rng = random.Random(18)
+    items = {f"q{i}": words(rng, rng.randrange(4, 14), 30) for i in range(12)}
+    texts = [None, "", "one two"]
+    for _ in range(50):
+        text = words(rng, rng.randrange(0, 20), 30)
+        for _ in range(rng.randrange(0, 3)):
+            copy = list(rng.choice(list(items.values())))
+            for _ in range(rng.randrange(0, 4)):
+                k = rng.randrange(len(copy))
+                copy[k : k + 1] = rng.choice([[], ["new"], [copy[k], "more"]])
+            text += copy + words(rng, rng.randrange(0, 9), 30)
+        texts.append(" ".join(text))
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(make(texts), spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id string, text string")).collect()}
+    expected = {}
+    for d, text in enumerate(texts):
+        own = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", (text or "").lower())
+        for name, item in items.items():
+            item = [w.lower() for w in item]
+            h = np.zeros((len(item) + 1, len(own) + 1), dtype=int)
+            for i in range(1, len(item) + 1):
+                for j in range(1, len(own) + 1):
+                    h[i, j] = max(0, h[i - 1, j - 1] + (decontaminate.MATCH if item[i - 1] == own[j - 1] else decontaminate.MISMATCH), h[i - 1, j] + decontaminate.GAP, h[i, j - 1] + decontaminate.GAP)
+            seeds = {tuple(item[i : i + 3]) for i in range(len(item) - 2)} & {tuple(own[i : i + 3]) for i in range(len(own) - 2)}
+            if seeds and h.max() >= decontaminate.MIN_SCORE * decontaminate.MATCH * len(item):
+                expected[d, name] = h.max() / (decontaminate.MATCH * len(item))
+    assert got == expected and len(got) > 40
+
+
 def test_decontamination_by_items_without_id(make, spark):
     rng = random.Random(16)
     items = [" ".join(words(rng, 20, 5000)) for _ in range(3)]

@@ -173,8 +173,24 @@ def test_nonnegative_risk():
     y = rng.random(4000) < 0.3
     x = (rng.random((4000, 6)) < np.where(y[:, None], 0.7, 0.2)).astype(np.float32)
     labelled = y & (rng.random(4000) < 0.5)
-    w, b = toxicity.train(x[labelled], x, 0.3)
-    assert np.mean(((x @ w + b) > 0) == y) > 0.85
+    bins, scale = np.arange(6), np.array([1, 0.9, 1, 0.8, 1, 1])
+    matrix = lambda some: toxicity.Matrix([np.flatnonzero(r) for r in some], bins, scale)
+    w, b = toxicity.train(matrix(x[labelled]), matrix(x), 0.3)
+    assert np.mean(((x * scale @ w + b) > 0) == y) > 0.85
+    dense = x[:50] * scale
+    assert np.allclose(matrix(x[:50]) @ w, dense @ w) and np.allclose(matrix(x[:50]).__rmatmul__(np.arange(50.0)), np.arange(50.0) @ dense)
+
+
+def test_toxicity_score_equals_brute_force(make, odd_texts):
+    """The bias and the weight of each distinct word's bin, every word counted."""
+    rng = np.random.default_rng(4)
+    model = toxicity.Model(rng.normal(size=toxicity.BINS).astype(np.float32), -0.5)
+    texts = [*odd_texts, "Ab ab AB c1d é", "x y z x"]
+    for r in toxicity.score(make(texts), model).collect():
+        own = {w.translate({c: c + 32 for c in range(65, 91)}) for w in re.findall(r"[A-Za-z\u0080-\U0010ffff]+", texts[r.doc_id] or "")}
+        bins = {int(h) % toxicity.BINS for h in kit.hash_words(sorted(own))} if own else set()
+        z = -0.5 + sum(float(model.weights[b]) for b in bins)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-max(-500, min(500, z))))) and r.predicted == (r.score >= 0.5)
 
 
 def test_automaton_equals_brute_force():
