@@ -442,6 +442,37 @@ def test_pipeline(make, spark, tmp_path, odd_texts, clashing):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_pipeline_stages_on_repeated_and_null_ids(make, spark, tmp_path, clashing):
+    """Every stage gives each row at most once, and the same on a rerun."""
+    rng = random.Random(21)
+    text = lambda n: " ".join(words(rng, n, 3000))
+    rows = [(1, text(5), "en", "a"), (1, text(50), "en", "a"), (1, text(50), "en", "b"), (None, text(20), "en", "a"), (None, text(20), "en", "a"), (None, text(9), "en", None), (2, "same words here " * 3, "en", "a"), (2, "same words here " * 3, "en", "a"), (3, None, "en", "a"), (4, "", None, "b")]
+    rows += [(10 + i, text(30), "en", "ab"[i % 2]) for i in range(12)]
+    docs = make(rows, clashing)
+    spark.createDataFrame([(1, rows[-1][1]), (None, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    taken = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = [tuple(r) for r in stage(spark, docs, str(tmp_path)).select("doc_id", "text", "source").collect()]
+        again = [tuple(r) for r in stage(spark, docs.repartition(5), str(tmp_path)).select("doc_id", "text", "source").collect()]
+        assert sorted(map(repr, out)) == sorted(map(repr, again)) and len(out) <= len(rows)
+        taken[name] = out
+    left = collections.Counter((i, t, s) for i, t, _, s in rows)
+    for name in ("language_id", "near_dedup", "decontamination", "source_mixing"):
+        assert not collections.Counter(taken[name]) - left
+    assert len(taken["line_dedup"]) == len(rows) and len(taken["decontamination"]) == len(rows) - 1
+    mixed = corpus_pipeline.mix_sources(spark, docs, str(tmp_path)).collect()
+    assert all(r.size == len((r.text or "").split()) and r.taken == r.copies * r.size > 0 for r in mixed)
+    assert set(docs.columns) - {"size", "target"} <= set(mixed[0].asDict())
+
+
+def test_language_stage_rejects_what_no_language_holds(make, spark):
+    rng = random.Random(22)
+    rows = [(i, " ".join(words(rng, 60)), "en", "s") for i in range(40)]
+    odd = [(100, " ".join(f"qz{chr(97 + rng.randrange(26))}x{chr(97 + rng.randrange(26))}w" for _ in range(200)), None, "s"), (101, "zq xw", None, "s")]
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, make(rows + odd), "").collect()}
+    assert kept == set(range(40)) | {101}  # two words tell too little to go
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
 def test_queries_on_tables(spark):
     from cohortloom.llm import queries
