@@ -51,6 +51,8 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str,
     total = table.agg(F.sum(weight)).first()[0] or 0
     wide = F.col(weight) * most > F.lit(total)
     hot = F.broadcast(table.where(wide))
+    if total <= most or table.where(wide).isEmpty():
+        return rows.join(table, keys)
     rest = rows.join(F.broadcast(table.where(wide).select(*keys)), keys, "left_anti").join(table.where(~wide), keys)
     return rows.join(hot, keys).unionByName(rest)
 

@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(sketches.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("k").alias("k"), F.count("*").alias("c")))
     reps = classes.select(F.col("rep").alias("id"), "n", "k")
 
-    bands = cut(reps.mapInArrow(_bands, "key long, id long, n long"))
+    bands = reps.mapInArrow(_bands, "key long, id long, n long")  # made twice: less than writing 40 rows a text
     shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = cut(bands.join(shared, "key"))
     reach = members.groupBy("id").agg(F.sum("c").alias("reach"))
