@@ -51,23 +51,26 @@ def match_in_cells(df: DataFrame, cells: list[str], ratio: int = 1, treat: str =
 def match_caliper(df: DataFrame, caliper: float, treat: str = "treat", score: str = "ps", id_col: str = "patid", cut=lambda pairs: pairs.checkpoint()) -> DataFrame:
     """Greedy 1:1 matches within the caliper, the nearest first, ties by ids: treated, control, distance.
 
-    Each round accepts the pairs that are first for both their ends; that equals
+    Patients of equal score match by rank of their ids, all at once, which is what the greedy order does with
+    them. For the others each round accepts the pairs that are first for both their ends; that equals
     the greedy order over all pairs. Pairs are found by buckets of the score.
     """
-    bucket = F.floor(F.col(score) / caliper)
-    treated = df.where(F.col(treat) == 1).select(F.col(id_col).alias("treated"), F.col(score).alias("s"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
-    controls = df.where(F.col(treat) == 0).select(F.col(id_col).alias("control"), F.col(score).alias("c"), bucket.alias("b"))
+    ranked = df.where(F.col(score).isNotNull()).select(F.col(id_col).alias("id"), F.col(score).alias("s"), F.col(treat).alias("arm"))
+    ranked = cut(ranked.withColumn("nth", F.row_number().over(W.partitionBy("s", "arm").orderBy("id"))))
+    one, two = (ranked.where(F.col("arm") == k).select("s", "nth", F.col("id").alias(name)) for k, name in ((1, "treated"), (0, "control")))
+    matched = cut(one.join(two, ["s", "nth"]).select("treated", "control", F.lit(0.0).alias("distance")))
+    bucket = F.floor(F.col("s") / caliper)
+    treated = one.join(matched, "treated", "left_anti").select("treated", "s", F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
+    controls = two.join(matched, "control", "left_anti").select("control", F.col("s").alias("c"), bucket.alias("b"))
     pairs = cut(treated.join(controls, "b").select("treated", "control", F.abs(F.col("s") - F.col("c")).alias("distance")).where(F.col("distance") <= caliper))
-    matched = None
     while True:
         key = F.struct("distance", "treated", "control")
         first = {side: pairs.groupBy(side).agg(F.min(key).alias("x")).select("x.*") for side in ("treated", "control")}
         got = cut(first["treated"].join(first["control"], ["distance", "treated", "control"]))
         if got.isEmpty():
-            return matched if matched is not None else got.select("treated", "control", "distance")
-        matched = got if matched is None else matched.unionByName(got)
+            return matched
+        matched = matched.unionByName(got.select("treated", "control", "distance"))
         pairs = cut(pairs.join(got.select("treated"), "treated", "left_anti").join(got.select("control"), "control", "left_anti"))
-        matched = matched.select("treated", "control", "distance")
 
 
 def ps_weights(df: DataFrame, kind: str = "ate", treat: str = "treat", score: str = "ps", stabilised: bool = False, most: float | None = None) -> DataFrame:
@@ -125,7 +128,7 @@ def tree_counts(counts: DataFrame, tree: DataFrame, sums: list[str], max_depth:
     closure = counts.select(F.col("code").alias("node"), F.col("code").alias("leaf")).distinct()
     level = closure
     for _ in range(max_depth):
-        level = level.join(edges, F.col("node") == F.col("child")).select(F.col("parent").alias("node"), "leaf").distinct().persist()
+        level = level.join(edges, F.col("node") == F.col("child")).select(F.col("parent").alias("node"), "leaf").distinct()
         if level.isEmpty():
             break
         closure = closure.unionByName(level)

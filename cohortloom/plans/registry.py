@@ -7,11 +7,13 @@ longs, doubles rounded to six places.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shared import shared_dir
 from ..operators import cohort, compare, outcomes, summaries
 from ..sources import tables as sources
 from .scenario import Scenario, run_request
@@ -429,16 +431,16 @@ def kaplan_meier(spark, sf_dir):
     return summaries.kaplan_meier(_arms(patients(spark, sf_dir)), ["sex"])
 
 
-@query("""SELECT s.patid, s.code, s.index_date, x.adate AS value_date, x.dx AS value FROM starts s LEFT JOIN LATERAL (SELECT adate, dx FROM diagnosis d WHERE d.patid = s.patid AND d.adate <= s.index_date ORDER BY adate DESC, dx DESC LIMIT 1) x ON true WHERE s.code = 'Brand#1'""", INDEX, dates="index_date value_date")
+@query("""SELECT s.patid, s.code, s.index_date, x.adate AS value_date, x.dx AS value FROM starts s LEFT JOIN LATERAL (SELECT adate, dx FROM diagnosis d WHERE d.patid = s.patid AND d.adate <= s.index_date ORDER BY adate DESC, dx DESC LIMIT 1) x ON true""", INDEX, dates="index_date value_date")
 def latest_value(spark, sf_dir):
     t = patients(spark, sf_dir)
-    return summaries.latest_value(_starts(t).where("code = 'Brand#1'"), t["diagnosis"], "dx")
+    return summaries.latest_value(_starts(t), t["diagnosis"], "dx")
 
 
-@query("SELECT sex, count(*) AS n_rows, sum(event) AS n_events FROM followed WHERE site IN ('ASIA', 'EUROPE', 'AFRICA') GROUP BY 1", ARMS, longs="n_rows n_events")
+@query("SELECT sex, count(*) AS n_rows, sum(event) AS n_events FROM followed GROUP BY 1", ARMS, longs="n_rows n_events")
 def combine_sites(spark, sf_dir):
     arms = _arms(patients(spark, sf_dir))
-    results = [arms.where(F.col("site") == s).groupBy("sex").agg(F.count("*").alias("n_rows"), F.sum("event").alias("n_events")) for s in ("ASIA", "EUROPE", "AFRICA")]
+    results = [arms.where(F.col("site") == s).groupBy("sex").agg(F.count("*").alias("n_rows"), F.sum("event").alias("n_events")) for s in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
     return summaries.combine_sites(results, ["sex"], ["n_rows", "n_events"])
 
 
@@ -486,7 +488,7 @@ def match_in_cells(spark, sf_dir):
 
 @query()
 def match_caliper(spark, sf_dir):
-    spark.sparkContext.getCheckpointDir() or spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/cohortloom-checkpoints")
+    shared_dir(spark)
     return compare.match_caliper(_made_score(patients(spark, sf_dir)), 0.002)
 
 
@@ -526,6 +528,14 @@ def tree_counts(spark, sf_dir):
     return compare.tree_counts(counts, tree.unionByName(tree.select(F.lit("WORLD").alias("parent"), F.col("parent").alias("child"))), ["n"])
 
 
+@query("SELECT site, sex, count(*) AS n_rows, sum(event) AS n_events FROM followed GROUP BY 1, 2", ARMS, longs="n_rows n_events")
+def write_result(spark, sf_dir):
+    """A result table written by site and read again."""
+    path = f"{shared_dir(spark)}/result-{uuid.uuid4().hex}"
+    sources.write_result(_arms(patients(spark, sf_dir)).groupBy("site", "sex").agg(F.count("*").alias("n_rows"), F.sum("event").alias("n_events")), path, ["site"])
+    return spark.read.parquet(path)
+
+
 # Requests
 
 

@@ -41,6 +41,7 @@ class Scenario:
 def run_request(tables: dict[str, DataFrame], scenario: Scenario, codes: DataFrame) -> dict[str, DataFrame]:
     """``cohort`` (one row an index with follow-up and outcome), ``counts`` and ``rates`` with small cells suppressed.
 
+    The cohort is persisted, as all results come from it; unpersist it when they are written.
     tables: the patient model. codes: groups of dispensing codes and of diagnosis codes.
     """
     s = scenario
@@ -73,7 +74,7 @@ def run_request(tables: dict[str, DataFrame], scenario: Scenario, codes: DataFra
     index = index.join(tables["death"], "patid", "left")
     index = outcomes.follow_up(index, s.query_end, s.risk_to)
     index = cohort.age_at(index, tables["demographic"], list(s.age_bins)).join(tables["demographic"].select("patid", "sex", "site", "segment"), "patid")
-    found = index.withColumn("event", (F.col("reason") == "outcome").cast("long"))
+    found = index.withColumn("event", (F.col("reason") == "outcome").cast("long")).persist()
     sets = [list(s.strata), *([c] for c in s.strata), []]
     counts = summaries.suppress_small(summaries.counts_by(found, sets), ["n_rows", "n_patients"], s.min_cell)
     rates = summaries.suppress_small(summaries.incidence_rate(found, list(s.strata)), ["n_events"], s.min_cell)

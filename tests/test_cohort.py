@@ -225,6 +225,20 @@ def test_caliper_matching_equals_greedy(spark, tmp_path):
     assert compare.match_caliper(df.where("treat = 1"), 0.02).count() == 0
 
 
+def test_caliper_matching_of_tied_scores(spark):
+    """Few distinct scores, many patients each: equal scores, and one score as near to two others."""
+    rng = random.Random(4)
+    given = [(i, rng.randrange(2), rng.choice([0, 2, 4, 9, 11, 30]) / 64) for i in range(40)]
+    pairs = sorted((abs(s - c), t, u) for t, a, s in given if a == 1 for u, b, c in given if b == 0 and abs(s - c) <= 3 / 64)
+    used, expected = set(), []
+    for _, t, c in pairs:
+        if t not in used and c not in used:
+            used |= {t, c}
+            expected.append((t, c))
+    df = spark.createDataFrame(given, "patid long, treat int, ps double")
+    assert rows(compare.match_caliper(df, 3 / 64), "treated", "control") == sorted(expected)
+
+
 def test_propensity_is_calibrated(spark):
     rng = random.Random(4)
     given = [(i, x := rng.random(), int(rng.random() < 0.2 + 0.6 * x)) for i in range(3000)]
