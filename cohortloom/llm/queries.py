@@ -20,7 +20,7 @@ def _fold(parts: int):
 def op1_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(_fold(5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    toxic, n = labels.agg(F.count_if("toxic = 1"), F.count("*")).first()
+    toxic, n = labels.agg(F.count_if(F.col("toxic") == 1), F.count("*")).first()
     model = toxicity.fit(docs.where(_fold(5) != 0), labels.where("toxic = 1"), (toxic + 1) / (n + 2))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
