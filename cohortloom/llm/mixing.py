@@ -22,7 +22,9 @@ No window or array holds a source. Ranks are cut into ``BUCKETS`` ranges, whose
 are added up first; the range where the words run out is cut again, ``LEVELS`` times
 in all, and only the last is ordered row by row. The walk beyond takes the next
 ``WALK`` documents that are no longer than the words left, folds them, and goes on
-until fewer than that were there. Random numbers come from a hash of the id, so that
+until fewer than that were there. These are picked from each of 256 groups of
+partitions, then of 16, then of all, so that a task reads ``WALK`` rows of a source from
+one partition in 256, and after that from 16 groups. Random numbers come from a hash of the id, so that
 reruns agree. Rows with the same id, source and size tie and are taken in any order,
 with the same counts. Null or empty texts have size 0 and are never taken; very long
 ones count whole. Other columns play no part, whatever their names. An empty table
@@ -44,8 +46,11 @@ MAX_COPIES = 3
 LEAN = 8
 BUCKETS = 1024
 LEVELS = 2
-#: Spark keeps row numbers up to so many without a whole sort (spark.sql.optimizer.windowGroupLimitThreshold).
-WALK = 1000
+#: Documents of a source in a step of the walk. Spark keeps row numbers up to 1,000 without a whole sort
+#: (spark.sql.optimizer.windowGroupLimitThreshold).
+WALK = 256
+#: Groups of partitions that the first rows of a source are picked from, one after another.
+GROUPS = (256, 16, 1)
 #: Tables of one row a source are broadcast up to so many rows, and joined by a shuffle beyond.
 FEW_SOURCES = 20_000
 
@@ -123,6 +128,15 @@ def _front(drawn: DataFrame, side, names: list[str]) -> DataFrame:
     return below.select(*names, "one").unionByName(at.select(*names, "one")).unionByName(above.select(*names, "one"))
 
 
+def _first(fits: DataFrame) -> DataFrame:
+    """The first WALK rows of each source. The upper half of ``row`` is the partition it was numbered in."""
+    for groups in GROUPS:
+        group = F.shiftright("row", 33) % groups
+        nth = F.row_number().over(W.partitionBy("source", group).orderBy("place", "doc_id", "size", "row"))
+        fits = fits.withColumn("nth", nth).where(F.col("nth") <= WALK).drop("nth")
+    return fits
+
+
 def _walk_on(chosen: DataFrame, side) -> DataFrame:
     """chosen with each further row taken, in order, that fits the words left of its source."""
     chosen = cut(chosen.withColumn("row", F.monotonically_increasing_id()))
@@ -133,8 +147,7 @@ def _walk_on(chosen: DataFrame, side) -> DataFrame:
         fits = state.join(side(left), F.col("source").eqNullSafe(F.col("s"))).where("size <= left")
         if "last" in left.columns:
             fits = fits.where(key > F.col("last"))
-        nth = F.row_number().over(W.partitionBy("source").orderBy("place", "doc_id", "size", "row"))
-        some = fits.withColumn("nth", nth).where(F.col("nth") <= WALK).groupBy("source").agg(F.array_sort(F.collect_list(key)).alias("some"), F.max("left").alias("left"))
+        some = _first(fits).groupBy("source").agg(F.array_sort(F.collect_list(key)).alias("some"), F.max("left").alias("left"))
         none = F.struct(F.col("left"), F.array().cast("array<bigint>").alias("rows"))
         walked = F.aggregate("some", none, lambda at, x: F.when(x["size"] <= at["left"], F.struct((at["left"] - x["size"]).alias("left"), F.concat(at["rows"], F.array(x["row"])).alias("rows"))).otherwise(at))
         step = cut(some.select(F.col("source").alias("s"), walked.alias("x"), F.size("some").alias("seen"), F.element_at("some", -1).alias("last")))
