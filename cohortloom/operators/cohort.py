@@ -173,13 +173,20 @@ def entry_nonoverlap(index: DataFrame, blackout: int, by: tuple[str, ...] = ("pa
 
 
 def attrition(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
-    """Rows and patients left after each step and all before it, in one pass: step, name, n_rows, n_patients."""
-    passed, aggregates = F.lit(True), []
-    for k, (_, condition) in enumerate([("all", F.lit(True)), *steps]):
+    """Rows and patients left after each step and all before it, in one pass: step, name, n_rows, n_patients.
+
+    Rows are counted by patient first, so that one exchange of a row a patient serves all steps. A null patient is none.
+    """
+    named = [("all", F.lit(True)), *steps]
+    passed, counts = F.lit(True), []
+    for k, (_, condition) in enumerate(named):
         passed = passed & F.coalesce(condition, F.lit(False))
-        aggregates += [F.count(F.when(passed, 1)).alias(f"r{k}"), F.count_distinct(F.when(passed, F.col("patid"))).alias(f"p{k}")]
-    rows = [F.struct(F.lit(k).cast("long").alias("step"), F.lit(name).alias("name"), F.col(f"r{k}").alias("n_rows"), F.col(f"p{k}").alias("n_patients")) for k, (name, _) in enumerate([("all", None), *steps])]
-    return df.agg(*aggregates).select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+        counts.append(F.count(F.when(passed, 1)).alias(f"r{k}"))
+    left = [F.col(f"r{k}") for k in range(len(named))]
+    patients = [F.count(F.when((r > 0) & F.col("patid").isNotNull(), 1)).alias(f"p{k}") for k, r in enumerate(left)]
+    totals = df.groupBy("patid").agg(*counts).agg(*patients, *(F.coalesce(F.sum(r), F.lit(0)).alias(f"r{k}") for k, r in enumerate(left)))
+    rows = [F.struct(F.lit(k).cast("long").alias("step"), F.lit(name).alias("name"), F.col(f"r{k}").alias("n_rows"), F.col(f"p{k}").alias("n_patients")) for k, (name, _) in enumerate(named)]
+    return totals.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
 def truncate_at(episodes: DataFrame, other: DataFrame) -> DataFrame:

@@ -110,10 +110,17 @@ def kaplan_meier(df: DataFrame, strata: list[str], time: str = "days", event: st
 
 
 def latest_value(index: DataFrame, records: DataFrame, value: str, date: str = "adate") -> DataFrame:
-    """Index rows with the value on the last day on or before index (the largest of that day), and that day."""
-    other = records.select(F.col("patid").alias("p"), F.col(date).alias("d"), F.col(value).alias("v"))
-    joined = index.join(other, (F.col("patid") == F.col("p")) & (F.col("d") <= F.col("index_date")), "left")
-    return joined.groupBy(*index.columns).agg(F.max(F.when(F.col("d").isNotNull(), F.struct("d", "v"))).alias("x")).select(*index.columns, F.col("x.d").alias("value_date"), F.col("x.v").alias("value"))
+    """Index rows with the value on the last day on or before index (the largest of that day), and that day.
+
+    Records and index rows are sorted together by patient and day, and each index row takes the last record before it,
+    so no row meets a patient's whole history. A null patient or day has no value.
+    """
+    found = F.when(F.col("patid").isNotNull() & F.col(date).isNotNull(), F.struct(F.col(date).alias("d"), F.col(value).alias("v")))
+    other = records.select("patid", F.col(date).alias("_day"), found.alias("_found"))
+    both = index.withColumns({"_day": F.col("index_date"), "_index": F.lit(True)}).unionByName(other, allowMissingColumns=True)
+    upto = W.partitionBy("patid").orderBy("_day", F.col("_index").asc_nulls_first(), "_found").rowsBetween(W.unboundedPreceding, 0)
+    last = both.withColumn("_last", F.last("_found", ignorenulls=True).over(upto)).where("_index")
+    return last.select(*index.columns, F.col("_last.d").alias("value_date"), F.col("_last.v").alias("value"))
 
 
 def combine_sites(results: list[DataFrame], by: list[str], sums: list[str]) -> DataFrame:

@@ -116,6 +116,8 @@ def test_entries_and_attrition(spark):
     steps = [("late", F.col("index_date") > F.lit("2000-01-11").cast("date")), ("one", F.col("patid") == 1)]
     got = rows(cohort.attrition(ix, steps), "step", "name", "n_rows", "n_patients")
     assert got == [(0, "all", 5, 2), (1, "late", 3, 2), (2, "one", 2, 1)]
+    assert rows(cohort.attrition(index(spark, (None, "2000-03-01"), (1, "2000-03-01")), steps), "step", "n_rows", "n_patients") == [(0, 2, 1), (1, 2, 1), (2, 1, 1)]
+    assert rows(cohort.attrition(ix.limit(0), steps), "step", "n_rows", "n_patients") == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
 
 
 def test_codes(spark):
@@ -156,6 +158,15 @@ def test_outcomes(spark):
     assert rows(last, "patid", "value") == [(1, "x"), (2, None)]
 
 
+def test_latest_value_odd(spark):
+    day = D("2000-01-05")
+    r = spark.createDataFrame([(1, day, "a"), (1, day, "b"), (1, day, None), (1, None, "z"), (None, day, "n"), (3, day, None)], "patid long, adate date, code string")
+    ix = spark.createDataFrame([(1, day, "one"), (1, day, "one"), (1, None, "no day"), (None, day, "nobody"), (3, day, "null value")], "patid long, index_date date, code string")
+    got = [(x.code, x.value_date, x.value) for x in summaries.latest_value(ix, r, "code").collect()]
+    assert sorted(got, key=str) == [("no day", None, None), ("nobody", None, None), ("null value", day, None), ("one", day, "b"), ("one", day, "b")]
+    assert summaries.latest_value(ix.limit(0), r, "code").count() == 0
+
+
 def test_person_time_sums_to_the_spans(spark):
     s = spans(spark, (1, "1999-12-31", "2001-01-01"), (2, "2000-02-29", "2000-02-29"), names=("span_start", "span_end"))
     got = rows(outcomes.person_time(s), "period", "days", "n_patients")
