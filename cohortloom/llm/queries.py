@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, linededup, mixing, neardup, repetition, secrets, substrings, toxicity
+from . import conversations, decontaminate, langid, licenses, linededup, mixing, neardup, quality, repetition, secrets, substrings, toxicity, vectorcodes
 from .sql import ORACLE_SQL  # noqa: F401  what the entry point reads
 
 
@@ -75,6 +75,36 @@ def op10_lines(spark, sf_dir):
     return linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op11_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").where((_fold(4) != 2) & (F.col("quality") == 1))
+    scored = quality.score(docs, quality.fit(docs, trusted))
+    return scored.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op12_vector_codes(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vectorcodes.train(vectors)
+    if books is None:
+        return spark.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
+    coded = vectorcodes.with_label_error(vectorcodes.encode(vectors, books))
+    code = F.array_join(F.transform("codes", lambda k: F.lower(F.lpad(F.hex(k), 2, "0"))), "")
+    return coded.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op13_conversations(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    found = conversations.repair(conversations.damage(given))
+    hashes = conversations.digests(found.messages)
+    out = given.select("conv_id").distinct()
+    for other in (found.conversations, hashes):
+        other = other.withColumnRenamed("conv_id", "_conv_id")
+        out = out.join(other, F.col("conv_id").eqNullSafe(F.col("_conv_id")), "left").drop("_conv_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    nothing = F.sha2(F.lit(""), 256)
+    return out.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -86,5 +116,8 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_lines": op10_lines,
+    "op11_quality": op11_quality,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_conversations": op13_conversations,
 }
 

@@ -82,10 +82,65 @@ judged AS (SELECT k.doc_id, k.i, k.line, coalesce(k.doc_id < s.last, false) AS g
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM judged GROUP BY 1
 """
 
+#: Rounds of k-means by list arithmetic over whole numbers; floor(sum / count) is exact as a double below 2^53.
+OP12 = r"""
+WITH kept AS (SELECT vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+x AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x FROM kept, unnest([0, 1, 2, 3]) AS t(p)),
+c0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS c FROM x QUALIFY k < 256),
+{rounds}
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY 1),
+books AS (SELECT sha256(string_agg(v, ',' ORDER BY p, k)) AS codebooks_sha256 FROM (SELECT p, k, array_to_string(c, ',') AS v FROM c4)),
+labels_ AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM kept JOIN coded USING (vec_id) GROUP BY 1)
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM coded JOIN kept USING (vec_id) JOIN labels_ ON kept.label IS NOT DISTINCT FROM labels_.label, books
+"""
+_ASSIGN = """a{r} AS MATERIALIZED (SELECT vec_id, p, z.d AS d, z.k AS k, x FROM (SELECT vec_id, p, any_value(x) AS x, min({{'d': list_sum([(x[i] - c[i]) * (x[i] - c[i]) FOR i IN range(1, len(x) + 1)]), 'k': k}}) AS z FROM x JOIN c{r} USING (p) GROUP BY 1, 2)),"""
+_MOVE = """c{n} AS MATERIALIZED (SELECT c{r}.p, c{r}.k, coalesce(m, c) AS c FROM c{r} LEFT JOIN (SELECT p, k, list(m ORDER BY i) AS m FROM (SELECT p, k, i, CAST(floor(CAST(sum(y) AS DOUBLE) / count(*)) AS BIGINT) AS m FROM (SELECT p, k, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY ALL) GROUP BY 1, 2) u ON u.p = c{r}.p AND u.k = c{r}.k),"""
+OP12 = OP12.format(rounds="\n".join(_ASSIGN.format(r=r) + "\n" + _MOVE.format(r=r, n=r + 1) for r in range(4)) + "\n" + _ASSIGN.format(r=4))
+
+
+def _line(head: str, w: str) -> str:
+    return f"CASE WHEN {w}.m IS NULL THEN {head} ELSE {head} || chr(10) || {w}.m END"
+
+
+def _step(q: int, due: int, role: str) -> str:
+    """The least of delete, give the role due, and keep, in state q: structs of cost, letters and messages from here on."""
+    keep = {0: "s.kind IN ('s', 'u')", 1: "s.kind = 'u'", 2: "s.kind = 'a'", 3: "s.kind = 'u'"}[q]
+    to = "(CASE WHEN s.kind = 's' THEN s.w1 ELSE s.w2 END)" if q == 0 else f"s.w{due}"
+    deleted = f"{{'c': s.w{q}.c + 4, 'a': 'D' || s.w{q}.a, 'm': s.w{q}.m}}"
+    given = f"{{'c': s.w{due}.c + 3 + s.more, 'a': 'R' || s.w{due}.a, 'm': {_line(f"'{role}:' || s.text", f's.w{due}')}}}"
+    kept = f"{{'c': {to}.c + s.more, 'a': 'K' || {to}.a, 'm': {_line("s.role || ':' || s.text", to)}}}"
+    return f"list_min([{deleted}] || CASE WHEN s.go THEN [] ELSE [{given}] || CASE WHEN {keep} THEN [{kept}] ELSE [] END END) AS s{q}"
+
+
+def _insert(q: int, role: str, after: str) -> str:
+    made = f"'{role}:'"
+    return f"list_min([s{q}, {{'c': {after}.c + 3, 'a': 'I' || {after}.a, 'm': {_line(made, after)}}}]) AS w{q}"
+
+
+#: Conversations from the last row backwards, with the cheapest rest of each state as (cost, letters, messages).
+OP13 = r"""
+WITH RECURSIVE given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS b FROM conversations),
+coded AS (SELECT *, xor(4294967295, list_reduce([4294967295] || [CAST(('0x' || substr(hex(b), 2 * i + 1, 2)) AS BIGINT) FOR i IN range(octet_length(b))], lambda acc, v : list_reduce([xor(acc, v), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z : xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS code FROM given),
+damaged AS (SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE code WHEN 3 THEN 2 ELSE 1 END)) FROM coded WHERE code <> 0),
+ordered AS (SELECT *, row_number() OVER o AS k, lag(left(role, 1)) OVER o || left(role, 1) AS pair FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text))),
+judged AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS seen, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut_off FROM ordered),
+faults AS (SELECT conv_id, k, role, text, pair, turn, left(role, 1) AS kind, blank OR seen AS go, CASE WHEN cut_off THEN 3 ELSE 0 END AS more, blank, NOT blank AND seen AS duplicate, NOT blank AND NOT seen AND cut_off AS truncated FROM judged),
+counted AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY 1),
+walk(conv_id, k, w0, w1, w2, w3) AS (SELECT conv_id, n + 1, {'c': 0, 'a': '', 'm': CAST(NULL AS VARCHAR)}, {'c': 6, 'a': 'II', 'm': 'user:' || chr(10) || 'assistant:'}, {'c': 3, 'a': 'I', 'm': 'assistant:'}, {'c': 0, 'a': '', 'm': CAST(NULL AS VARCHAR)} FROM counted
+  UNION ALL SELECT conv_id, k, CLOSE0, CLOSE1, w2, w3 FROM (SELECT conv_id, k, s0, s1, CLOSE2, CLOSE3 FROM (
+    SELECT conv_id, k, STEP0, STEP1, STEP2, STEP3 FROM (SELECT w.conv_id, f.k, w0, w1, w2, w3, f.role, f.text, f.kind, f.go, f.more FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.k = w.k - 1) s)))
+SELECT g.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.w0.c, 0) AS BIGINT) AS cost, coalesce(w.w0.a, '') AS audit, sha256(coalesce(w.w0.m, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN counted c ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN walk w ON w.k = 1 AND g.conv_id IS NOT DISTINCT FROM w.conv_id
+"""
+for _q, _due, _role in ((0, 2, "user"), (1, 2, "user"), (2, 3, "assistant"), (3, 2, "user")):
+    OP13 = OP13.replace(f"STEP{_q}", _step(_q, _due, _role)).replace(f"CLOSE{_q}", _insert(_q, _role, "w2" if _q < 2 else f"s{_due}"))
+
 ORACLE_SQL = {
     "op4_mixing": OP4,
     "op5_repetition": f"SELECT * EXCLUDE (longest) FROM ({OP5})",
     "op6_substrings": OP6,
     "op9_near_duplicates": OP9,
     "op10_lines": OP10,
+    "op12_vector_codes": OP12,
+    "op13_conversations": OP13,
 }
