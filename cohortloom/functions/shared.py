@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,3 +22,13 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(found)
     return found
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there: it is computed once and a lost executor costs little."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import days
+from ..functions import days, greedy, spans
 
 
 def match_codes(records: DataFrame, codes: DataFrame, code: str = "code") -> DataFrame:
@@ -55,14 +55,22 @@ def bridge_spans(enrollment: DataFrame, gap: int) -> DataFrame:
 def intersect_spans(a: DataFrame, b: DataFrame) -> DataFrame:
     """Time that lies in a span of a and a span of b."""
     other = b.select("patid", F.col("span_start").alias("s"), F.col("span_end").alias("e"))
-    both = a.join(other, "patid").where((F.col("s") <= F.col("span_end")) & (F.col("span_start") <= F.col("e")))
+    both = spans.overlapping(a.select("patid", "span_start", "span_end"), other, ("span_start", "span_end"), ("s", "e"))
     return both.select("patid", F.greatest("span_start", "s").alias("span_start"), F.least("span_end", "e").alias("span_end"))
 
 
-def require_enrollment(index: DataFrame, spans: DataFrame, days_before: int) -> DataFrame:
-    """Index rows inside one bridged span that began at least days_before days earlier; the span's end as enr_end."""
-    joined = index.join(spans, "patid").where((F.col("span_start") <= F.date_sub("index_date", days_before)) & (F.col("span_end") >= F.col("index_date")))
-    return joined.withColumnRenamed("span_end", "enr_end").drop("span_start")
+def require_enrollment(index: DataFrame, bridged: DataFrame, days_before: int) -> DataFrame:
+    """Index rows inside one bridged span that began at least days_before days earlier; the span's end as enr_end.
+
+    Those spans are disjoint, as ``bridge_spans`` makes them, so only the last one that began by the index date can hold it: index rows and
+    spans are sorted together by day, and no row meets a patient's other spans.
+    """
+    began = bridged.where(F.col("patid").isNotNull()).select("patid", F.col("span_start").alias("_day"), F.struct("span_start", "span_end").alias("_span"))
+    both = index.where(F.col("patid").isNotNull()).withColumn("_day", F.col("index_date")).unionByName(began, allowMissingColumns=True)
+    upto = W.partitionBy("patid").orderBy(F.col("_day"), F.col("_span").isNull()).rowsBetween(W.unboundedPreceding, 0)
+    held = both.withColumn("_last", F.last("_span", ignorenulls=True).over(upto)).where(F.col("_span").isNull())
+    inside = held.where((F.col("_last.span_start") <= F.date_sub("index_date", days_before)) & (F.col("_last.span_end") >= F.col("index_date")))
+    return inside.select(*index.columns, F.col("_last.span_end").alias("enr_end"))
 
 
 def in_query_period(records: DataFrame, date: str, start: str, end: str) -> DataFrame:
@@ -162,14 +170,14 @@ def entry_all(index: DataFrame) -> DataFrame:
 
 
 def entry_nonoverlap(index: DataFrame, blackout: int, by: tuple[str, ...] = ("patid",)) -> DataFrame:
-    """Index dates greedily: each is more than blackout days after the last one taken. One array a patient."""
-    sorted_dates = index.groupBy(*by).agg(F.array_sort(F.collect_set("index_date")).alias("dates"))
-    taken = F.aggregate(
-        "dates",
-        F.array().cast("array<date>"),
-        lambda acc, d: F.when((F.size(acc) == 0) | (F.datediff(d, F.element_at(acc, -1)) > blackout), F.concat(acc, F.array(d))).otherwise(acc),
-    )
-    return sorted_dates.select(*by, F.explode(taken).alias("index_date"))
+    """Index dates greedily: each is more than blackout days after the last one taken.
+
+    Each date points to the first one beyond its blackout, and doubling these pointers finds what the first date
+    reaches, in a time near the number of dates. Null dates are none; dates of a null patient are those of one patient.
+    """
+    dates = index.select(*by, "index_date").where(F.col("index_date").isNotNull()).distinct()
+    rows = dates.repartition(*by).sortWithinPartitions(*by, "index_date")
+    return rows.mapInArrow(greedy.apart_by(list(by), "index_date", max(blackout, 0) + 1), rows.schema)
 
 
 def attrition(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:

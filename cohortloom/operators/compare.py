@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import days
+from ..functions import days, matching, order
+from ..functions.shared import cut, parts
 from . import summaries
 
 
@@ -21,12 +22,69 @@ def covariate_matrix(index: DataFrame, records: DataFrame, groups: list[str], lo
     return joined.groupBy(*index.columns).agg(*flags)
 
 
-def propensity(df: DataFrame, treat: str, covariates: list[str], regularisation: float = 0.0) -> DataFrame:
-    """df with the fitted probability of treatment (``ps``)."""
-    assembled = VectorAssembler(inputCols=covariates, outputCol="_x").transform(df.withColumn("_y", F.col(treat).cast("double")))
-    model = LogisticRegression(featuresCol="_x", labelCol="_y", probabilityCol="_p", regParam=regularisation).fit(assembled)
-    scored = model.transform(assembled).withColumn("ps", vector_to_array("_p")[1])
-    return scored.select(*df.columns, "ps")
+def propensity(df: DataFrame, treat: str, covariates: list[str], regularisation: float = 0.0, steps: int = 25) -> DataFrame:
+    """df with the fitted probability of treatment (``ps``): logistic regression by Newton steps over covariate cells.
+
+    Patients are counted once, by cell (distinct covariates): with discrete covariates the steps then run over a table as small as
+    their combinations, each as one aggregate whose sums, a square of the number of covariates, go to the driver. The penalty,
+    regularisation / 2 times the squared coefficients of standardised covariates, is weighed against the mean loss. Equal covariates
+    give the very same score. Rows with a null covariate have a null score and, like those with a null arm, no part in the fit.
+    """
+    names = [f"x{k}" for k in range(len(covariates))]
+    known = df.select(F.col(treat).cast("double").alias("y"), *(F.col(c).cast("double").alias(x) for c, x in zip(covariates, names))).dropna()
+    cells = cut(known.groupBy(*names).agg(F.count("*").cast("double").alias("n"), F.sum("y").alias("y")))
+    n, means, spreads = _standard(cells, names)
+    if not n:
+        return df.withColumn("ps", F.lit(None).cast("double"))
+    z = [F.lit(1.0), *((F.col(x) - F.lit(m)) / F.lit(s) for x, m, s in zip(names, means, spreads))]
+    beta = newton(lambda b: _loss(cells, z, b), len(z), [0.0] + [regularisation * n] * len(names), steps)
+    given = [F.lit(1.0), *((F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(covariates, means, spreads))]
+    return df.withColumn("ps", 1 / (1 + F.exp(-_dot(given, beta))))
+
+
+def _standard(cells: DataFrame, names: list[str]) -> tuple[float, list[float], list[float]]:
+    """Patients, and means and sample standard deviations (1 where a covariate does not vary)."""
+    sums = cells.agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col(x)).alias(f"s{x}") for x in names)).first()
+    n = sums["n"] or 0.0
+    if not n:
+        return 0.0, [], []
+    means = [sums[f"s{x}"] / n for x in names]
+    squares = cells.agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.pow(F.col(x) - F.lit(m), 2)).alias(x) for x, m in zip(names, means))).first()
+    return n, means, [float(np.sqrt(squares[x] / max(n - 1, 1.0))) or 1.0 for x in names]
+
+
+def _dot(columns: list, beta) -> F.Column:
+    return reduce(lambda a, b: a + b, (c * F.lit(float(w)) for c, w in zip(columns, beta)))
+
+
+def _loss(cells: DataFrame, z: list, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log loss of all patients, its gradient and its second derivatives, in one aggregate over cells."""
+    eta = _dot(z, beta)
+    p = 1 / (1 + F.exp(-eta))
+    rows = cells.select(*(c.alias(f"z{k}") for k, c in enumerate(z)), (F.col("n") * p - F.col("y")).alias("r"), (F.col("n") * p * (1 - p)).alias("w"), (F.col("n") * (F.greatest(eta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(eta)))) - F.col("y") * eta).alias("loss"))
+    pairs = [(j, k) for j in range(len(z)) for k in range(j + 1)]
+    sums = rows.agg(F.sum("loss"), *(F.sum(F.col("r") * F.col(f"z{k}")) for k in range(len(z))), *(F.sum(F.col("w") * F.col(f"z{j}") * F.col(f"z{k}")) for j, k in pairs)).first()
+    h = np.zeros((len(z), len(z)))
+    for (j, k), value in zip(pairs, sums[1 + len(z) :]):
+        h[j, k] = h[k, j] = value
+    return sums[0], np.array(sums[1 : 1 + len(z)]), h
+
+
+def newton(loss, size: int, penalty: list[float], steps: int) -> np.ndarray:
+    """The least of loss(beta) + penalty / 2 * beta^2 by Newton steps, halved while they do not help. loss: value, gradient, second derivatives."""
+    beta, step, weight = np.zeros(size), np.zeros(size), np.array(penalty)
+    best = np.inf
+    for _ in range(steps):
+        value, gradient, h = loss(beta + step)
+        value += float(weight @ (beta + step) ** 2) / 2
+        if value > best + 1e-9 * abs(best):
+            step = step / 2
+            continue
+        beta, best = beta + step, value
+        step = -np.linalg.pinv(h + np.diag(weight)) @ (gradient + weight * beta)
+        if np.abs(step).max() < 1e-10:
+            break
+    return beta
 
 
 def ps_strata(df: DataFrame, k: int, treat: str = "treat", score: str = "ps", trim: bool = True) -> DataFrame:
@@ -34,7 +92,7 @@ def ps_strata(df: DataFrame, k: int, treat: str = "treat", score: str = "ps", tr
     if trim:
         ends = df.groupBy(treat).agg(F.min(score).alias("a"), F.max(score).alias("b")).agg(F.max("a").alias("_low"), F.min("b").alias("_high"))
         df = df.join(ends, F.col(score).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
-    cuts = df.agg(F.percentile(score, [j / k for j in range(1, k)]).alias("_cuts"))
+    cuts = order.quantiles(df, score, [], [j / k for j in range(1, k)]).withColumnRenamed("quantiles", "_cuts")
     number = F.size(F.filter("_cuts", lambda c: F.col(score) > c)) + 1
     return df.crossJoin(F.broadcast(cuts)).withColumn("stratum", number.cast("long")).drop("_cuts")  # cuts: one row
 
@@ -48,29 +106,40 @@ def match_in_cells(df: DataFrame, cells: list[str], ratio: int = 1, treat: str =
     return treated.join(controls, [*cells, "_n"]).drop("_n")
 
 
-def match_caliper(df: DataFrame, caliper: float, treat: str = "treat", score: str = "ps", id_col: str = "patid", cut=lambda pairs: pairs.checkpoint()) -> DataFrame:
-    """Greedy 1:1 matches within the caliper, the nearest first, ties by ids: treated, control, distance.
+def match_caliper(df: DataFrame, caliper: float, treat: str = "treat", score: str = "ps", id_col: str = "patid", segments: int | None = None) -> DataFrame:
+    """Greedy 1:1 matches within the caliper, the nearest first, ties by the treated id, then the control's: treated, control, distance.
 
-    Patients of equal score match by rank of their ids, all at once, which is what the greedy order does with
-    them. For the others each round accepts the pairs that are first for both their ends; that equals
-    the greedy order over all pairs. Pairs are found by buckets of the score.
+    Patients of equal score match by rank of their ids, all at once, which is what the greedy order does with them. The others
+    are cut by score into segments that are solved side by side (``matching.solve``): a segment makes the matches that no one
+    outside it can change and hands on the rest, which go into fewer segments with other ends, at last into one. Segments
+    go down by a factor of eight, so the number of jobs follows the logarithm of their number, not the matches; the rest of a segment is what
+    chains of ever nearer neighbours tie to its ends. Patients without a score, or in neither arm, match no one. Ids are unique in an arm.
     """
-    ranked = df.where(F.col(score).isNotNull()).select(F.col(id_col).alias("id"), F.col(score).alias("s"), F.col(treat).alias("arm"))
-    ranked = cut(ranked.withColumn("nth", F.row_number().over(W.partitionBy("s", "arm").orderBy("id"))))
-    one, two = (ranked.where(F.col("arm") == k).select("s", "nth", F.col("id").alias(name)) for k, name in ((1, "treated"), (0, "control")))
-    matched = cut(one.join(two, ["s", "nth"]).select("treated", "control", F.lit(0.0).alias("distance")))
-    bucket = F.floor(F.col("s") / caliper)
-    treated = one.join(matched, "treated", "left_anti").select("treated", "s", F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
-    controls = two.join(matched, "control", "left_anti").select("control", F.col("s").alias("c"), bucket.alias("b"))
-    pairs = cut(treated.join(controls, "b").select("treated", "control", F.abs(F.col("s") - F.col("c")).alias("distance")).where(F.col("distance") <= caliper))
+    spark = df.sparkSession
+    given = df.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(treat).isin(0, 1))
+    rows = given.select(F.col(id_col).alias("id"), F.col(score).cast("double").alias("s"), F.col(treat).cast("int").alias("arm"))
+    ranked = order.running(rows, ["s", "arm"], ["id"], F.lit(1))
+    one, two = (ranked.where(F.col("arm") == k).select("s", F.col("_before").alias("nth"), F.col("id").alias(name)) for k, name in ((1, "treated"), (0, "control")))
+    both = cut(one.join(two, ["s", "nth"], "full_outer"))
+    paired = F.col("treated").isNotNull() & F.col("control").isNotNull()
+    found = [both.where(paired).select("treated", "control", F.lit(0.0).alias("distance"))]
+    left = both.where(~paired).select(F.coalesce("treated", "control").alias("id"), "s", F.col("treated").isNotNull().cast("int").alias("arm"))
+    kind = dict(rows.dtypes)["id"]
+    n = segments or parts(spark)
     while True:
-        key = F.struct("distance", "treated", "control")
-        first = {side: pairs.groupBy(side).agg(F.min(key).alias("x")).select("x.*") for side in ("treated", "control")}
-        got = cut(first["treated"].join(first["control"], ["distance", "treated", "control"]))
-        if got.isEmpty():
-            return matched
-        matched = matched.unionByName(got.select("treated", "control", "distance"))
-        pairs = cut(pairs.join(got.select("treated"), "treated", "left_anti").join(got.select("control"), "control", "left_anti"))
+        spread = cut(left.repartitionByRange(n, "s", "arm", "id").withColumn("segment", F.spark_partition_id()))
+        arm = {k: F.when(F.col("arm") == k, F.col("s")) for k in (0, 1)}
+        ends = spread.groupBy("segment").agg(*(f(arm[k]).alias(f"{name}{k}") for k in arm for name, f in (("least", F.min), ("most", F.max))), *(F.count(arm[k]).alias(f"n{k}") for k in arm)).orderBy("segment").collect()  # a row a segment
+        outside = matching.outsides(ends)
+        if not outside:
+            break
+        solve = matching.solver(outside, caliper, {k: sum(r[f"n{k}"] for r in ends) for k in (0, 1)})
+        done = cut(spread.groupBy("segment").applyInArrow(solve, f"treated {kind}, control {kind}, distance double, id {kind}, s double, arm int"))
+        found.append(done.where("treated is not null").select("treated", "control", "distance"))
+        if n == 1:
+            break
+        left, n = done.where("id is not null").select("id", "s", "arm"), max(1, n // 8)
+    return reduce(DataFrame.unionByName, found)
 
 
 def ps_weights(df: DataFrame, kind: str = "ate", treat: str = "treat", score: str = "ps", stabilised: bool = False, most: float | None = None) -> DataFrame:
@@ -119,22 +188,21 @@ def log_rank(df: DataFrame, treat: str = "treat", time: str = "days", event: str
     return sums.withColumn("chi_square", F.try_divide(F.pow(F.col("observed") - F.col("expected"), 2), F.col("variance")))
 
 
-def tree_counts(counts: DataFrame, tree: DataFrame, sums: list[str], max_depth: int = 20) -> DataFrame:
-    """Counts by code (``code``) rolled up to every node above it, itself included: node, sums.
+def tree_counts(counts: DataFrame, tree: DataFrame, sums: list[str]) -> DataFrame:
+    """Counts by code (``code``) rolled up to every node above it, itself included, each code once: node, sums.
 
-    The closure of the tree grows a level a step until nothing is added; a tree deeper than max_depth is an error.
+    What is above what is found by doubling: pairs that are at most k steps apart, joined to themselves, give those at most 2k
+    apart. So a tree of any depth takes a logarithm of it in rounds (recursive SQL runs a job a level), a code with several parents
+    counts once in each node, and the nodes of a cycle are above each other. Edges with a null end are none.
     """
-    edges = tree.select("parent", "child").distinct()
-    closure = counts.select(F.col("code").alias("node"), F.col("code").alias("leaf")).distinct()
-    level = closure
-    for _ in range(max_depth):
-        level = level.join(edges, F.col("node") == F.col("child")).select(F.col("parent").alias("node"), "leaf").distinct()
-        if level.isEmpty():
-            break
-        closure = closure.unionByName(level)
-    else:
-        raise ValueError(f"the tree is deeper than {max_depth} or has a cycle")
-    return closure.distinct().join(counts, F.col("leaf") == F.col("code")).groupBy("node").agg(*(F.sum(c).alias(c) for c in sums))
+    edges = tree.where("parent is not null and child is not null").select(F.col("parent").alias("node"), F.col("child").alias("leaf")).distinct()
+    above, n = cut(edges), None
+    while n != (n := above.count()):
+        further = above.join(above.select(F.col("node").alias("leaf"), F.col("leaf").alias("_below")), "leaf").select("node", F.col("_below").alias("leaf"))
+        above = cut(above.unionByName(further).distinct())
+    by_code = counts.groupBy(F.col("code").alias("leaf")).agg(*(F.sum(c).alias(c) for c in sums))
+    upwards = above.where("node <> leaf").join(by_code, "leaf").select("node", *sums)
+    return upwards.unionByName(by_code.select(F.col("leaf").alias("node"), *sums)).groupBy("node").agg(*(F.sum(c).alias(c) for c in sums))
 
 
 def effect(df: DataFrame, stratum: list[str]) -> dict[str, DataFrame]:

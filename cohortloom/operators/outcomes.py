@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import days
+from ..functions import days, spans
 from . import cohort
 
 
@@ -88,9 +88,9 @@ def pregnancy_episodes(deliveries: DataFrame, durations: DataFrame, exposures: D
 
 
 def concomitant(a: DataFrame, b: DataFrame, min_days: int) -> DataFrame:
-    """Overlapping episodes of a and b of min_days at least."""
+    """Overlapping episodes of a and b of min_days (1 or more) at least."""
     other = b.select("patid", F.col("code").alias("code_b"), F.col("start_date").alias("s"), F.col("end_date").alias("e"))
-    both = a.join(other, "patid").select("patid", "code", "code_b", F.greatest("start_date", "s").alias("start_date"), F.least("end_date", "e").alias("end_date"))
+    both = spans.overlapping(a.select("patid", "code", "start_date", "end_date"), other, ("start_date", "end_date"), ("s", "e")).select("patid", "code", "code_b", F.greatest("start_date", "s").alias("start_date"), F.least("end_date", "e").alias("end_date"))
     return both.where(F.datediff("end_date", "start_date") + 1 >= min_days)
 
 
@@ -110,10 +110,10 @@ def top_codes(index: DataFrame, records: DataFrame, low: int, high: int, n: int,
     return counted.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def person_time(spans: DataFrame, unit: str = "year") -> DataFrame:
+def person_time(covered: DataFrame, unit: str = "year") -> DataFrame:
     """Days of spans by calendar year or month: period (its first day), days, n_patients."""
     periods = F.sequence(F.trunc("span_start", unit), F.trunc("span_end", unit), F.expr(f"interval 1 {unit}"))
-    rows = spans.select("patid", "span_start", "span_end", F.explode(periods).alias("period"))
+    rows = covered.select("patid", "span_start", "span_end", F.explode(periods).alias("period"))
     last = F.date_sub(F.add_months("period", 12 if unit == "year" else 1), 1)
     part = days.length(F.greatest("span_start", "period"), F.least("span_end", last))
     return rows.groupBy("period").agg(F.sum(part).alias("days"), F.count_distinct("patid").alias("n_patients"))

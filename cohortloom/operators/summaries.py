@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import days
+from ..functions import days, order
 from . import outcomes
 
 
@@ -29,9 +29,12 @@ def incidence_rate(df: DataFrame, strata: list[str], events: str = "event", pers
 
 
 def describe_by(df: DataFrame, column: str, strata: list[str]) -> DataFrame:
-    """n, mean, standard deviation, least, exact quartiles, most."""
-    quartiles = [F.percentile(column, q).alias(name) for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
-    return df.groupBy(*strata).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.min(column).alias("least"), *quartiles, F.max(column).alias("most"))
+    """n, mean, standard deviation, least, exact quartiles, most. A stratum without a value has null quartiles."""
+    sums = df.groupBy(*strata).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.min(column).alias("least"), F.max(column).alias("most"))
+    quartiles = order.quantiles(df, column, strata, [0.25, 0.5, 0.75]).select(*(F.col(c).alias(f"_{c}") for c in strata), "quantiles")
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in strata), F.lit(True))
+    named = [F.get("quantiles", F.lit(k)).alias(name) for k, name in enumerate(("q1", "median", "q3"))]
+    return sums.join(quartiles, same, "left").select(*strata, "n", "mean", "sd", "least", *named, "most")
 
 
 def histogram_by(df: DataFrame, column: str, cuts: list[int], strata: list[str]) -> DataFrame:

@@ -461,9 +461,16 @@ def _scored(t):
     return compare.propensity(found, "treat", ["1-URGENT", "2-HIGH", "5-LOW", "female"])
 
 
-@query()
+#: Covariates of the score, and its fit in another shape: one coefficient at a time goes to where its slope is 0, by Newton steps, round and round.
+FIT = f"""{ARMS}, covs AS (SELECT patid, treat, [1.0::DOUBLE, {", ".join(f"CAST(EXISTS (SELECT 1 FROM diagnosis d WHERE d.patid = f.patid AND d.dx = '{g}' AND d.adate - f.index_date BETWEEN -365 AND 365) AS INT)::DOUBLE" for g in ("1-URGENT", "2-HIGH", "5-LOW"))}, CASE WHEN sex = 'F' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END] AS x FROM followed f),
+cells AS (SELECT list({{'x': x, 'n': n, 'y': y}} ORDER BY x) AS cells FROM (SELECT x, count(*)::DOUBLE AS n, sum(treat)::DOUBLE AS y FROM covs GROUP BY 1)),
+fit(k, b) AS (SELECT 0, [0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[] UNION ALL SELECT k + 1, [CASE WHEN i = j THEN b[i] - list_sum([(c.n * c.p - c.y) * c.x[j] FOR c IN filled]) / list_sum([c.n * c.p * (1 - c.p) * c.x[j] FOR c IN filled]) ELSE b[i] END FOR i IN range(1, 6)]
+  FROM (SELECT k, k % 5 + 1 AS j, b, [{{'x': c.x, 'n': c.n, 'y': c.y, 'p': 1 / (1 + exp(-list_dot_product(b, c.x)))}} FOR c IN cells] AS filled FROM fit, cells WHERE k < 500))"""
+
+
+@query("SELECT patid, treat, round(1 / (1 + exp(-list_dot_product((SELECT arg_max(b, k) FROM fit), x))), 4) AS ps FROM covs", FIT, longs="treat", recursive=True)
 def propensity(spark, sf_dir):
-    return _scored(patients(spark, sf_dir)).select("patid", "treat", "ps")
+    return _scored(patients(spark, sf_dir)).select("patid", "treat", F.round("ps", 4).alias("ps"))
 
 
 SCORE = "scored AS (SELECT *, ((patid * 7919) % 10007) / 10007.0 AS ps FROM followed)"
@@ -488,8 +495,8 @@ def match_in_cells(spark, sf_dir):
 
 @query()
 def match_caliper(spark, sf_dir):
-    shared_dir(spark)
-    return compare.match_caliper(_made_score(patients(spark, sf_dir)), 0.002)
+    """Matches by the fitted score, which many patients share."""
+    return compare.match_caliper(_scored(patients(spark, sf_dir)), 0.02)
 
 
 @query("SELECT patid, treat, least(CASE WHEN treat = 1 THEN s / p ELSE (1 - s) / (1 - p) END, 10.0) AS weight FROM (SELECT patid, treat, ps + 0.00005 AS p, (SELECT avg(treat) FROM scored) AS s FROM scored)", f"{ARMS}, {SCORE}", longs="treat", doubles="weight")

@@ -1,12 +1,18 @@
 """Cohort operators on a few rows worked by hand, and properties that must hold on any."""
 
 import random
+import time
 from datetime import date, timedelta
+from fractions import Fraction
 
+import numpy as np
 import pytest
+from hypothesis import given as given_by
+from hypothesis import settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortloom.functions import days
+from cohortloom.functions import days, matching, order
 from cohortloom.operators import cohort, compare, outcomes, summaries
 from cohortloom.sources import tables
 
@@ -221,33 +227,70 @@ def test_scores_and_weights(spark):
     assert rows(compare.match_in_cells(cells, ["g"]), "treated", "control") == [(1, 2), (3, 4)]
 
 
-def test_caliper_matching_equals_greedy(spark, tmp_path):
-    rng = random.Random(3)
-    given = [(i, i % 2, rng.random()) for i in range(160)]
-    df = spark.createDataFrame(given, "patid long, treat int, ps double")
-    pairs = sorted((abs(s - c), t, u) for t, a, s in given if a for u, b, c in given if not b and abs(s - c) <= 0.02)
-    used, expected = set(), []
-    for d, t, u in pairs:
-        if t not in used and ("c", u) not in used:
-            used |= {t, ("c", u)}
-            expected.append((t, u))
-    spark.sparkContext.setCheckpointDir(str(tmp_path))
-    assert rows(compare.match_caliper(df, 0.02), "treated", "control") == sorted(expected)
-    assert compare.match_caliper(df.where("treat = 1"), 0.02).count() == 0
-
-
-def test_caliper_matching_of_tied_scores(spark):
-    """Few distinct scores, many patients each: equal scores, and one score as near to two others."""
-    rng = random.Random(4)
-    given = [(i, rng.randrange(2), rng.choice([0, 2, 4, 9, 11, 30]) / 64) for i in range(40)]
-    pairs = sorted((abs(s - c), t, u) for t, a, s in given if a == 1 for u, b, c in given if b == 0 and abs(s - c) <= 3 / 64)
-    used, expected = set(), []
+def greedy(given, caliper):
+    """Nearest pairs first, ties by ids; distances are exact."""
+    pairs = sorted((abs(Fraction(s) - Fraction(c)), t, u) for t, a, s in given if a == 1 and s is not None for u, b, c in given if b == 0 and c is not None and abs(s - c) <= caliper)
+    treated, controls, found = set(), set(), []
     for _, t, c in pairs:
-        if t not in used and c not in used:
-            used |= {t, c}
-            expected.append((t, c))
-    df = spark.createDataFrame(given, "patid long, treat int, ps double")
-    assert rows(compare.match_caliper(df, 3 / 64), "treated", "control") == sorted(expected)
+        if t not in treated and c not in controls:
+            treated.add(t)
+            controls.add(c)
+            found.append((t, c))
+    return sorted(found)
+
+
+def matched(spark, given, caliper, **more):
+    df = spark.createDataFrame(given, "patid long, treat int, ps double").repartition(3)
+    return rows(compare.match_caliper(df, caliper, **more), "treated", "control")
+
+
+@pytest.mark.parametrize("segments", [1, 4, 40])
+@pytest.mark.parametrize("scores", ["spread", "dense", "few", "near ties", "chain"])
+def test_caliper_matching_equals_greedy(spark, scores, segments):
+    """Scores far apart and close, tied, at equal distances, and ever nearer to the next: whatever the segments are."""
+    rng = random.Random(scores)
+    make = {
+        "spread": lambda i: rng.random(), "dense": lambda i: rng.random() / 20, "few": lambda i: rng.choice([0, 2, 4, 9, 11, 30]) / 64,
+        "near ties": lambda i: rng.randrange(40) / 64, "chain": lambda i: 1 - 0.97**i,
+    }[scores]
+    given = [(i, i % 2 if scores == "chain" else rng.randrange(2), make(i)) for i in range(160)]
+    given += [(500, 1, None), (501, None, 0.5), (502, 3, 0.5)]
+    caliper = {"spread": 0.02, "dense": 0.01}.get(scores, 3 / 64)
+    assert matched(spark, given, caliper, segments=segments) == greedy(given, caliper)
+
+
+def test_caliper_matching_odd(spark):
+    assert matched(spark, [(1, 1, 0.5), (2, 1, 0.6)], 0.2) == [] and matched(spark, [], 0.2) == []
+    assert matched(spark, [(i, int(i < 300), 0.5 if i < 300 else 0.51) for i in range(310)], 0.05) == [(i, 300 + i) for i in range(10)]
+
+
+def test_caliper_matching_takes_as_many_jobs_for_any_number_of_matches(spark):
+    def jobs(n):
+        group = f"caliper-{n}"
+        spark.sparkContext.setJobGroup(group, "")
+        given = [(i, int(i < n), 0.5 if i < n else 0.51) for i in range(2 * n)]
+        assert len(matched(spark, given, 0.05)) == n
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert 0 < jobs(1000) <= jobs(8) + 8
+
+
+@settings(max_examples=150, deadline=None)
+@given_by(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 30)), max_size=24), st.integers(1, 12), st.integers(0, 24), st.integers(0, 24))
+def test_segments_match_only_what_is_certain(points, caliper, cut_a, cut_b):
+    """What a segment settles is what the greedy order over all points settles."""
+    given = sorted((float(s), i, arm) for i, (arm, s) in enumerate(points))
+    low, high = sorted((cut_a, cut_b))
+    inside, left, right = given[low:high], given[:low], given[high:]
+    near = lambda rows, arm, pick: pick([s for s, _, a in rows if a == arm], default=None)
+    outside = (near(left, 0, max), near(left, 1, max), near(right, 0, min), near(right, 1, min))
+    counts = {k: sum(a == k for *_, a in given) for k in (0, 1)}
+    got, t_left, c_left = matching.match([(s, i) for s, i, a in inside if a], [(s, i) for s, i, a in inside if not a], outside, float(caliper), counts)
+    expected = greedy([(i, a, s) for s, i, a in given], caliper)
+    assert {(t, c) for t, c, _ in got} <= set(expected)
+    settled = {i for _, i, _ in inside} - {i for _, i in t_left} - {i for _, i in c_left}
+    assert {p for p in expected if p[0] in settled or p[1] in settled} == {(t, c) for t, c, _ in got}
 
 
 def test_propensity_is_calibrated(spark):
@@ -258,13 +301,50 @@ def test_propensity_is_calibrated(spark):
     assert abs(low[0] - low[1]) < 0.05 and abs(high[0] - high[1]) < 0.05
 
 
+@pytest.mark.parametrize("regularisation", [0.0, 0.1])
+def test_propensity_equals_the_library_fit(spark, regularisation):
+    """Against pyspark.ml over patients, with a covariate that others imply and one that does not vary."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    rng = random.Random(6)
+    given = [(i, a := rng.randrange(3), b := rng.randrange(2), a + b, 1, int(rng.random() < 0.2 + 0.2 * a)) for i in range(600)]
+    df = spark.createDataFrame(given, "patid long, a int, b int, c int, d int, treat int")
+    names = ["a", "b", "c", "d"]
+    x = VectorAssembler(inputCols=names, outputCol="x").transform(df)
+    model = LogisticRegression(featuresCol="x", labelCol="treat", regParam=regularisation, tol=1e-12, maxIter=500).fit(x)
+    expected = dict(rows(model.transform(x).withColumn("p", vector_to_array("probability")[1]), "patid", "p"))
+    got = compare.propensity(df, "treat", names, regularisation)
+    assert dict(rows(got, "patid", "ps")) == pytest.approx(expected, abs=1e-5)
+    assert got.select("a", "b", "ps").distinct().count() == 6
+
+
+def test_propensity_odd(spark):
+    df = spark.createDataFrame([(1, 0.0, 1), (2, 1.0, 0), (3, None, 1), (4, 1.0, None), (5, 0.0, 0)], "patid long, x double, treat int")
+    got = {r.patid: r.ps for r in compare.propensity(df, "treat", ["x"]).collect()}
+    assert got[3] is None and got[1] == got[5] == pytest.approx(0.5) and got[2] == got[4] < 1e-6
+    assert compare.propensity(df.limit(0), "treat", ["x"]).collect() == []
+    assert all(r.ps > 1 - 1e-6 for r in compare.propensity(df.where("treat = 1 and x is not null"), "treat", ["x"]).collect())
+
+
 def test_tree(spark):
     counts = spark.createDataFrame([("a1", 2), ("a2", 3), ("b", 5)], "code string, n long")
     tree = spark.createDataFrame([("a", "a1"), ("a", "a2"), ("root", "a"), ("root", "b")], "parent string, child string")
     assert rows(compare.tree_counts(counts, tree, ["n"]), "node", "n") == [("a", 5), ("a1", 2), ("a2", 3), ("b", 5), ("root", 10)]
-    loop = tree.unionByName(spark.createDataFrame([("a1", "root")], "parent string, child string"))
-    with pytest.raises(ValueError):
-        compare.tree_counts(counts, loop, ["n"], max_depth=5)
+    loop = tree.unionByName(spark.createDataFrame([("a1", "root"), (None, "b"), ("b", None)], "parent string, child string"))
+    assert rows(compare.tree_counts(counts, loop, ["n"]), "node", "n") == [("a", 10), ("a1", 10), ("a2", 3), ("b", 5), ("root", 10)]
+    assert rows(compare.tree_counts(counts, tree.limit(0), ["n"]), "node", "n") == [("a1", 2), ("a2", 3), ("b", 5)]
+
+
+def test_deep_tree_and_shared_children(spark):
+    """A chain 200 deep; a ladder of 30 rungs, where a code has 2^30 ways up, counts once a node."""
+    chain = [(f"c{k}", f"c{k + 1}") for k in range(200)]
+    ladder = [(f"{side}{k}", f"{other}{k + 1}") for k in range(30) for side in "xy" for other in "xy"]
+    tree = spark.createDataFrame(chain + ladder, "parent string, child string")
+    counts = spark.createDataFrame([("c200", 1), ("c100", 2), ("x30", 5), ("y30", 7), (None, 9)], "code string, n long")
+    got = dict(rows(compare.tree_counts(counts.where("code is not null"), tree, ["n"]), "node", "n"))
+    assert got == {f"c{k}": 3 if k <= 100 else 1 for k in range(201)} | {f"{s}{k}": 12 for k in range(30) for s in "xy"} | {"x30": 5, "y30": 7}
 
 
 def test_comorbidity_and_use(spark):
@@ -274,3 +354,100 @@ def test_comorbidity_and_use(spark):
     assert rows(summaries.comorbidity_score(ix, r, weights, 60), "patid", "score") == [(1, 1), (2, 0)]
     matrix = compare.covariate_matrix(ix, r, ["x", "z"], -60, -1)
     assert rows(matrix, "patid", "x", "z") == [(1, 1, 0), (2, 0, 0)]
+
+
+def test_quantiles_equal_sorting(spark):
+    rng = random.Random(8)
+    given = [(rng.choice(["a", "b", None]), rng.choice([None, float("-inf"), rng.randrange(9), rng.random() * 9])) for _ in range(900)] + [("c", 4.0), ("d", None)]
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in given], "g string, v double").repartition(5)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r.quantiles for r in order.quantiles(df.where("v is null or v > -1"), "v", ["g"], shares).collect()}
+    for g in ("a", "b", None, "c"):
+        assert got[g] == pytest.approx(np.quantile([v for h, v in given if h == g and v is not None and v > -1], shares).tolist())
+    assert set(got) == {"a", "b", None, "c"}
+    described = {r.g: r for r in summaries.describe_by(df, "v", ["g"]).collect()}
+    assert described["d"].n == 0 and described["d"].median is None and described["c"].q1 == 4.0
+    assert summaries.describe_by(df.where("v > -1"), "v", []).first().median == pytest.approx(np.median([v for _, v in given if v is not None and v > -1]))
+    assert order.quantiles(df.limit(0), "v", [], [0.5]).collect()[0].quantiles == [None] and order.quantiles(df.limit(0), "v", ["g"], [0.5]).count() == 0
+
+
+def test_quantiles_of_a_group_do_not_meet_in_one_task(spark):
+    """One group of many values: its rows are sorted in several tasks, and no percentile buffers them."""
+    df = spark.range(0, 20_000, 1, 6).select(F.lit("one").alias("g"), F.pmod(F.col("id") * 7919, F.lit(20_011)).cast("double").alias("v"))
+    placed = order.running(df, ["g"], ["v"], F.lit(1))
+    per_task = placed.groupBy(F.floor(F.col("_before") / 20_000 * 4)).count().collect()
+    assert len(per_task) == 4 and placed.where("_total = 20000").count() == 20_000
+    assert "percentile" not in order.quantiles(df, "v", ["g"], [0.5])._jdf.queryExecution().toString()
+    values = sorted(r.v for r in df.collect())
+    assert order.quantiles(df, "v", ["g"], [0.5]).first().quantiles == [(values[9999] + values[10_000]) / 2]
+
+
+def naive_apart(dates, blackout):
+    taken = []
+    for d in sorted(set(dates)):
+        if not taken or (d - taken[-1]).days > blackout:
+            taken.append(d)
+    return taken
+
+
+@pytest.mark.parametrize("blackout", [-5, 0, 1, 30, 400])
+def test_entry_nonoverlap_equals_a_loop(spark, blackout):
+    rng = random.Random(blackout)
+    day = lambda k: date(2000, 1, 1) + timedelta(k)
+    given = [(rng.choice([None, 1, 2, 3]), day(rng.randrange(-900, 900))) for _ in range(400)] + [(4, None), (4, day(3)), (5, None)]
+    df = spark.createDataFrame(given, "patid long, index_date date").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # patients go on over batches
+    try:
+        got = [tuple(r) for r in cohort.entry_nonoverlap(df, blackout).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    expected = [(p, d) for p in {p for p, _ in given} for d in naive_apart([d for q, d in given if q == p and d], blackout)]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
+def test_entry_nonoverlap_of_a_million_dates(spark):
+    df = spark.range(1_000_000).select(F.lit(7).cast("long").alias("patid"), F.date_from_unix_date(F.col("id").cast("int")).alias("index_date"))
+    began = time.time()
+    assert cohort.entry_nonoverlap(df, 1).count() == 500_000 and time.time() - began < 60
+
+
+def overlapping_naive(a, b):
+    return sorted((p, max(s, t), min(e, f)) for p, s, e in a for q, t, f in b if p == q and s <= f and t <= e and s <= e and t <= f)
+
+
+def test_overlaps_equal_all_pairs(spark):
+    """Short and very long spans, spans of one day, spans that end before they start, open ends."""
+    rng = random.Random(12)
+    base = date(1, 1, 1).toordinal()
+
+    def some(n):
+        out = []
+        for _ in range(n):
+            start = rng.choice([date(1999, 1, 1), date(1965, 1, 1), date(1400, 5, 5)]).toordinal() + rng.randrange(400)
+            end = min(start + rng.choice([-1, 0, 1, 63, 64, 1000, 20_000, 300_000]), date(9999, 12, 31).toordinal())
+            out.append((rng.randrange(2), date.fromordinal(start), date.fromordinal(max(base, end))))
+        return out + [(1, date(2000, 1, 1), date(9999, 12, 31))]
+
+    a, b = some(60), some(60)
+    names = "patid long, span_start date, span_end date"
+    got = cohort.intersect_spans(spark.createDataFrame([*a, (1, None, None), (None, a[0][1], a[0][2])], names), spark.createDataFrame([*b, (None, b[0][1], b[0][2])], names))
+    assert rows(got, "patid", "span_start", "span_end") == overlapping_naive(a, b)
+
+
+def test_overlaps_of_one_long_history(spark):
+    """Two times 50,000 spans of one patient, which make 2.5 thousand million pairs: those of a bucket meet, no others."""
+    day = F.date_from_unix_date((F.col("id") * 3).cast("int"))
+    a = spark.range(50_000).select(F.lit(1).cast("long").alias("patid"), day.alias("span_start"), F.date_add(day, 1).alias("span_end"))
+    b = a.select("patid", F.date_add("span_start", 1).alias("span_start"), F.date_add("span_end", 1).alias("span_end"))
+    assert cohort.intersect_spans(a, b).count() == 50_000
+    index = a.select("patid", F.col("span_start").alias("index_date"))
+    assert cohort.require_enrollment(index, a, 0).count() == 50_000 and cohort.require_enrollment(index, b, 0).count() == 0
+
+
+def test_enrollment_of_odd_rows(spark):
+    covered = spans(spark, (1, "2000-01-01", "2000-12-31"), (1, "2002-01-01", "2002-12-31"), names=("span_start", "span_end"))
+    ix = index(spark, (1, "2000-01-01"), (1, "2000-12-31"), (1, "2001-01-01"), (1, "2002-07-01"), (1, "2002-07-01"), (2, "2000-05-05")).withColumn("span_start", F.lit("x"))
+    got = cohort.require_enrollment(ix.drop("span_start").withColumn("note", F.lit("n")), covered, 0)
+    assert got.columns == ["patid", "index_date", "note", "enr_end"]
+    assert [(str(d), str(e)) for d, e in rows(got, "index_date", "enr_end")] == [("2000-01-01", "2000-12-31"), ("2000-12-31", "2000-12-31"), ("2002-07-01", "2002-12-31"), ("2002-07-01", "2002-12-31")]
