@@ -21,7 +21,7 @@ def running(df: DataFrame, by: list[str], order: list[str], amount: Column) -> D
     where that matters.
     """
     key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
-    rows = df.withColumns({"_key": key, "_amount": amount})
+    rows = cut(df.withColumns({"_key": key, "_amount": amount}))  # the range partitioning reads it twice, once for a sample
     spread = cut(rows.repartitionByRange(parts(df.sparkSession), "_key", *order).withColumn("_part", F.spark_partition_id()))
     sums = spread.groupBy("_key", "_part").agg(F.sum("_amount").alias("_sum"))
     all_parts = W.partitionBy("_key")
@@ -32,17 +32,28 @@ def running(df: DataFrame, by: list[str], order: list[str], amount: Column) -> D
     return found.withColumn("_before", F.col("_inside") + F.col("_offset")).drop("_key", "_amount", "_part", "_inside", "_offset")
 
 
-def quantiles(df: DataFrame, column: str, by: list[str], shares: list[float]) -> DataFrame:
-    """by and ``quantiles``: the exact quantiles of column, interpolated between neighbours, as an array of doubles.
+def counted(df: DataFrame, column: str, by: list[str], weight: str | None = None) -> DataFrame:
+    """by, ``_value``, ``_n`` and, of the values that are not null, ``_before`` and ``_total``: a row a distinct value, placed in its group.
 
-    Equal values are counted before they are sorted. Null values do not count; a group without any other has no row, and
-    where by is empty there is always one.
+    weight: a column of whole numbers that say how often a row counts.
     """
-    values = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_value"))
-    placed = running(values.groupBy(*by, "_value").agg(F.count("*").alias("_n")), by, ["_value"], F.col("_n"))
-    at = [F.lit(float(p)) * (F.col("_total") - 1) for p in shares]
-    holds = lambda place: (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
-    ends = [F.max(F.when(holds(end(a)), F.col("_value"))).alias(f"_{side}{k}") for k, a in enumerate(at) for side, end in (("low", F.floor), ("high", F.ceil))]
-    found = placed.groupBy(*by).agg(F.first("_total").alias("_total"), *ends)
-    between = [F.col(f"_low{k}") + (F.col(f"_high{k}") - F.col(f"_low{k}")) * (a - F.floor(a)) for k, a in enumerate(at)]
-    return found.select(*by, F.array(*between).alias("quantiles"))
+    n = F.sum(weight) if weight else F.count("*")
+    values = df.groupBy(*by, F.col(column).cast("double").alias("_value")).agg(n.alias("_n"))
+    return running(values, by, ["_value"], F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(0))
+
+
+def at_shares(shares: list[float]) -> Column:
+    """An aggregate over rows of ``counted``: the exact quantiles at these shares, interpolated between neighbours, as an array (of nulls without values)."""
+    at = [F.lit(float(p)) * (F.max("_total") - 1) for p in shares]
+    place = [F.lit(float(p)) * (F.col("_total") - 1) for p in shares]
+    holds = lambda x: F.col("_value").isNotNull() & (F.col("_before") <= x) & (x < F.col("_before") + F.col("_n"))
+    low, high = ([F.max(F.when(holds(end(x)), F.col("_value"))) for x in place] for end in (F.floor, F.ceil))
+    return F.array(*(a + (b - a) * (x - F.floor(x)) for a, b, x in zip(low, high, at)))
+
+
+def quantiles(df: DataFrame, column: str, by: list[str], shares: list[float], weight: str | None = None) -> DataFrame:
+    """by and ``quantiles``: the exact quantiles of column as an array of doubles, nulls where a group has no value.
+
+    Equal values are counted before they are sorted. Null values do not count. Where by is empty there is always one row.
+    """
+    return counted(df, column, by, weight).groupBy(*by).agg(at_shares(shares).alias("quantiles"))

@@ -89,12 +89,14 @@ def newton(loss, size: int, penalty: list[float], steps: int) -> np.ndarray:
 
 def ps_strata(df: DataFrame, k: int, treat: str = "treat", score: str = "ps", trim: bool = True) -> DataFrame:
     """df with the stratum (1 to k) of exact quantiles of the score; trim: only scores that both arms reach."""
+    scores = cut(df.groupBy(treat, score).agg(F.count("*").alias("_n")))
     if trim:
-        ends = df.groupBy(treat).agg(F.min(score).alias("a"), F.max(score).alias("b")).agg(F.max("a").alias("_low"), F.min("b").alias("_high"))
-        df = df.join(ends, F.col(score).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
-    cuts = order.quantiles(df, score, [], [j / k for j in range(1, k)]).withColumnRenamed("quantiles", "_cuts")
-    number = F.size(F.filter("_cuts", lambda c: F.col(score) > c)) + 1
-    return df.crossJoin(F.broadcast(cuts)).withColumn("stratum", number.cast("long")).drop("_cuts")  # cuts: one row
+        ends = scores.groupBy(treat).agg(F.min(score).alias("a"), F.max(score).alias("b")).agg(F.max("a").alias("_low"), F.min("b").alias("_high"))  # one row
+        shared = F.col(score).between(F.col("_low"), F.col("_high"))
+        df, scores = (x.join(F.broadcast(ends), shared).drop("_low", "_high") for x in (df, scores))
+    cuts = order.quantiles(scores, score, [], [j / k for j in range(1, k)], "_n")
+    number = F.size(F.filter("quantiles", lambda c: F.col(score) > c)) + 1
+    return df.crossJoin(F.broadcast(cuts)).withColumn("stratum", number.cast("long")).drop("quantiles")  # cuts: one row
 
 
 def match_in_cells(df: DataFrame, cells: list[str], ratio: int = 1, treat: str = "treat", id_col: str = "patid") -> DataFrame:

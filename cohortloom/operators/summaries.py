@@ -29,12 +29,20 @@ def incidence_rate(df: DataFrame, strata: list[str], events: str = "event", pers
 
 
 def describe_by(df: DataFrame, column: str, strata: list[str]) -> DataFrame:
-    """n, mean, standard deviation, least, exact quartiles, most. A stratum without a value has null quartiles."""
-    sums = df.groupBy(*strata).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.min(column).alias("least"), F.max(column).alias("most"))
-    quartiles = order.quantiles(df, column, strata, [0.25, 0.5, 0.75]).select(*(F.col(c).alias(f"_{c}") for c in strata), "quantiles")
+    """n, mean, standard deviation, least, exact quartiles, most; all but n are null in a stratum without a value.
+
+    All of it comes from one table of distinct values and their counts.
+    """
+    values = order.counted(df, column, strata)
+    v, n = F.col("_value"), F.when(F.col("_value").isNotNull(), F.col("_n"))
+    found = values.groupBy(*strata).agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"), (F.sum(n * v) / F.sum(n)).alias("mean"), F.min(v).alias("least"), order.at_shares([0.25, 0.5, 0.75]).alias("_q"), F.max(v).alias("most"))
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in strata), F.lit(True))
-    named = [F.get("quantiles", F.lit(k)).alias(name) for k, name in enumerate(("q1", "median", "q3"))]
-    return sums.join(quartiles, same, "left").select(*strata, "n", "mean", "sd", "least", *named, "most")
+    mean = found.select(*(F.col(c).alias(f"_{c}") for c in strata), "mean")
+    squares = values.join(mean, same).groupBy(*strata).agg(F.sqrt(F.sum(n * F.pow(v - F.col("mean"), 2)) / F.nullif(F.sum(n) - 1, F.lit(0))).alias("sd"))
+    squares = squares.select(*(F.col(c).alias(f"_{c}") for c in strata), "sd")
+    quartiles = [F.get("_q", F.lit(k)).alias(name) for k, name in enumerate(("q1", "median", "q3"))]
+    kind = dict(df.dtypes)[column]
+    return found.join(squares, same).select(*strata, "n", "mean", "sd", F.col("least").cast(kind).alias("least"), *quartiles, F.col("most").cast(kind).alias("most"))
 
 
 def histogram_by(df: DataFrame, column: str, cuts: list[int], strata: list[str]) -> DataFrame:

@@ -364,9 +364,12 @@ def test_quantiles_equal_sorting(spark):
     got = {r.g: r.quantiles for r in order.quantiles(df.where("v is null or v > -1"), "v", ["g"], shares).collect()}
     for g in ("a", "b", None, "c"):
         assert got[g] == pytest.approx(np.quantile([v for h, v in given if h == g and v is not None and v > -1], shares).tolist())
-    assert set(got) == {"a", "b", None, "c"}
+    assert set(got) == {"a", "b", None, "c", "d"} and got["d"] == [None] * 6
     described = {r.g: r for r in summaries.describe_by(df, "v", ["g"]).collect()}
-    assert described["d"].n == 0 and described["d"].median is None and described["c"].q1 == 4.0
+    assert described["d"].n == 0 and described["d"].median is None and described["c"].q1 == 4.0 and described["c"].sd is None
+    own = [v for h, v in given if h is None and v is not None and v > -1]
+    spread = {r.g: r for r in summaries.describe_by(df.where("v > -1"), "v", ["g"]).collect()}[None]
+    assert [spread.n, spread.mean, spread.sd, spread.least, spread.most] == pytest.approx([len(own), np.mean(own), np.std(own, ddof=1), min(own), max(own)])
     assert summaries.describe_by(df.where("v > -1"), "v", []).first().median == pytest.approx(np.median([v for _, v in given if v is not None and v > -1]))
     assert order.quantiles(df.limit(0), "v", [], [0.5]).collect()[0].quantiles == [None] and order.quantiles(df.limit(0), "v", ["g"], [0.5]).count() == 0
 
