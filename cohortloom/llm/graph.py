@@ -12,16 +12,17 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in links (a, b); component: the smallest id reachable.
 
     Each round is written to the shared folder; rounds grow with the logarithm of
-    the longest chain. Ids with many links are aggregated before the shuffle; Spark splits
-the joins on them where they are large (spark.sql.adaptive.skewJoin).
+    the longest chain. Ids with many links are aggregated before the shuffle. What is joined to
+    the links, a row an id, is written first: Spark splits a join on a large id (spark.sql.adaptive.skewJoin)
+    only if neither side is an aggregate of the same stage.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()

@@ -259,6 +259,10 @@ def prime_above(n: int) -> int:
     return n
 
 
+#: A null id as a long. It has no negative, so orders are reversed by bitwise not.
+NULL_ID = -(1 << 63)
+
+
 def integer_id(column: Column) -> Column:
     """Ids as longs; a null one sorts below all others."""
-    return F.coalesce(column.cast("long"), F.lit(-(1 << 63)))
+    return F.coalesce(column.cast("long"), F.lit(NULL_ID))

@@ -28,8 +28,9 @@ are joined by ``spread_join``, so none makes one task read them all.
 
 A pair at the threshold misses all bands with a probability of about 5e-6.
 Null and empty texts have empty sets and link with nothing; a text of fewer words
-than a shingle is one shingle. Ids are integers; a null id counts as the smallest;
-rows that share an id count as linked. Very long texts are sketched whole. Other columns
+than a shingle is one shingle. Ids are integers; a null id counts as the smallest, so a component with
+one is null and all its rows without an id are kept; rows of an id (or of none) that stands for several different texts
+count as linked. Very long texts are sketched whole. Other columns
 are ignored, and kept by ``keep_one``. An empty table gives an empty result.
 """
 
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kit import NOT_SPACE, Spans, batch_of, cut, integer_id, lookup, mix, row_of, slices, spread_join, text_bytes, windows, word_spans
+from .kit import NOT_SPACE, NULL_ID, Spans, batch_of, cut, integer_id, lookup, mix, row_of, slices, spread_join, text_bytes, windows, word_spans
 
 SHINGLE = 5
 THRESHOLD = 80  # hundredths
@@ -250,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = cut(bands.join(shared, "key"))
     reach = members.groupBy("id").agg(F.sum("c").alias("reach"))
-    centres = members.join(reach, "id").groupBy("key").agg(F.max(F.struct("reach", -F.col("id"), "n")).alias("x")).select("key", (-F.col("x.col2")).alias("centre"), F.col("x.n").alias("n2"))
+    centres = members.join(reach, "id").groupBy("key").agg(F.max(F.struct("reach", F.bitwise_not("id").alias("lower"), "n")).alias("x")).select("key", F.bitwise_not("x.lower").alias("centre"), F.col("x.n").alias("n2"))
     starred = members.join(centres, "key").where((F.col("id") != F.col("centre")) & _near("n", "n2", threshold))
     tried = cut(starred.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
     sets = cut(_sets(rows, members.select("id").distinct(), shingle))
@@ -266,7 +267,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     judged = cut(classes.select("n", "s1", "s2", "c", F.col("rep").alias("id")).join(found, "id", "left").select("n", "s1", "s2", "c", F.coalesce("component", "id").alias("component")))
     some = spread_join(sketches.where("n > 0").select("id", "n", "s1", "s2"), judged, ["n", "s1", "s2"], "c").select("id", "n", "component")
     out = some.unionByName(sketches.where("n = 0").select("id", "n", F.col("id").alias("component")))
-    return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    given = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return out.select(given("id").alias(id_col), F.col("n").alias("n_shingles"), given("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:

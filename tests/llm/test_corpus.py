@@ -219,11 +219,31 @@ def test_near_duplicates_one_large_group(make):
 
 def test_near_duplicates_odd(make, clashing, odd_texts):
     rows = neardup.near_duplicates(make([(None, "a b c"), (2, "A b\tc"), (2, "A b\tc"), (3, None), (4, "")], clashing), shingle=2).collect()
-    assert sorted((r.doc_id or -1, r.component_id, r.kept) for r in rows) == [(-1, -(1 << 63), True), (2, -(1 << 63), False), (2, -(1 << 63), False), (3, 3, True), (4, 4, True)]
+    assert sorted((r.doc_id or -1, r.component_id, r.kept) for r in rows) == [(-1, None, True), (2, None, False), (2, None, False), (3, 3, True), (4, 4, True)]
     assert neardup.near_duplicates(make([])).count() == 0
     assert {r.component_id for r in neardup.near_duplicates(make([odd_texts[8], odd_texts[8] + " end"])).collect()} == {0}
 
 
+@pytest.mark.parametrize("without", ["centre", "edge", "two"])
+def test_near_duplicates_of_rows_without_id(make, without):
+    """A null id in a shared key: as the centre of a group, on its edge, and twice."""
+    rng = random.Random(11)
+    base = words(rng, 200, 100_000)
+    rows = [(0, " ".join(base))]
+    for d in range(1, 30):
+        copy = list(base)
+        for k in rng.sample(range(200), 7):
+            copy[k] = f"new{d}-{k}"
+        rows.append((d, " ".join(copy)))
+    rows += [(100 + i, " ".join(words(rng, 40, 100_000))) for i in range(4)]
+    none = {"centre": {0}, "edge": {7}, "two": {0, 7}}[without]
+    docs = make([(None if d in none else d, t) for d, t in rows])
+    got = neardup.near_duplicates(docs, shingle=2).collect()
+    assert sorted(repr((r.doc_id, r.component_id, r.kept)) for r in got) == sorted(repr((None, None, True) if d in none else (d, d, True) if d >= 100 else (d, None, False)) for d, _ in rows)
+    kept = neardup.keep_one(docs, shingle=2).collect()
+    assert sorted(repr(r.doc_id) for r in kept) == sorted(["None"] * len(none) + [str(100 + i) for i in range(4)])
+
+
 def test_sketch_estimates():
     rng = np.random.default_rng(9)
     a = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
@@ -242,6 +262,25 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_hub_is_split_over_tasks(spark):
+    """One id with many links: each join with what is known of ids is split by size in the plan that runs."""
+    few = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in few}
+    for k, v in few.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(1, 200_001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+        both = kit.cut(links)
+        least = kit.cut(both.groupBy("u").agg(F.min("v").alias("m")))
+        joined = both.join(least, "u")
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert graph.components(links.withColumnsRenamed({"u": "a", "v": "b"})).where("component = 0").count() == 200_001
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_alignment_equals_brute_force():
     rng = random.Random(10)
     match, mismatch, gap = decontaminate.MATCH, decontaminate.MISMATCH, decontaminate.GAP
