@@ -20,12 +20,12 @@ the smallest document that it leaves out.
 
 No window or array holds a source. Ranks are cut into ``BUCKETS`` ranges, whose sums
 are added up first; the range where the words run out is cut again, ``LEVELS`` times
-in all, and only the last is ordered row by row. The walk beyond takes the next
-``WALK`` documents that are no longer than the words left, folds them, and goes on
-until fewer than that were there. These are picked from each of 256 groups of
-partitions, then of 16, then of all, so that a task reads ``WALK`` rows of a source from
-one partition in 256, and after that from 16 groups. Random numbers come from a hash of the id, so that
-reruns agree. Rows with the same id, source and size tie and are taken in any order,
+in all, and only the last is ordered row by row. The walk beyond goes by powers of two: while
+at least h = 2^k words are left and fewer than 2h, every document shorter than h fits, and at most one that is longer
+can be taken, as less than h is left then. So sums of the shorter ones, again over ranges first, tell where that state
+ends, and a source takes at most as many steps as what is left has binary digits, whatever its number of documents; a step
+leaves one row a source. Random numbers come from a hash of the id, so that
+reruns agree; rows without an id share one and come in order of size. Rows with the same id, source and size tie and are taken in any order,
 with the same counts. Null or empty texts have size 0 and are never taken; very long
 ones count whole. Other columns play no part, whatever their names. An empty table
 gives an empty result.
@@ -33,6 +33,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,11 +48,6 @@ MAX_COPIES = 3
 LEAN = 8
 BUCKETS = 1024
 LEVELS = 2
-#: Documents of a source in a step of the walk. Spark keeps row numbers up to 1,000 without a whole sort
-#: (spark.sql.optimizer.windowGroupLimitThreshold).
-WALK = 256
-#: Groups of partitions that the first rows of a source are picked from, one after another.
-GROUPS = (256, 16, 1)
 #: Tables of one row a source are broadcast up to so many rows, and joined by a shuffle beyond.
 FEW_SOURCES = 20_000
 
@@ -128,37 +125,52 @@ def _front(drawn: DataFrame, side, names: list[str]) -> DataFrame:
     return below.select(*names, "one").unionByName(at.select(*names, "one")).unionByName(above.select(*names, "one"))
 
 
-def _first(fits: DataFrame) -> DataFrame:
-    """The first WALK rows of each source. The upper half of ``row`` is the partition it was numbered in."""
-    for groups in GROUPS:
-        group = F.shiftright("row", 33) % groups
-        nth = F.row_number().over(W.partitionBy("source", group).orderBy("place", "doc_id", "size", "row"))
-        fits = fits.withColumn("nth", nth).where(F.col("nth") <= WALK).drop("nth")
-    return fits
-
-
 def _walk_on(chosen: DataFrame, side) -> DataFrame:
     """chosen with each further row taken, in order, that fits the words left of its source."""
     chosen = cut(chosen.withColumn("row", F.monotonically_increasing_id()))
-    left = chosen.groupBy(F.col("source").alias("s")).agg((F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))).alias("left"))
-    state = chosen.where("not one and place is not null").select("row", "doc_id", "source", "size", "place")
-    key, taken = F.struct("place", "doc_id", "size", "row"), []
-    while True:
-        fits = state.join(side(left), F.col("source").eqNullSafe(F.col("s"))).where("size <= left")
-        if "last" in left.columns:
-            fits = fits.where(key > F.col("last"))
-        some = _first(fits).groupBy("source").agg(F.array_sort(F.collect_list(key)).alias("some"), F.max("left").alias("left"))
-        none = F.struct(F.col("left"), F.array().cast("array<bigint>").alias("rows"))
-        walked = F.aggregate("some", none, lambda at, x: F.when(x["size"] <= at["left"], F.struct((at["left"] - x["size"]).alias("left"), F.concat(at["rows"], F.array(x["row"])).alias("rows"))).otherwise(at))
-        step = cut(some.select(F.col("source").alias("s"), walked.alias("x"), F.size("some").alias("seen"), F.element_at("some", -1).alias("last")))
-        taken.append(step.select(F.explode("x.rows").alias("row")))
-        left = step.where(F.col("seen") == WALK).select("s", F.col("x.left").alias("left"), "last")
-        if left.isEmpty():
-            break
-    added = taken[0]
-    for more in taken[1:]:
-        added = added.unionByName(more)
-    return chosen.join(added.withColumn("added", F.lit(True)), "row", "left").withColumn("one", F.col("one") | F.col("added").isNotNull())
+    key = F.struct("place", "doc_id", "size", "row")
+    rows = chosen.where("not one and place is not null").select("source", "size", key.alias("key"))
+    words = F.max("due") - F.coalesce(F.sum(F.when(F.col("one"), F.col("size"))), F.lit(0))
+    state = _halved(chosen.groupBy(F.col("source").alias("s")).agg(F.floor(words).cast("long").alias("left")).withColumn("last", F.lit(None).cast(dict(rows.dtypes)["key"])))
+    steps = []
+    while not (step := cut(_step(rows, state, side))).isEmpty():
+        steps.append(step)
+        state = _halved(step.where("end is not null").select("s", "then", F.col("end").alias("last")).withColumnRenamed("then", "left"))
+    if not steps:
+        return chosen
+    spans = reduce(DataFrame.unionByName, steps).groupBy("s").agg(F.collect_list(F.struct("last", "end", "half")).alias("spans"))  # at most a step a binary digit
+
+    def covers(x):
+        inside = (x["last"].isNull() | (key > x["last"])) & (x["end"].isNull() | (key < x["end"])) & (F.col("size") < x["half"])
+        return inside | F.coalesce(key == x["end"], F.lit(False))
+
+    walked = chosen.join(side(spans), F.col("source").eqNullSafe(F.col("s")), "left")
+    added = F.coalesce(~F.col("one") & F.col("place").isNotNull() & F.exists("spans", covers), F.lit(False))
+    return walked.withColumn("one", F.col("one") | added).drop("s", "spans")
+
+
+def _halved(state: DataFrame) -> DataFrame:
+    """Sources with words left, and the greatest power of two among these."""
+    return state.where("left > 0").withColumn("half", F.expr("shiftleft(cast(1 as bigint), length(bin(left)) - 1)"))
+
+
+def _step(rows: DataFrame, state: DataFrame, side) -> DataFrame:
+    """s, last, half, end, then: the row that brings the words left below half, if one does, and what is left then.
+
+    Windows see the sums of a source's ranges, and the rows of one range.
+    """
+    near = rows.join(side(state), F.col("source").eqNullSafe(F.col("s"))).where((F.col("size") <= F.col("left")) & (F.col("last").isNull() | (F.col("key") > F.col("last"))))
+    near = near.withColumns({"bucket": F.floor(F.col("key.place") * BUCKETS).cast("long"), "short": F.when(F.col("size") < F.col("half"), F.col("size")).otherwise(0)})
+    known = ["s", "left", "last", "half"]
+    sums = near.groupBy(*known, "bucket").agg(F.sum("short").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("s").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(F.col("s").alias("s2"), F.col("bucket").alias("b2"), before.alias("before"))
+    run = F.sum("short").over(W.partitionBy("s", "bucket").orderBy("key").rowsBetween(W.unboundedPreceding, 0))
+    placed = near.withColumn("run", run).join(sums, F.col("s").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2")))
+    taken = F.col("before") + F.col("run") + F.when(F.col("short") > 0, 0).otherwise(F.col("size"))  # if this row is taken
+    ends = F.when(F.col("short") > 0, taken > F.col("left") - F.col("half")).otherwise(taken <= F.col("left"))
+    found = placed.groupBy(*known).agg(F.min(F.when(ends, F.struct("key", (F.col("left") - taken).alias("then")))).alias("x"))
+    return found.select("s", "last", "half", F.col("x.key").alias("end"), F.col("x.then").alias("then"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, lean: int = LEAN, seed: str = "mix") -> DataFrame:

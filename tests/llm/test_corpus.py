@@ -416,10 +416,10 @@ def test_mixing_targets(make, monkeypatch):
     assert order(got) == order(mixing.mix(make(rows)))
 
 
-@pytest.mark.parametrize("walk_rows", [1000, 3])
-def test_mixing_equals_its_definition(make, monkeypatch, walk_rows):
-    """Unlike documents, one far longer than what is left, and a walk in small steps."""
-    monkeypatch.setattr(mixing, "WALK", walk_rows)
+@pytest.mark.parametrize("buckets", [1024, 3])
+def test_mixing_equals_its_definition(make, monkeypatch, buckets):
+    """Unlike documents, one far longer than what is left, and few ranges with many rows each."""
+    monkeypatch.setattr(mixing, "BUCKETS", buckets)
     rng = random.Random(15)
     rows = [(i, "w " * int(2 ** rng.uniform(0, 9)), "en", "a") for i in range(150)] + [(999, "w " * 5000, "en", "a")]
     rows += [(6000 + i, "w " * int(2 ** rng.uniform(0, 8)), "en", None) for i in range(80)]
@@ -434,6 +434,21 @@ def test_mixing_equals_its_definition(make, monkeypatch, walk_rows):
         assert 0 <= missing and all(r.size > missing for r in mine if r.size and r.copies == int(r.expected) and r.expected % 1)
 
 
+def test_mixing_walks_in_few_steps(spark, monkeypatch):
+    """A long document stops the front early and 100,000 short ones go through what it leaves: a step a binary digit at most."""
+    steps = []
+    take = mixing._step
+    monkeypatch.setattr(mixing, "_step", lambda *x: steps.append(1) or take(*x))
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (1 + F.col("id") % 3).cast("int")).alias("text"), F.lit("a").alias("source"))
+    long = spark.range(5).select((F.lit(1 << 40) + F.col("id")).alias("doc_id"), F.repeat(F.lit("w "), F.lit(70_000)).alias("text"), F.lit("a").alias("source"))
+    other = docs.limit(2000).withColumn("source", F.lit("b"))
+    got = mixing.mix(docs.unionByName(long).unionByName(other), weights=(1, 1)).cache()
+    for r in got.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect():
+        assert 0 <= r.target - r.taken < 1 or r.source == "b"
+    assert 1 < len(steps) <= (70_000).bit_length() + 1
+    got.unpersist()
+
+
 def test_mixing_inclusion(make):
     """Over many seeds each size class is taken about as often as its expected copies say, longer ones oftener; order is not that of the random numbers."""
     rows = [(i, "w " * (1, 2, 4, 8, 16)[i // 2 % 5], "en", "ab"[i % 2]) for i in range(400)]
