@@ -181,15 +181,24 @@ def risk_sets(df: DataFrame, treat: str = "treat", time: str = "days", event: st
     return rows.withColumn("n", F.sum("m").over(later)).withColumn("n1", F.sum("m1").over(later)).where("d > 0").select("time", "d", "d1", "n", "n1")
 
 
-def log_rank(df: DataFrame, treat: str = "treat", time: str = "days", event: str = "event") -> DataFrame:
-    """Observed and expected events of the treated arm, variance and chi-square. One row."""
+def _log_rank(sets: DataFrame) -> DataFrame:
     d, n, n1 = F.col("d"), F.col("n"), F.col("n1")
     expected = d * n1 / n
     variance = F.when(n > 1, d * (n1 / n) * (1 - n1 / n) * (n - d) / (n - 1)).otherwise(0.0)
-    sums = risk_sets(df, treat, time, event).agg(F.sum("d1").alias("observed"), F.sum(expected).alias("expected"), F.sum(variance).alias("variance"))
+    sums = sets.agg(F.sum("d1").alias("observed"), F.sum(expected).alias("expected"), F.sum(variance).alias("variance"))
     return sums.withColumn("chi_square", F.try_divide(F.pow(F.col("observed") - F.col("expected"), 2), F.col("variance")))
 
 
+def log_rank(df: DataFrame, treat: str = "treat", time: str = "days", event: str = "event") -> DataFrame:
+    """Observed and expected events of the treated arm, variance and chi-square. One row."""
+    return _log_rank(risk_sets(df, treat, time, event))
+
+
+def combine_log_rank(results: list[DataFrame]) -> DataFrame:
+    """The log-rank test stratified by site, from the risk sets of each: patients are compared with those of their own site only."""
+    return _log_rank(reduce(DataFrame.unionByName, results))
+
+
 def tree_counts(counts: DataFrame, tree: DataFrame, sums: list[str]) -> DataFrame:
     """Counts by code (``code``) rolled up to every node above it, itself included, each code once: node, sums.
 

@@ -106,18 +106,26 @@ def background_rates(spans: DataFrame, records: DataFrame, washout: int, unit: s
 def at_risk(df: DataFrame, strata: list[str], time: str = "days", event: str = "event") -> DataFrame:
     """One row a stratum and time: n_events, n_censored, n_risk."""
     e = F.col(event).cast("long")
-    rows = df.groupBy(*strata, F.col(time).alias("time")).agg(F.sum(e).alias("n_events"), F.sum(1 - e).alias("n_censored"))
+    return _with_risk(df.groupBy(*strata, F.col(time).alias("time")).agg(F.sum(e).alias("n_events"), F.sum(1 - e).alias("n_censored")), strata)
+
+
+def _with_risk(rows: DataFrame, strata: list[str]) -> DataFrame:
     later = W.partitionBy(*strata).orderBy(F.desc("time")).rowsBetween(W.unboundedPreceding, 0)
     return rows.withColumn("n_risk", F.sum(F.col("n_events") + F.col("n_censored")).over(later))
 
 
 def kaplan_meier(df: DataFrame, strata: list[str], time: str = "days", event: str = "event") -> DataFrame:
     """At-risk table with the survival after each time; 0 once all at risk had the event."""
+    return survival(at_risk(df, strata, time, event), strata)
+
+
+def survival(table: DataFrame, strata: list[str]) -> DataFrame:
+    """An at-risk table with the survival after each time."""
     upto = W.partitionBy(*strata).orderBy("time").rowsBetween(W.unboundedPreceding, 0)
     share = 1 - F.col("n_events") / F.col("n_risk")
     ended = F.max((F.col("n_events") == F.col("n_risk")).cast("int")).over(upto) == 1
     logs = F.sum(F.ln(F.when(share > 0, share))).over(upto)
-    return at_risk(df, strata, time, event).withColumn("survival", F.when(ended, 0.0).otherwise(F.exp(logs)))
+    return table.withColumn("survival", F.when(ended, 0.0).otherwise(F.exp(logs)))
 
 
 def latest_value(index: DataFrame, records: DataFrame, value: str, date: str = "adate") -> DataFrame:
@@ -138,3 +146,23 @@ def combine_sites(results: list[DataFrame], by: list[str], sums: list[str]) -> D
     """Result tables of several sites stacked and totalled."""
     stacked = reduce(lambda a, b: a.unionByName(b), (r.select(*by, *sums) for r in results))
     return stacked.groupBy(*by).agg(*(F.sum(c).alias(c) for c in sums))
+
+
+def combine_survival(results: list[DataFrame], strata: list[str]) -> DataFrame:
+    """At-risk tables of several sites as one with its survival: what all their patients together would give.
+
+    Events and censored patients add up by time; who is at risk follows from them, so a site's own n_risk is not needed.
+    """
+    pooled = combine_sites(results, [*strata, "time"], ["n_events", "n_censored"])
+    return survival(_with_risk(pooled, strata), strata)
+
+
+def value_counts(df: DataFrame, column: str, strata: list[str]) -> DataFrame:
+    """What a site passes on for pooled quantiles: value and n, the patients that have it, by stratum."""
+    return df.where(F.col(column).isNotNull()).groupBy(*strata, F.col(column).cast("double").alias("value")).agg(F.count("*").alias("n"))
+
+
+def combine_quantiles(results: list[DataFrame], strata: list[str], shares: list[float]) -> DataFrame:
+    """strata, n and the exact quantiles at these shares, from the value counts of several sites."""
+    placed = order.counted(combine_sites(results, [*strata, "value"], ["n"]), "value", strata, "n")
+    return placed.groupBy(*strata).agg(F.sum("_n").alias("n"), order.at_shares(shares).alias("quantiles"))

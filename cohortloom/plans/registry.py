@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.shared import shared_dir
 from ..operators import cohort, compare, outcomes, summaries
 from ..sources import tables as sources
-from .scenario import Scenario, run_request
+from .scenario import Scenario, run_requests
 
 QUERIES: dict[str, Callable] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -439,9 +439,36 @@ def latest_value(spark, sf_dir):
 
 @query("SELECT sex, count(*) AS n_rows, sum(event) AS n_events FROM followed GROUP BY 1", ARMS, longs="n_rows n_events")
 def combine_sites(spark, sf_dir):
+    by_site = _by_site(spark, sf_dir)
+    return summaries.combine_sites([arms.groupBy("sex").agg(F.count("*").alias("n_rows"), F.sum("event").alias("n_events")) for arms in by_site], ["sex"], ["n_rows", "n_events"])
+
+
+def _by_site(spark, sf_dir):
+    """The patients of each site that there is, as the site itself would hold them."""
+    sites = [r.r_name for r in sources.read_tables(spark, sf_dir, ("region",))["region"].select("r_name").distinct().orderBy("r_name").collect()]  # a site a region
     arms = _arms(patients(spark, sf_dir))
-    results = [arms.where(F.col("site") == s).groupBy("sex").agg(F.count("*").alias("n_rows"), F.sum("event").alias("n_events")) for s in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
-    return summaries.combine_sites(results, ["sex"], ["n_rows", "n_events"])
+    return [arms.where(F.col("site") == s) for s in sites]
+
+
+@query("""SELECT sex, time, n_events, n_censored, n_risk, CASE WHEN bool_or(n_events = n_risk) OVER w THEN 0.0 ELSE product(1 - n_events * 1.0 / n_risk) OVER w END AS survival FROM (
+  SELECT a.sex, a.days AS time, sum(a.event) AS n_events, sum(1 - a.event) AS n_censored, (SELECT count(*) FROM followed b WHERE b.sex = a.sex AND b.days >= a.days) AS n_risk FROM followed a GROUP BY a.sex, a.days) WINDOW w AS (PARTITION BY sex ORDER BY time)""", ARMS, longs="time n_events n_censored n_risk", doubles="survival")
+def combine_survival(spark, sf_dir):
+    """Pooled survival from each site's table of times, against that of all patients."""
+    return summaries.combine_survival([summaries.at_risk(arms, ["sex"]) for arms in _by_site(spark, sf_dir)], ["sex"])
+
+
+@query("SELECT sex, count(days) AS n, quantile_cont(days, 0.25) AS q1, quantile_cont(days, 0.5) AS median, quantile_cont(days, 0.75) AS q3 FROM followed GROUP BY 1", ARMS, longs="n", doubles="q1 median q3")
+def combine_quantiles(spark, sf_dir):
+    """Pooled quartiles from each site's counts of values, against those of all patients."""
+    found = summaries.combine_quantiles([summaries.value_counts(arms, "days", ["sex"]) for arms in _by_site(spark, sf_dir)], ["sex"], [0.25, 0.5, 0.75])
+    return found.select("sex", "n", *(F.get("quantiles", F.lit(k)).alias(name) for k, name in enumerate(("q1", "median", "q3"))))
+
+
+@query("""SELECT observed, expected, variance, (observed - expected) ** 2 / variance AS chi_square FROM (SELECT sum(d1) AS observed, sum(d * n1 * 1.0 / n) AS expected, sum(CASE WHEN n > 1 THEN d * (n1 * 1.0 / n) * (1 - n1 * 1.0 / n) * (n - d) / (n - 1) ELSE 0 END) AS variance FROM (
+  SELECT site, days, sum(event) AS d, sum(event * treat) AS d1, (SELECT count(*) FROM followed b WHERE b.site = a.site AND b.days >= a.days) AS n, (SELECT sum(treat) FROM followed b WHERE b.site = a.site AND b.days >= a.days) AS n1 FROM followed a GROUP BY site, days HAVING sum(event) > 0))""", ARMS, longs="observed", doubles="expected variance chi_square")
+def combine_log_rank(spark, sf_dir):
+    """The log-rank test stratified by site, from each site's risk sets."""
+    return compare.combine_log_rank([compare.risk_sets(arms) for arms in _by_site(spark, sf_dir)])
 
 
 # Comparisons
@@ -546,9 +573,43 @@ def write_result(spark, sf_dir):
 # Requests
 
 
-@query()
+SCENARIOS = {
+    "first starts": Scenario("1996-01-01", "2000-12-31", "ones", "urgent", strata=("sex",), min_cell=5),
+    "all starts": Scenario("1995-06-01", "2001-03-31", "twos", "urgent", washout_days=90, enroll_days=60, enroll_gap=20, cover="M", entry="all", episode_gap=10, episode_ext=14, risk_from=0, risk_to=180, strata=("sex",), min_cell=8),
+    "apart": Scenario("1996-01-01", "2001-06-30", "twos", "urgent", washout_days=30, enroll_days=90, cover="M", entry="nonoverlap", blackout_days=200, strata=("sex",), min_cell=5),
+}
+CODES = [("ones", "Brand#1%", "like"), ("twos", "Brand#2_", "like"), ("urgent", "1-URGENT", "exact")]
+
+
+def _request_sql(name: str, s: Scenario) -> str:
+    """A whole scenario in SQL. Its supply and its starts far enough apart are recursions, its spans are told by their ends."""
+    like = next(pattern for group, pattern, _ in CODES if group == s.index_group)
+    start, end = f"DATE '{s.query_start}'", f"DATE '{s.query_end}'"
+    covered = "SELECT a.patid, greatest(a.span_start, b.span_start) AS span_start, least(a.span_end, b.span_end) AS span_end FROM mspans a JOIN dspans b ON a.patid = b.patid WHERE greatest(a.span_start, b.span_start) <= least(a.span_end, b.span_end)" if s.cover == "MD" else "SELECT * FROM mspans"
+    entered = {
+        "first": "SELECT patid, min(index_date) AS index_date FROM able GROUP BY 1",
+        "all": "SELECT patid, index_date FROM able",
+        "nonoverlap": "SELECT patid, index_date FROM taken",
+    }[s.entry]
+    days = "date_diff('day', index_date, ended)"
+    return f"""SELECT '{name}' AS scenario, sex, CASE WHEN NOT hidden THEN n_events END AS n_events, person_days, hidden AS suppressed, CASE WHEN NOT hidden THEN rate END AS rate, CASE WHEN NOT hidden THEN rate / exp(1.96 / sqrt(nullif(n_events, 0))) END AS low, CASE WHEN NOT hidden THEN rate * exp(1.96 / sqrt(nullif(n_events, 0))) END AS high FROM (
+WITH RECURSIVE {_renamed("m", "", s.enroll_gap)}, {_renamed("d", "WHERE drugcov", s.enroll_gap)}, covered AS ({covered}),
+once AS (SELECT patid, rxdate, max(rxsup) AS rxsup FROM dispensing WHERE code LIKE '{like}' GROUP BY 1, 2),
+clean AS (SELECT patid, rxdate AS index_date FROM once a WHERE rxdate BETWEEN {start} AND {end} AND NOT EXISTS (SELECT 1 FROM once b WHERE b.patid = a.patid AND b.rxdate < a.rxdate AND b.rxdate >= a.rxdate - {s.washout_days})),
+able AS (SELECT c.patid, index_date, span_end AS enr_end FROM clean c JOIN covered v ON c.patid = v.patid AND index_date BETWEEN span_start + {s.enroll_days} AND span_end),
+taken AS (SELECT patid, min(index_date) AS index_date FROM able GROUP BY 1 UNION ALL SELECT patid, index_date FROM (SELECT t.patid, (SELECT min(a.index_date) FROM able a WHERE a.patid = t.patid AND a.index_date > t.index_date + {s.blackout_days}) AS index_date FROM taken t) WHERE index_date IS NOT NULL),
+entered AS (SELECT a.* FROM able a JOIN ({entered}) e ON a.patid = e.patid AND a.index_date = e.index_date),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY patid ORDER BY rxdate) AS k FROM once),
+chained AS (SELECT patid, k, rxdate AS s, rxdate + rxsup - 1 AS e FROM numbered WHERE k = 1 UNION ALL SELECT n.patid, n.k, greatest(n.rxdate, c.e + 1), greatest(n.rxdate, c.e + 1) + n.rxsup - 1 FROM chained c JOIN numbered n ON n.patid = c.patid AND n.k = c.k + 1),
+marked AS (SELECT *, sum(CASE WHEN before IS NULL OR s - before - 1 > {s.episode_gap} THEN 1 ELSE 0 END) OVER (PARTITION BY patid ORDER BY s) AS episode FROM (SELECT *, lag(e) OVER (PARTITION BY patid ORDER BY s) AS before FROM chained)),
+episodes AS (SELECT patid, s, least(e + {s.episode_ext}, coalesce(lead(s) OVER (PARTITION BY patid ORDER BY s) - 1, e + {s.episode_ext})) AS e FROM (SELECT patid, min(s) AS s, max(e) AS e FROM marked GROUP BY patid, episode)),
+ends AS (SELECT x.patid, index_date, (SELECT min(adate) FROM diagnosis d WHERE d.patid = x.patid AND dx = '1-URGENT' AND adate BETWEEN index_date + {s.risk_from} AND index_date + {s.risk_to} AND adate <= enr_end) AS outcome_date, death_date, enr_end, p.e AS episode_end
+  FROM entered x LEFT JOIN episodes p ON p.patid = x.patid AND index_date BETWEEN p.s AND p.e LEFT JOIN death t ON t.patid = x.patid),
+followed AS (SELECT *, least(coalesce(outcome_date, {end}), coalesce(death_date, {end}), enr_end, coalesce(episode_end, {end}), index_date + {s.risk_to}, {end}) AS ended FROM ends)
+SELECT sex, sum(CASE WHEN ended = outcome_date THEN 1 ELSE 0 END) AS n_events, sum({days}) AS person_days, sum(CASE WHEN ended = outcome_date THEN 1 ELSE 0 END) * 365250.0 / nullif(sum({days}), 0) AS rate, sum(CASE WHEN ended = outcome_date THEN 1 ELSE 0 END) BETWEEN 1 AND {s.min_cell - 1} AS hidden FROM followed f JOIN demographic d ON f.patid = d.patid GROUP BY sex)"""
+
+
+@query(" UNION ALL ".join(f"({_request_sql(name, s)})" for name, s in SCENARIOS.items()), longs="n_events person_days", doubles="rate low high")
 def request_rates(spark, sf_dir):
-    """A whole request: starters of any brand from 1 to 19, urgent orders as outcome."""
-    codes = sources.code_list(spark, [("brand", "Brand#1%", "like"), ("urgent", "1-URGENT", "exact")])
-    scenario = Scenario("1996-01-01", "2000-12-31", "brand", "urgent", strata=("sex",), min_cell=5)
-    return run_request(patients(spark, sf_dir), scenario, codes)["rates"]
+    """Whole requests: starters of two groups of brands under three scenarios, urgent orders as outcome."""
+    return run_requests(patients(spark, sf_dir), SCENARIOS, sources.code_list(spark, CODES))["rates"]

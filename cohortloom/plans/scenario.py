@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shared import cut
 from ..operators import cohort, outcomes, summaries
 
 
@@ -38,45 +40,87 @@ class Scenario:
     incl_excl: tuple[dict, ...] = field(default=())
 
 
-def run_request(tables: dict[str, DataFrame], scenario: Scenario, codes: DataFrame) -> dict[str, DataFrame]:
-    """``cohort`` (one row an index with follow-up and outcome), ``counts`` and ``rates`` with small cells suppressed.
+@dataclass(frozen=True)
+class Prepared:
+    """What scenarios share: tagged fills and diagnoses, covered time by (cover, gap), and the people."""
 
-    The cohort is persisted, as all results come from it; unpersist it when they are written.
-    tables: the patient model. codes: groups of dispensing codes and of diagnosis codes.
-    """
-    s = scenario
-    fills = cohort.match_codes(tables["dispensing"].select("patid", "rxdate", F.col("code"), "rxsup"), codes)
-    grouped = fills.select("patid", "rxdate", F.col("grp").alias("code"), "rxsup")
+    fills: DataFrame
+    diagnoses: DataFrame
+    covered: dict[tuple[str, int], DataFrame]
+    people: DataFrame
+    death: DataFrame
+
+
+def prepare(tables: dict[str, DataFrame], scenarios: list[Scenario], codes: DataFrame) -> Prepared:
+    """Each source table is read, tagged and bridged once for all scenarios, and written to the shared folder."""
+    groups = sorted({g for s in scenarios for g in (s.index_group, s.outcome_group, *s.washout_groups, *(r["group"] for r in s.incl_excl))})
+    codes = codes.where(F.col("grp").isin(groups))
+    fills = cohort.match_codes(tables["dispensing"].select("patid", "rxdate", "code", "rxsup"), codes)
     dx = cohort.match_codes(tables["diagnosis"].withColumnRenamed("dx", "code"), codes)
-    outcome = dx.where(F.col("grp") == s.outcome_group).select("patid", "adate")
+    covered = {}
+    for cover, gap in sorted({(s.cover, s.enroll_gap) for s in scenarios}):
+        spans = [cohort.bridge_spans(tables["enrollment"].where(flag), gap) for letter, flag in (("M", "medcov"), ("D", "drugcov")) if letter in cover]
+        covered[cover, gap] = cut(spans[0] if len(spans) == 1 else cohort.intersect_spans(*spans))
+    return Prepared(
+        cut(fills.select("patid", "rxdate", F.col("grp").alias("code"), "rxsup")), cut(dx.select("patid", "adate", F.col("grp").alias("code"))), covered,
+        tables["demographic"].select("patid", "birth_date", "sex", "site", "segment"), tables["death"],
+    )
+
+
+def follow(shared: Prepared, scenario: Scenario) -> DataFrame:
+    """The cohort of a scenario: one row an index with follow-up and outcome."""
+    s = scenario
+    outcome = shared.diagnoses.where(F.col("code") == s.outcome_group).select("patid", "adate")
     if s.outcome_washout is not None:
         outcome = outcomes.incident_outcome(outcome, s.outcome_washout).withColumnRenamed("outcome_date", "adate")
-
-    index = cohort.incident(grouped.where(F.col("code") == s.index_group), s.washout_days)
+    fills = shared.fills.where(F.col("code") == s.index_group)
+    index = cohort.incident(fills, s.washout_days)
     for group in s.washout_groups:
-        index = cohort.incident_vs(index, grouped.where(F.col("code") == group), s.washout_days)
+        index = cohort.incident_vs(index, shared.fills.where(F.col("code") == group), s.washout_days)
     index = cohort.in_query_period(index, "index_date", s.query_start, s.query_end)
-    enrollment = tables["enrollment"]
-    spans = [cohort.bridge_spans(enrollment.where(flag), s.enroll_gap) for letter, flag in (("M", "medcov"), ("D", "drugcov")) if letter in s.cover]
-    index = cohort.require_enrollment(index, spans[0] if len(spans) == 1 else cohort.intersect_spans(*spans), s.enroll_days)
-    records = dx.select("patid", "adate", F.col("grp").alias("code"))
-    index = cohort.apply_windows(index, records, list(s.incl_excl))
+    index = cohort.require_enrollment(index, shared.covered[s.cover, s.enroll_gap], s.enroll_days)
+    index = cohort.apply_windows(index, shared.diagnoses, list(s.incl_excl))
     if s.entry == "first":
         index = cohort.entry_first(index)
     elif s.entry == "nonoverlap":
         index = index.join(cohort.entry_nonoverlap(index, s.blackout_days), ["patid", "index_date"], "left_semi")
 
-    supply = cohort.stockpile(cohort.collapse_fills(grouped.where(F.col("code") == s.index_group)))
+    supply = cohort.stockpile(cohort.collapse_fills(fills))
     episodes = cohort.treatment_episodes(supply, s.episode_gap, s.episode_ext, s.min_episode_days, s.max_episode_days)
     on = episodes.select(F.col("patid").alias("p"), "start_date", F.col("end_date").alias("episode_end"))
     index = index.join(on, (F.col("patid") == F.col("p")) & F.col("index_date").between(F.col("start_date"), F.col("episode_end")), "left").drop("p", "start_date")
     index = outcomes.first_outcome(index, outcome, s.risk_from, s.risk_to)
-    index = index.join(tables["death"], "patid", "left")
+    index = index.join(shared.death, "patid", "left")
     index = outcomes.follow_up(index, s.query_end, s.risk_to)
-    index = cohort.age_at(index, tables["demographic"], list(s.age_bins)).join(tables["demographic"].select("patid", "sex", "site", "segment"), "patid")
-    found = index.withColumn("event", (F.col("reason") == "outcome").cast("long")).persist()
+    index = cohort.age_at(index, shared.people, list(s.age_bins)).join(shared.people.drop("birth_date"), "patid")
+    return index.withColumn("event", (F.col("reason") == "outcome").cast("long"))
+
+
+def tabulate(found: DataFrame, scenario: Scenario) -> tuple[DataFrame, DataFrame]:
+    """Counts and rates of a cohort, small cells suppressed."""
+    s = scenario
     sets = [list(s.strata), *([c] for c in s.strata), []]
     counts = summaries.suppress_small(summaries.counts_by(found, sets), ["n_rows", "n_patients"], s.min_cell)
     rates = summaries.suppress_small(summaries.incidence_rate(found, list(s.strata)), ["n_events"], s.min_cell)
-    hidden = {c: F.when(~F.col("suppressed"), F.col(c)) for c in ("rate", "low", "high")}
-    return {"cohort": found, "counts": counts, "rates": rates.withColumns(hidden)}
+    return counts, rates.withColumns({c: F.when(~F.col("suppressed"), F.col(c)) for c in ("rate", "low", "high")})
+
+
+def run_requests(tables: dict[str, DataFrame], scenarios: dict[str, Scenario], codes: DataFrame) -> dict[str, DataFrame]:
+    """``cohort``, ``counts`` and ``rates`` of several scenarios, told apart by ``scenario``; strata that one lacks are null.
+
+    Tagging and bridging are shared (``prepare``), and each cohort is written once for both its tables. What is written lies in the shared
+    folder and holds no memory, so there is nothing to release but that folder.
+    tables: the patient model. codes: groups of dispensing codes and of diagnosis codes.
+    """
+    shared = prepare(tables, list(scenarios.values()), codes)
+    results = {"cohort": [], "counts": [], "rates": []}
+    for name, s in scenarios.items():
+        found = cut(follow(shared, s))
+        for kind, table in zip(results, (found, *tabulate(found, s))):
+            results[kind].append(table.select(F.lit(name).alias("scenario"), "*"))
+    return {kind: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) for kind, parts in results.items()}
+
+
+def run_request(tables: dict[str, DataFrame], scenario: Scenario, codes: DataFrame) -> dict[str, DataFrame]:
+    """The same for one scenario, without its name."""
+    return {kind: table.drop("scenario") for kind, table in run_requests(tables, {"": scenario}, codes).items()}

@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, duck, name):
         listed = ", ".join(f'"{c}"' for c in columns)
         assert got == sorted(map(repr, duck.sql(f"SELECT {listed} FROM ({registry.ORACLE_SQL[name]})").fetchall()))
     else:
-        assert name in ("match_caliper", "request_rates")
+        assert name == "match_caliper"
 
 
 def test_entry(spark):
