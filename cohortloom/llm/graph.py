@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import cut
+from .kit import cut, drop
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,7 +24,9 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        done = [edges, least, lowest]
         edges = cut(small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        drop(*done)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             break

@@ -42,6 +42,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete what ``cut`` wrote, once all that was made from these tables is itself written.
+
+    Shuffles that led to them are of no use either; Spark deletes their files when the driver's garbage collection finds them unused.
+    """
+    for df in tables:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
+        path.getFileSystem(conf).delete(path, True)
+    if tables:
+        jvm.System.gc()
+
+
 def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, most: int = 1000) -> DataFrame:
     """rows joined to the table's row of each key; weight: how many rows have the key.
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kit import NOT_SPACE, NULL_ID, Spans, batch_of, cut, integer_id, lookup, mix, row_of, slices, spread_join, text_bytes, windows, word_spans
+from .kit import NOT_SPACE, NULL_ID, Spans, batch_of, cut, drop, integer_id, lookup, mix, row_of, slices, spread_join, text_bytes, windows, word_spans
 
 SHINGLE = 5
 THRESHOLD = 80  # hundredths
@@ -202,7 +202,8 @@ def _across(apart: DataFrame, placed: DataFrame, reps: DataFrame, sets: DataFram
     queries = cut(apart.where("component <> largest").select("largest", "id", "component").distinct())
     members = placed.select("id", "component").distinct()
     wanted = members.groupBy("component").agg(F.count("*").alias("c")).join(queries.select(F.col("largest").alias("component")).distinct(), "component", "left_semi")
-    inside = spread_join(members, cut(wanted), ["component"], "c").select(F.col("component").alias("largest"), "id", "component")
+    wanted = cut(wanted)
+    inside = spread_join(members, wanted, ["component"], "c").select(F.col("component").alias("largest"), "id", "component")
     targets = cut(inside.unionByName(queries))
 
     def blocks(rows, name):
@@ -237,7 +238,9 @@ def _across(apart: DataFrame, placed: DataFrame, reps: DataFrame, sets: DataFram
         return pa.table({"a": pa.array(ids[0], pa.int64()), "b": pa.array(ids[1], pa.int64())})
 
     pairs = dealt(queries, "nq", "nt", "bq", "bt", "q_").cogroup(dealt(targets, "nt", "nq", "bt", "bq", "t_")).applyInArrow(match, "a long, b long")
-    return cut(pairs.distinct())
+    found = cut(pairs.distinct())
+    drop(queries, wanted, targets, number)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -255,16 +258,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     starred = members.join(centres, "key").where((F.col("id") != F.col("centre")) & _near("n", "n2", threshold))
     tried = cut(starred.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
     sets = cut(_sets(rows, members.select("id").distinct(), shingle))
-    links = _confirm(cut(_likely(tried, reps, threshold)), sets, threshold)
+    likely = cut(_likely(tried, reps, threshold))
+    links = _confirm(likely, sets, threshold)
+    drop(tried, likely)
 
     found = components(links)
     placed = cut(members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("x.component").alias("largest"))
-    links = links.unionByName(_across(placed.join(largest, "key"), placed, reps, sets, threshold))
+    across = _across(placed.join(largest, "key"), placed, reps, sets, threshold)
+    drop(members, sets, placed)
 
-    found = components(links)
+    found = components(links.unionByName(across))
+    drop(links, across)
     judged = cut(classes.select("n", "s1", "s2", "c", F.col("rep").alias("id")).join(found, "id", "left").select("n", "s1", "s2", "c", F.coalesce("component", "id").alias("component")))
+    drop(classes)
     some = spread_join(sketches.where("n > 0").select("id", "n", "s1", "s2"), judged, ["n", "s1", "s2"], "c").select("id", "n", "component")
     out = some.unionByName(sketches.where("n = 0").select("id", "n", F.col("id").alias("component")))
     given = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
