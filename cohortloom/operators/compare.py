@@ -17,9 +17,10 @@ from . import summaries
 def covariate_matrix(index: DataFrame, records: DataFrame, groups: list[str], low: int, high: int, date: str = "adate", code: str = "code") -> DataFrame:
     """Index rows with a 0/1 column for each group: whether it was recorded low to high days from index."""
     other = records.where(F.col(code).isin(groups)).select(F.col("patid").alias("p"), F.col(date).alias("d"), F.col(code).alias("g")).distinct()
-    joined = index.join(other, (F.col("patid") == F.col("p")) & days.within("d", "index_date", low, high), "left")
+    rows = index.withColumn("_row", F.monotonically_increasing_id())  # equal rows stay apart
+    joined = rows.join(other, (F.col("patid") == F.col("p")) & days.within("d", "index_date", low, high), "left")
     flags = [F.coalesce(F.max((F.col("g") == g).cast("int")), F.lit(0)).alias(g) for g in groups]
-    return joined.groupBy(*index.columns).agg(*flags)
+    return joined.groupBy(*index.columns, "_row").agg(*flags).drop("_row")
 
 
 def propensity(df: DataFrame, treat: str, covariates: list[str], regularisation: float = 0.0, steps: int = 25) -> DataFrame:

@@ -32,7 +32,8 @@ def first_outcome(index: DataFrame, outcomes: DataFrame, low: int, high: int, da
     cond = (F.col("patid") == F.col("p")) & days.within("d", "index_date", low, high)
     if "enr_end" in index.columns:
         cond = cond & (F.col("d") <= F.col("enr_end"))
-    return index.join(other, cond, "left").groupBy(*index.columns).agg(F.min("d").alias("outcome_date"))
+    rows = index.withColumn("_row", F.monotonically_increasing_id())  # equal rows stay apart
+    return rows.join(other, cond, "left").groupBy(*index.columns, "_row").agg(F.min("d").alias("outcome_date")).drop("_row")
 
 
 def count_outcomes(index: DataFrame, outcomes: DataFrame, low: int, high: int, blackout: int, date: str = "adate") -> DataFrame:

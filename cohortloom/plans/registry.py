@@ -131,11 +131,17 @@ def code_list(spark, sf_dir):
 # Cohorts
 
 
-@query(f"""SELECT s.patid, s.code, s.index_date, min(u.adate) AS outcome_date FROM starts s JOIN spans p ON s.patid = p.patid AND p.span_start <= s.index_date - 183 AND p.span_end >= s.index_date
-  LEFT JOIN urgent u ON u.patid = s.patid AND u.adate BETWEEN s.index_date + 1 AND s.index_date + 365 AND u.adate <= p.span_end GROUP BY 1, 2, 3""", f"{SPANS.format(where='', gap=45)}, {INDEX}, {URGENT}", dates="index_date outcome_date")
+FLAGSHIP = """SELECT s.patid, s.code, s.index_date, min(u.adate) AS outcome_date FROM starts s JOIN spans p ON s.patid = p.patid AND p.span_start <= s.index_date - 183 AND p.span_end >= s.index_date
+  LEFT JOIN urgent u ON u.patid = s.patid AND u.adate BETWEEN s.index_date + 1 AND s.index_date + 365 AND u.adate <= p.span_end GROUP BY 1, 2, 3"""
+
+
+@query(FLAGSHIP, f"{SPANS.format(where='', gap=45)}, {INDEX}, {URGENT}", dates="index_date outcome_date")
 def cohort_first_outcome(spark, sf_dir):
     """The flagship: clean starts of a brand with 183 days of coverage, and the first urgent order within a year."""
-    t = patients(spark, sf_dir)
+    return first_outcomes(patients(spark, sf_dir))
+
+
+def first_outcomes(t):
     index = cohort.require_enrollment(_starts(t), cohort.bridge_spans(t["enrollment"], 45), 183)
     return outcomes.first_outcome(index, _urgent(t), 1, 365).drop("enr_end")
 
@@ -570,6 +576,15 @@ def write_result(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(FLAGSHIP, f"{SPANS.format(where='', gap=45)}, {INDEX}, {URGENT}", dates="index_date outcome_date")
+def bucketed_tables(spark, sf_dir):
+    """The flagship on patient tables that were saved by patient."""
+    name = uuid.uuid4().hex
+    kept = {k: v for k, v in patients(spark, sf_dir).items() if k in ("dispensing", "enrollment", "diagnosis")}
+    sources.save_patient_tables(kept, f"patients_{name}_", f"{shared_dir(spark)}/patients-{name}")
+    return first_outcomes(sources.load_patient_tables(spark, f"patients_{name}_"))
+
+
 # Requests
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.shared import parts
+
 #: The declared columns of the tables that the cohort queries read.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -65,3 +67,23 @@ def write_result(result: DataFrame, path: str, by: list[str] | None = None) -> N
     """Write a result table as Parquet, partitioned by the given columns."""
     writer = result.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
+def save_patient_tables(tables: dict[str, DataFrame], prefix: str, directory: str, buckets: int | None = None) -> None:
+    """Tables of the patient model as Parquet tables ``<prefix><name>`` under directory, bucketed by patient where they have one.
+
+    Rows are dealt to buckets once, a task a bucket, so a bucket is one sorted file. Whatever groups, joins or
+    windows by patient afterwards reads its buckets where they lie, without an exchange, if all tables have as many.
+    """
+    for name, table in tables.items():
+        n = buckets or parts(table.sparkSession)
+        rows = table.repartition(n, "patid") if "patid" in table.columns else table
+        writer = rows.write.mode("overwrite").format("parquet").option("path", f"{directory}/{name}")
+        if "patid" in table.columns:
+            writer = writer.bucketBy(n, "patid").sortBy("patid")
+        writer.saveAsTable(f"{prefix}{name}")
+
+
+def load_patient_tables(spark: SparkSession, prefix: str) -> dict[str, DataFrame]:
+    """What ``save_patient_tables`` saved under this prefix, by name."""
+    return {t.name.removeprefix(prefix): spark.table(t.name) for t in spark.catalog.listTables() if t.name.startswith(prefix)}

@@ -53,3 +53,25 @@ def test_schema_is_checked(spark, tmp_path):
 def test_write_result(spark, tmp_path):
     tables.write_result(spark.createDataFrame([(1, "a"), (2, "b")], "n int, g string"), str(tmp_path / "out"), ["g"])
     assert spark.read.parquet(str(tmp_path / "out")).where("g = 'b'").first().n == 2
+
+
+def test_bucketed_tables_need_no_exchange(spark, tmp_path):
+    """Grouping, windows and joins by patient read the buckets where they lie; only the union in the enrolment test deals its rows again."""
+    kept = {k: v for k, v in registry.patients(spark, SF).items() if k in ("dispensing", "enrollment", "diagnosis", "tree")}
+    tables.save_patient_tables(kept, "test_layout_", str(tmp_path))
+    t = tables.load_patient_tables(spark, "test_layout_")
+    assert set(t) == set(kept) and t["tree"].count() == kept["tree"].count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        episodes = registry.cohort.treatment_episodes(registry.cohort.stockpile(registry.cohort.collapse_fills(t["dispensing"])), 30)
+        assert exchanges(episodes) == 0 and exchanges(registry.cohort.bridge_spans(t["enrollment"], 45)) == 0
+        assert exchanges(registry.outcomes.first_outcome(registry.cohort.incident(t["dispensing"], 183), t["diagnosis"], 1, 365)) == 0
+        assert exchanges(registry.first_outcomes(t)) == 1 < exchanges(registry.first_outcomes(kept))
+        assert registry.first_outcomes(t).count() == 1330
+        assert len(list((tmp_path / "dispensing").glob("*.parquet"))) <= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in kept:
+            spark.sql(f"DROP TABLE test_layout_{name}")
