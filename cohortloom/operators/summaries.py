@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,11 +13,25 @@ from . import outcomes
 
 
 def counts_by(df: DataFrame, strata_sets: list[list[str]]) -> DataFrame:
-    """Rows and patients for each of several sets of strata in one pass; strata not in a set are null; set: grouping id."""
+    """Rows and patients for each of several sets of strata in one pass; strata not in a set are null; grouping: its grouping id.
+
+    Rows are counted by patient and strata before the one large exchange, which brings a patient's strata together. They are few, so a
+    patient says itself in which cells of each set it counts, and no row is expanded or shuffled again for a set. A null patient is none.
+    """
     strata = list(dict.fromkeys(c for s in strata_sets for c in s))
-    sets = [[F.col(c) for c in s] for s in strata_sets]
-    grouped = df.groupingSets(sets, *strata)
-    return grouped.agg(F.grouping_id().cast("long").alias("grouping"), F.count("*").alias("n_rows"), F.count_distinct("patid").alias("n_patients"))
+    own = df.groupBy("patid", *strata).agg(F.count("*").alias("_n")).groupBy("patid").agg(F.collect_list(F.struct(*strata, "_n")).alias("_own"))
+    kinds = dict(df.dtypes)
+    is_patient = F.col("patid").isNotNull()
+
+    def cells(members: list[str]) -> Column:
+        grouping = sum(1 << (len(strata) - 1 - k) for k, c in enumerate(strata) if c not in members)
+        cell = lambda x: F.struct(F.lit(grouping).cast("long").alias("grouping"), *((x[c] if c in members else F.lit(None).cast(kinds[c])).alias(c) for c in strata))
+        found = F.transform("_own", cell)
+        first = lambda x, i: is_patient & (F.array_position(found, cell(x)) == i + 1)
+        return F.transform("_own", lambda x, i: F.struct(cell(x).alias("c"), x["_n"].alias("n"), first(x, i).cast("long").alias("p")))
+
+    rows = own.select(F.inline(F.flatten(F.array(*(cells(s) for s in strata_sets))))).select("c.*", "n", "p")
+    return rows.groupBy("grouping", *strata).agg(F.sum("n").alias("n_rows"), F.sum("p").alias("n_patients")).select(*strata, "grouping", "n_rows", "n_patients")
 
 
 def incidence_rate(df: DataFrame, strata: list[str], events: str = "event", person_days: str = "days") -> DataFrame:

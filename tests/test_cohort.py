@@ -461,3 +461,19 @@ def test_repeated_index_rows_stay(spark):
     r = records(spark, (1, "2000-01-05", "x"), (1, "2000-01-06", "x"))
     assert [d for d in sorted(str(x.outcome_date) for x in outcomes.first_outcome(ix, r, 0, 30).collect())] == ["2000-01-05", "2000-01-05", "None", "None"]
     assert sorted(x.x for x in compare.covariate_matrix(ix, r, ["x"], 0, 30).collect()) == [0, 0, 1, 1]
+
+
+def test_counts_by_sets_of_strata(spark):
+    """Null patients and strata; patients in several cells; the plan expands nothing."""
+    given = [(1, "a", 1), (1, "a", 1), (1, "a", 2), (1, "b", None), (2, "a", 1), (2, None, 1), (None, "a", 1), (None, "a", 2)]
+    df = spark.createDataFrame(given, "patid long, g string, k int")
+    sets = [["g", "k"], ["k"], ["g"], []]
+    got = {(r.grouping, r.g, r.k): (r.n_rows, r.n_patients) for r in summaries.counts_by(df, sets).collect()}
+    expected = {}
+    for grouping, s in enumerate(sets):
+        for cell in {tuple(r[1 + i] if c in s else None for i, c in enumerate(("g", "k"))) for r in given}:
+            own = [r for r in given if all(r[1 + i] == cell[i] for i, c in enumerate(("g", "k")) if c in s)]
+            expected[{0: 0, 1: 2, 2: 1, 3: 3}[grouping], *cell] = len(own), len({r[0] for r in own} - {None})
+    assert got == expected
+    assert "Expand" not in summaries.counts_by(df, sets)._jdf.queryExecution().executedPlan().toString()
+    assert summaries.counts_by(df.limit(0), sets).count() == 0
