@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .kit import cut, parts
 
@@ -121,7 +123,8 @@ class Blocks:
             self.back(after, start, stop, lambda place, c, segment=segment: segment.__setitem__(place, c.copy()))
             for place in range(start, stop):
                 self._pass(place, segment[place], segment[place + 1], state, events)
-        block, letter, at, after = (np.concatenate(x) if events else np.zeros(0, dtype=np.int64) for x in zip(*events)) if events else (np.zeros(0, dtype=np.int64),) * 4
+        events.append((np.zeros(0, dtype=np.int64),) * 4)
+        block, letter, at, after = (np.concatenate(x) for x in zip(*events))
         block = self.order[block]
         by = np.argsort(block, kind="stable")
         out = np.empty_like(state)
@@ -201,12 +204,6 @@ def _block(rows: dict, a: int, b: int) -> dict:
     }
 
 
-def _arrow(ddl_of: DataFrame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(ddl_of)
-
-
 def _cut_blocks(batches, schema: pa.Schema):
     """Blocks of the sorted rows of a partition. Conversations that begin or end it may go on elsewhere."""
     part, n, first_run, begun, pending = TaskContext.get().partitionId(), 0, True, False, None
@@ -351,8 +348,7 @@ def repair(rows: DataFrame) -> Repaired:
     order = [*CONV, *TURN, "role", "h"]
     skeleton = cut(_skeleton(keyed)).select(*order, "initial", "blank", "cut_off", "duplicate", "copies")
     sorted_rows = skeleton.repartitionByRange(parts(spark), *order).sortWithinPartitions(*order)
-    empty = lambda ddl: spark.createDataFrame([], ddl).schema
-    block_schema, edit_schema = _arrow(empty(_BLOCK)), _arrow(empty(_EDITED))
+    block_schema, edit_schema = (to_arrow_schema(T.StructType.fromDDL(ddl)) for ddl in (_BLOCK, _EDITED))
     blocks = cut(sorted_rows.mapInArrow(lambda batches: _cut_blocks(batches, block_schema), _BLOCK))
     shared = blocks.where(~F.col("alone"))
     which = "c0 boolean, c1 long, part int, n int"
