@@ -8,28 +8,41 @@ from pyspark.sql import functions as F
 from .kit import cut, drop
 
 
+#: Links from which one id may have so many that Spark splits a join on it; its own limit is 256 MB of a partition.
+SPLIT_LINKS = 1 << 22
+
+
+def _state(edges: DataFrame):
+    return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in links (a, b); component: the smallest id reachable.
 
     Each round is written to the shared folder; rounds grow with the logarithm of
-    the longest chain. Ids with many links are aggregated before the shuffle. What is joined to
-    the links, a row an id, is written first: Spark splits a join on a large id (spark.sql.adaptive.skewJoin)
+    the longest chain. Ids with many links are aggregated before the shuffle. From SPLIT_LINKS links on, what is joined to
+    them, a row an id, is written first: Spark splits a join on a large id (spark.sql.adaptive.skewJoin)
     only if neither side is an aggregate of the same stage.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
+    now = _state(edges)
     while True:
+        done = [edges]
+
+        def apart(df, large=now[0] >= SPLIT_LINKS, done=done):
+            if large:
+                done.append(df := cut(df))
+            return df
+
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = apart(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        lowest = apart(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        done = [edges, least, lowest]
         edges = cut(small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        before, now = now, _state(edges)
         drop(*done)
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             break
-        before = now
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)

@@ -262,12 +262,13 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_a_hub_is_split_over_tasks(spark):
+def test_a_hub_is_split_over_tasks(spark, monkeypatch):
     """One id with many links: each join with what is known of ids is split by size in the plan that runs."""
     few = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     before = {k: spark.conf.get(k, None) for k in few}
     for k, v in few.items():
         spark.conf.set(k, v)
+    monkeypatch.setattr(graph, "SPLIT_LINKS", 0)
     try:
         links = spark.range(1, 200_001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
         both = kit.cut(links)
