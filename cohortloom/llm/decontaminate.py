@@ -1,8 +1,16 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-Every n-gram of the test items is a seed, however many documents hold it, so an
-item that leaked widely still finds its partial and edited copies. Passages are
-joined to items on seeds. A pair goes on if the passage holds as many of the item's
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+The n-grams of the test items are counted in all documents first. An n-gram is a rare
+seed if joining on it gives no more pairs than there are documents: the documents that hold it,
+times its places in the items of a block. So an n-gram of one item is rare however
+often that item leaked, and partial and edited copies of it are found; phrases that many
+items and many documents hold are common. Of common ones, each ``STRETCH`` consecutive
+n-grams of an item keep the rarest, fewer in items so short that an unbroken part worth
+``min_score`` has fewer. So ``STRETCH + n - 1`` words in a row that a passage
+shares with an item always hold a seed, as does any unbroken part worth ``min_score``, of n words at
+least. What has neither a rare n-gram nor such a run in common with an item isn't paired with it.
+
+Passages are joined to items on seeds. A pair goes on if the passage holds as many of the item's
 words as any alignment of ``min_score`` must match, which loses nothing; then the
 item is aligned with the words around each seed. The best local alignment, over that
 of the item with itself, is the score, and the pair is returned if it reaches
@@ -10,7 +18,8 @@ of the item with itself, is the score, and the pair is returned if it reaches
 
 Items come to the tasks in blocks of at most ``BLOCK_ITEMS`` items and
 ``BLOCK_WORDS`` words, a pass over the documents for each block, so what is
-broadcast has a bound whatever the benchmark's size; seeds are looked up for
+broadcast has a bound whatever the benchmark's size (the counts come in another pass
+of the same kind, summed in the tasks first, a number a seed); seeds are looked up for
 ``HITS`` pairs of words and items at a time, one passage at least. A passage that a third of
 all documents hold costs each of them one alignment; nothing is grouped by it.
 
@@ -25,7 +34,7 @@ are ignored, and kept by ``clean``. Tables without rows give no pairs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +44,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .kit import ALNUM, Spans, lookup, per_row, ranges, row_of, slices, text_bytes, windows, word_spans
+from .kit import ALNUM, Spans, batch_of, lookup, per_row, ranges, row_of, slices, text_bytes, windows, word_spans
 
 N = 3
 MIN_SCORE = 0.5
 BLOCK_ITEMS = 20_000
 BLOCK_WORDS = 4_000_000
+#: Consecutive n-grams of an item, of which the rarest is a seed.
+STRETCH = 4
 #: Pairs of a passage's word and an item's that are held at once.
 HITS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -103,6 +114,60 @@ def _block(ids, items, n) -> Block:
     return Block(ids, items, seeds, np.append(first, len(by)), item[by], place[by], words, codes, starts)
 
 
+def _seed_hits(block: Block, hashes, first, n):
+    """Where n-grams that are seeds start in a slice, and which seeds they are."""
+    h, at = windows(hashes, first, n)
+    seed = lookup(block.seeds, h)
+    return at[seed >= 0], seed[seed >= 0]
+
+
+def _held(rows: DataFrame, block: Block, n: int) -> tuple[np.ndarray, int]:
+    """How many of the rows' texts hold each seed of the block, and how many rows there are."""
+    shared, width = rows.sparkSession.sparkContext.broadcast(block), len(block.seeds)
+
+    def run(batches):
+        counts = np.zeros(width + 1, dtype=np.int64)
+        for batch in slices(batches):
+            hashes, first = _hashes(batch.column("text"))
+            at, seed = _seed_hits(shared.value, hashes, first, n)
+            counts += np.bincount(np.unique(row_of(first)[at] * width + seed) % max(width, 1), minlength=width + 1)
+            counts[width] += batch.num_rows
+        some = np.flatnonzero(counts)
+        yield batch_of(pa.schema([("seed", pa.int32()), ("n", pa.int64())]), some.astype(np.int32), counts[some])
+
+    found = rows.select("text").mapInArrow(run, "seed int, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
+    counts = np.zeros(width + 1, dtype=np.int64)
+    counts[found["seed"].to_numpy()] = found["n"].to_numpy()
+    return counts[:width], int(counts[width])
+
+
+def _rare(block: Block, held: np.ndarray, docs: int, n: int, min_score: float) -> Block:
+    """The block with rare seeds and the rarest of each stretch; held: documents that hold each seed, of so many docs."""
+    places = np.diff(block.first)
+    seed = np.repeat(np.arange(len(places)), places)
+    keep = (held * places <= docs)[seed]
+    order = np.lexsort((block.place, block.item))
+    item, cost = block.item[order], held[seed[order]]
+    at = np.arange(len(order))
+    size = np.diff(block.starts)
+    stretch = np.clip(np.ceil(size * min_score).astype(np.int64) - n + 1, 1, STRETCH)[item]
+    rarest, whole = at.copy(), block.place[order] + stretch + n - 1 <= size[item]
+    for k in range(1, STRETCH):
+        other = np.minimum(at + k, len(at) - 1)
+        better = whole & (k < stretch) & (cost[other] < cost[rarest])
+        rarest[better] = other[better]
+    keep[order[rarest[whole]]] = True
+    left = np.bincount(seed[keep], minlength=len(places))
+    return replace(block, seeds=block.seeds[left > 0], first=np.append(0, np.cumsum(left[left > 0])), item=block.item[keep], place=block.place[keep])
+
+
+def _seeded(rows: DataFrame, ids, items, n: int, min_score: float) -> Block:
+    """A block with the seeds that are rare in the texts of rows."""
+    block = _block(ids, items, n)
+    return _rare(block, *_held(rows, block, n), n, min_score)
+
+
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of two word sequences: score, and the passage's words it spans.
 
@@ -150,9 +215,7 @@ def _likely(block: Block, held: np.ndarray, row, item, min_score) -> np.ndarray:
 
 def _pairs(block: Block, hashes, first, n, min_score):
     """(row, item, score, first word, end word) of a slice's passages; the best place for each row and item."""
-    h, at = windows(hashes, first, n)
-    seed = lookup(block.seeds, h)
-    at, seed = at[seed >= 0], seed[seed >= 0]
+    at, seed = _seed_hits(block, hashes, first, n)
     found: dict = {}
     if not len(at):
         return found
@@ -210,7 +273,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item_type = to_arrow_type(benchmark.schema[item_id].dataType)
     out = None
     for ids, items in blocks(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(_block(ids, items, n))
+        shared = docs.sparkSession.sparkContext.broadcast(_seeded(rows, ids, items, n, min_score))
 
         def run(batches, shared=shared):
             block = shared.value
@@ -231,9 +294,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int = N, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of docs that pair with no item, columns unchanged."""
-    names = docs.columns
+    names, rows = docs.columns, docs.select(F.col(text_col).alias("text"))
     for ids, items in blocks(benchmark, "item_id", "text"):
-        shared = docs.sparkSession.sparkContext.broadcast(_block(ids, items, n))
+        shared = docs.sparkSession.sparkContext.broadcast(_seeded(rows, ids, items, n, min_score))
 
         def run(batches, shared=shared):
             for batch in slices(batches, text_col):

@@ -371,6 +371,34 @@ def test_decontamination_equals_brute_force(make, spark):
     assert got == expected and len(got) > 40
 
 
+def test_seeds_are_rare(make, spark):
+    """Common n-grams are no seeds, but each run of STRETCH + n - 1 words of an item holds one; pairs are those of runs or rare n-grams."""
+    rng = random.Random(19)
+    common = "one of the most".split()
+    items = [[*words(rng, 6, 5000), *common, *words(rng, 6, 5000)] for _ in range(30)] + [common, common + ["here"]]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id int, text string")
+    pad = lambda: " ".join(words(rng, 20, 5000))
+    texts = [f"{pad()} {' '.join(common)} {pad()}" for _ in range(200)] + [" ".join(w) for w in items[:30]] + [" ".join(items[0])] * 400
+    docs = make([*texts, None, ""])
+    (ids, hashes), = decontaminate.blocks(benchmark, "item_id", "text")
+    block = decontaminate._block(ids, hashes, 3)
+    held, n = decontaminate._held(docs.select("text"), block, 3)
+    own = [t.lower().split() for t in texts]
+    grams = lambda w: {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    of = {decontaminate.windows(h, np.array([0, len(h)]), 3)[0][k]: tuple(x.lower() for x in w[k : k + 3]) for w, h in zip(items, hashes) for k in range(len(w) - 2)}
+    inside = [grams(w) for w in own]
+    assert n == len(texts) + 2 and held.tolist() == [sum(of[h] in g for g in inside) for h in block.seeds]
+    rare = decontaminate._rare(block, held, n, 3, 0.5)
+    kept = {(int(i), int(p)) for i, p in zip(rare.item, rare.place)}
+    assert all(h in of for h in rare.seeds) and len(rare.first) == len(rare.seeds) + 1 and (np.diff(rare.first) > 0).all()
+    assert [p for i, p in kept if i == 5] and not {(5, 6), (5, 7)} & kept and {(0, p) for p in (0, 1, 12, 13)} <= kept
+    for i, w in enumerate(items):
+        places, stretch = range(len(w) - 2), min(decontaminate.STRETCH, max(1, (len(w) + 1) // 2 - 2))
+        assert all({(i, q) for q in places[p : p + stretch]} & kept for p in range(len(places) - stretch + 1))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert {(200 + i, i) for i in range(30)} | {(d, 0) for d in range(230, 630)} | {(d, i) for d in range(630) for i in (30, 31)} == found
+
+
 def test_decontamination_by_items_without_id(make, spark):
     rng = random.Random(16)
     items = [" ".join(words(rng, 20, 5000)) for _ in range(3)]
