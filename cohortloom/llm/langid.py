@@ -3,10 +3,11 @@
 A known word is scored by its log frequency in each language; an unseen one by
 its longest character n-grams that are known, trying shorter ones until some
 are. The model is fitted on a sample of labelled texts, bounded by
-``sample_docs`` texts a language, and holds every word and n-gram of that sample that
-is among the ``max_words`` commonest words or ``max_grams`` n-grams of a language, so each
-language has its own share whatever its size. Frequencies are kept only where they
-are not 0, so the broadcast grows with languages times those shares.
+``sample_docs`` texts a language, and holds every word and n-gram of that sample, so the
+broadcast grows with languages times the words of ``sample_docs`` texts; frequencies are kept
+only where they are not 0. A smaller model is to be had by ``max_words`` and ``max_grams``, the
+numbers of commonest words and n-grams that each language keeps. Texts are drawn by a hash of id
+and text, so many texts of one id, or of none, are drawn apart.
 
 Besides the language, a text gets the probability that the words give it, and how
 well it fits: the share of its words that the model knows, with 1 over the root of their
@@ -33,8 +34,6 @@ from pyspark.sql import functions as F
 from .kit import ALPHA, Spans, batch_of, lookup, more, per_row, ranges, row_of, slices, text_bytes, word_spans
 
 SAMPLE_DOCS = 3000
-MAX_WORDS = 30_000
-MAX_GRAMS = 30_000
 LONGEST = 4
 UNKNOWN = "und"
 
@@ -92,16 +91,18 @@ def _counts(batches):
                 yield batch_of(schema, pa.array([names[k].as_py()] * len(keys), pa.string()), np.full(len(keys), n, np.int32), keys.view(np.int64), counts)
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """Fit on about sample_docs labelled texts of each language, chosen by a hash of the id."""
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, max_words: int | None = None, max_grams: int | None = None) -> Model:
+    """Fit on about sample_docs labelled texts of each language, chosen by a hash of id and text."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
     share = F.lit(float(sample_docs)) / F.col("docs")
-    drawn = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) < share * (1 << 20))
+    drawn = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("id", "text", F.lit("langid")), F.lit(1 << 20)) < share * (1 << 20))
     counted = drawn.select("text", "lang").mapInArrow(_counts, "lang string, n int, h long, c long").groupBy("lang", "n", "h").agg(F.sum("c").alias("c"))
-    word = F.col("n") == 0
-    nth = F.row_number().over(W.partitionBy("lang", word).orderBy(F.desc("c"), "n", "h"))
-    table = counted.withColumn("nth", nth).where(F.col("nth") <= F.when(word, max_words).otherwise(max_grams)).drop("nth").toArrow()
+    for most, level in ((max_words, F.col("n") == 0), (max_grams, F.col("n") > 0)):
+        if most is not None:
+            nth = F.row_number().over(W.partitionBy("lang", level).orderBy(F.desc("c"), "n", "h"))
+            counted = counted.withColumn("nth", nth).where(~level | (F.col("nth") <= most)).drop("nth")
+    table = counted.toArrow()
     languages = sorted(set(table["lang"].to_pylist()))
     code = np.searchsorted(np.array(languages, dtype=object), np.array(table["lang"].to_pylist(), dtype=object)) if languages else np.zeros(0, np.int64)
     n, h, c = (table[x].to_numpy() for x in ("n", "h", "c"))

@@ -11,7 +11,8 @@ by how far its share of toxic texts deviates from its share of all documents (``
 so that words that tell nothing have little say. Those shares come from all documents;
 only the texts that the risk is computed on are samples, of ``max_positive`` confirmed
 and ``max_unlabelled`` unlabelled texts, so the model and what reaches the driver are
-bounded.
+bounded. Texts are drawn by a hash of id and text, so one id of many texts is drawn like
+any other rows, and rows that agree in both enter a sample once. A null id is no confirmed one.
 
 Null and empty texts have no word and get the score of the bias alone. Words are
 runs of ASCII letters and characters outside ASCII, A-Z lower-cased. Without a
@@ -74,18 +75,19 @@ def _bins(batches):
         row, bins = _present(batch.column("text"))
         ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
         bins = bins.astype(np.uint32)
-        yield batch_of(pa.schema([("positive", pa.bool_()), ("bins", pa.binary())]), batch.column("positive"), [bins[a:b].tobytes() for a, b in zip(ends, ends[1:])])
+        yield batch_of(pa.schema([("draw", pa.int64()), ("positive", pa.bool_()), ("bins", pa.binary())]), batch.column("draw"), batch.column("positive"), [bins[a:b].tobytes() for a, b in zip(ends, ends[1:])])
 
 
 def _draw(docs: DataFrame, positives: DataFrame, max_positive: int, max_unlabelled: int) -> DataFrame:
-    """Texts of at most max_positive toxic documents and of max_unlabelled of all documents, by a hash of the id.
+    """At most max_positive texts of toxic documents and max_unlabelled of all documents, by a hash of id and text.
 
-    The unlabelled sample comes from all documents, so that its share of toxic ones is the prior. Ids alone are
-    drawn; the texts of the drawn ids, whose number is bounded, are found by a broadcast.
+    The unlabelled sample comes from all documents, so that its share of toxic ones is the prior. Hashes alone are
+    drawn; their texts are found by a broadcast of these, whose number is bounded, and equal rows of a hash become one.
     """
-    ids = docs.select("id", F.xxhash64("id", F.lit("toxicity")).alias("draw"))
-    drawn = [found.orderBy("draw", "id").limit(most).select("id", F.lit(kind).alias("positive")).distinct() for kind, found, most in ((True, ids.join(positives.distinct(), "id", "left_semi"), max_positive), (False, ids, max_unlabelled))]
-    return docs.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]))), "id").select("text", "positive")
+    rows = docs.select("*", F.xxhash64("id", "text", F.lit("toxicity")).alias("draw"))
+    toxic = rows.select("id", "draw").join(positives.distinct(), "id", "left_semi")
+    drawn = [found.select("draw").distinct().orderBy("draw").limit(most).withColumn("positive", F.lit(kind)) for kind, found, most in ((True, toxic, max_positive), (False, rows, max_unlabelled))]
+    return rows.join(F.broadcast(cut(drawn[0].unionByName(drawn[1]))), "draw").groupBy("draw", "positive").agg(F.any_value("text").alias("text"))
 
 
 def scales(p: np.ndarray, n_p: int, u: np.ndarray, n_u: int) -> np.ndarray:
@@ -98,7 +100,8 @@ def scales(p: np.ndarray, n_p: int, u: np.ndarray, n_u: int) -> np.ndarray:
 def fit(docs: DataFrame, positives: DataFrame, prior: float, text_col: str = "text", id_col: str = "doc_id", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Fit on docs; positives holds the ids (id_col) of confirmed toxic ones, all others count as unlabelled. prior: between 0 and 1."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    table = _draw(rows, positives.select(F.col(id_col).alias("id")), max_positive, max_unlabelled).mapInArrow(_bins, "positive boolean, bins binary").toArrow()
+    table = _draw(rows, positives.select(F.col(id_col).alias("id")), max_positive, max_unlabelled).mapInArrow(_bins, "draw long, positive boolean, bins binary").toArrow()
+    table = table.sort_by([("positive", "ascending"), ("draw", "ascending")])  # sums of a rerun agree
     y = table["positive"].to_numpy(zero_copy_only=False).astype(bool)
     if not y.any() or y.all():
         return Model(np.zeros(BINS, dtype=np.float32), float(np.log(prior / (1 - prior))))

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortloom.llm import kit, langid, licenses, repetition, secrets, toxicity
+from cohortloom.llm import kit, langid, licenses, queries, repetition, secrets, toxicity
 
 from .conftest import words
 
@@ -149,6 +149,40 @@ def test_each_language_has_its_own_share_of_the_model(make):
     assert langid.identify(make(["rara avis"]), model).first().lang_pred == "la" and len(model.levels[0].keys) == 7
 
 
+def test_all_words_of_the_sample_are_known(make, monkeypatch):
+    """No word of the sample is cut; texts of one id, or of none, are drawn apart; equal rows are drawn together."""
+    rng = random.Random(12)
+    letters = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(4))
+    model = langid.fit(make([(i, " ".join(letters(i * 1000 + k) for k in range(1000)), "en", "s") for i in range(40)]))
+    assert len(model.levels[0].keys) == 40_000
+    for same in (5, None):
+        drawn = langid.fit(make([(same, letters(i), "en", "s") for i in range(4000)]), sample_docs=1000)
+        assert 850 < len(drawn.levels[0].keys) < 1150
+
+
+def test_null_ids_are_in_no_fold(make):
+    got = make([(None, "a"), *((i, "b") for i in range(40))]).select("doc_id", queries._held_out(5, 0).alias("held_out")).collect()
+    assert [r.held_out for r in got if r.doc_id is None] == [False] and {r.held_out for r in got} == {True, False}
+
+
+def test_sample_of_toxic_texts_is_bounded_in_rows(make):
+    """An id of very many rows, toxic or not, brings no more texts than the limits."""
+    rows = [(7, f"vile word{i}") for i in range(3000)] + [(i + 10, f"calm word{i}") for i in range(300)] + [(None, "same text")] * 500 + [(None, None)]
+    docs = make(rows)
+    ids = docs.select(F.col("doc_id").alias("id"), "text")
+    positives = docs.where("doc_id in (7, 8)").select(F.col("doc_id").alias("id"))
+    drawn = toxicity._draw(ids, positives, 20, 5000).collect()
+    toxic = [r.text for r in drawn if r.positive]
+    rest = [r.text for r in drawn if not r.positive]
+    assert len(toxic) == 20 and all(t.startswith("vile") for t in toxic)
+    assert len(rest) == len(set(rest)) == 3302 and {None, "same text"} <= set(rest)
+    assert sum(not r.positive for r in toxicity._draw(ids, positives, 20, 50).collect()) == 50
+    a, b = (toxicity.fit(d, positives.withColumnRenamed("id", "doc_id"), 0.3) for d in (docs, docs.repartition(7)))
+    assert np.array_equal(a.weights, b.weights) and a.bias == b.bias
+    scored = {(r.doc_id, r.text): r.score for r in toxicity.score(docs, a).collect()}
+    assert min(s for (i, _), s in scored.items() if i == 7) > max(s for (i, _), s in scored.items() if i != 7)
+
+
 def test_toxicity(make, odd_texts, clashing):
     rng = random.Random(2)
     bad = ["vile", "scum", "moron"]
