@@ -19,6 +19,9 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
+#: Bytes of lineitem's files from which fills are dealt into shares, and those of a share (some 300,000 fills).
+WHOLE_BYTES, PART_BYTES = 1 << 26, 1 << 22
+
 
 def read_tables(spark: SparkSession, directory: str, names=tuple(SCHEMAS)) -> dict[str, DataFrame]:
     """Tables by name; a column that is missing or has another type than declared is an error. Further columns are dropped."""
@@ -34,10 +37,31 @@ def read_tables(spark: SparkSession, directory: str, names=tuple(SCHEMAS)) -> di
     return found
 
 
+def stored_bytes(table: DataFrame) -> int:
+    """Bytes of the files that table is read from; 0 if it is read from none."""
+    jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in table.inputFiles()]
+    return sum(f.getFileSystem(conf).getFileStatus(f).getLen() for f in files)
+
+
 def to_patient_tables(tables: dict[str, DataFrame], code: str = "p_brand") -> dict[str, DataFrame]:
-    """The patient model from order data; code: the part column that a fill's code is."""
+    """The patient model from order data; code: the part column that a fill's code is.
+
+    From WHOLE_BYTES of lineitem on, fills are dealt by patient into shares of PART_BYTES of it, and before that by order. Left to itself,
+    Spark merges its shuffle partitions until there is about one a core, so that a task's sorts and tables grow with the input.
+    Whatever groups or windows fills by patient runs in these shares without another exchange.
+    """
     orders = tables["orders"].withColumn("day", F.to_date("o_orderdate"))
-    lines = tables["lineitem"].join(orders.select("o_orderkey", "o_custkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
+    held = stored_bytes(tables["lineitem"])
+    shares = max(parts(orders.sparkSession), -(-held // PART_BYTES))
+
+    def dealt(rows, key):
+        return rows.repartition(shares, key) if held >= WHOLE_BYTES else rows
+
+    placed = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    lines = tables["lineitem"].join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    coded = tables["lineitem"].join(tables["part"].select("p_partkey", code), F.col("l_partkey") == F.col("p_partkey"))
+    fills = dealt(coded, "l_orderkey").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     places = tables["nation"].join(tables["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     people = tables["customer"].join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     patid = F.col("o_custkey").alias("patid")
@@ -46,7 +70,7 @@ def to_patient_tables(tables: dict[str, DataFrame], code: str = "p_brand") -> di
     return {
         "demographic": people.select(F.col("c_custkey").alias("patid"), F.expr("date_add(date'1930-01-01', cast(c_custkey * 37 % 18000 as int))").alias("birth_date"), F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("sex"), F.col("r_name").alias("site"), F.col("c_mktsegment").alias("segment")),
         "enrollment": orders.select(patid, F.col("day").alias("enr_start"), F.date_add("day", 179).alias("enr_end"), F.lit(True).alias("medcov"), (F.col("o_orderstatus") != "P").alias("drugcov")),
-        "dispensing": lines.join(tables["part"].select("p_partkey", code), F.col("l_partkey") == F.col("p_partkey")).select(patid, F.to_date("l_shipdate").alias("rxdate"), F.col(code).alias("code"), F.col("l_quantity").cast("int").alias("rxsup")),
+        "dispensing": dealt(fills.select(patid, F.to_date("l_shipdate").alias("rxdate"), F.col(code).alias("code"), F.col("l_quantity").cast("int").alias("rxsup")), "patid"),
         "encounter": orders.select(*seen),
         "diagnosis": orders.select(*seen, F.col("o_orderpriority").alias("dx"), F.when(F.col("o_orderstatus") == "F", "P").otherwise("S").alias("pdx")),
         "procedure": lines.select(patid, F.to_date("l_shipdate").alias("adate"), F.col("l_orderkey").alias("encounterid"), F.col("o_orderstatus").alias("enctype"), F.col("l_returnflag").alias("px")),

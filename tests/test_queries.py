@@ -75,3 +75,16 @@ def test_bucketed_tables_need_no_exchange(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for name in kept:
             spark.sql(f"DROP TABLE test_layout_{name}")
+
+
+def test_fills_are_dealt_into_shares_of_the_input(spark, duck, monkeypatch):
+    """A task's part of a patient's fills follows PART_BYTES and not the input; results are the same."""
+    lineitem = tables.read_tables(spark, SF, ("lineitem",))["lineitem"]
+    assert tables.stored_bytes(lineitem) == os.path.getsize(f"{SF}/lineitem.parquet") and tables.stored_bytes(spark.range(3)) == 0
+    monkeypatch.setattr(tables, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(tables, "PART_BYTES", tables.stored_bytes(lineitem) // 9)
+    for name, found in (("treatment_episodes", registry._episodes), ("switching", registry._episodes), ("first_outcome", registry._starts)):
+        assert found(registry.patients(spark, SF)).rdd.getNumPartitions() >= 9
+        test_query_equals_sql(spark, duck, name)
+    for name in ("truncate_at", "concomitant", "pregnancy_episodes", "request_rates"):
+        test_query_equals_sql(spark, duck, name)
