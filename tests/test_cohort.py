@@ -12,7 +12,7 @@ from hypothesis import settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortloom.functions import days, matching, order
+from cohortloom.functions import days, matching, order, spans as overlaps
 from cohortloom.operators import cohort, compare, outcomes, summaries
 from cohortloom.sources import tables
 
@@ -477,3 +477,14 @@ def test_counts_by_sets_of_strata(spark):
     assert got == expected
     assert "Expand" not in summaries.counts_by(df, sets)._jdf.queryExecution().executedPlan().toString()
     assert summaries.counts_by(df.limit(0), sets).count() == 0
+
+
+def test_overlaps_place_rows_on_levels_that_the_other_side_has(spark):
+    """Short intervals meet short ones in one or two buckets each; a long one brings back its level."""
+    short = spark.createDataFrame([(1, D("2000-01-01") + timedelta(k), D("2000-01-10") + timedelta(k)) for k in range(100)], "patid long, s date, e date")
+    for end, most in ((D("2000-02-01"), 200), (D("2010-01-01"), 310), (D("9999-12-31"), 310)):
+        a = spark.createDataFrame([(1, D("2000-01-05"), end)], "patid long, start_date date, end_date date")
+        met = overlaps._levelled(a, "start_date", "end_date", "_level_a").agg(F.collect_set("_level_a").alias("_met"))
+        assert overlaps._spread(overlaps._levelled(short, "s", "e", "_level_b"), "s", "e", "_level_b", met).count() <= most
+        assert overlaps.overlapping(a, short, ("start_date", "end_date"), ("s", "e")).count() == short.where((F.col("s") <= F.lit(end)) & (F.col("e") >= F.lit(D("2000-01-05")))).count()
+    assert overlaps.overlapping(a.limit(0), short, ("start_date", "end_date"), ("s", "e")).count() == 0
