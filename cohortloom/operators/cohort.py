@@ -200,7 +200,7 @@ def attrition(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
 def truncate_at(episodes: DataFrame, other: DataFrame) -> DataFrame:
     """Episodes end the day before the first other one that starts after their own start, if that is earlier."""
     starts = other.select(F.col("patid").alias("p"), F.col("start_date").alias("s")).distinct()
-    key = ["patid", "code", "start_date", "end_date"]
-    cut = episodes.join(starts, (F.col("patid") == F.col("p")) & (F.col("s") > F.col("start_date")) & (F.col("s") <= F.col("end_date"))).groupBy(*key).agg(F.min("s").alias("cut"))
-    joined = episodes.join(cut, key, "left")
+    cond = (F.col("patid") == F.col("p")) & (F.col("s") > F.col("start_date")) & (F.col("s") <= F.col("end_date"))
+    rows = episodes.withColumn("_row", F.monotonically_increasing_id())  # equal rows stay apart
+    joined = rows.join(starts, cond, "left").groupBy(*episodes.columns, "_row").agg(F.min("s").alias("cut")).drop("_row")
     return joined.withColumn("truncated", F.col("cut").isNotNull()).withColumn("end_date", F.coalesce(F.date_sub("cut", 1), "end_date")).drop("cut")

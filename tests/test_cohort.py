@@ -479,6 +479,15 @@ def test_counts_by_sets_of_strata(spark):
     assert summaries.counts_by(df.limit(0), sets).count() == 0
 
 
+def test_truncate_at_keeps_equal_rows_apart_and_cuts_without_a_code(spark):
+    given = [(1, None, D("2000-01-01"), D("2000-01-31")), (1, "a", D("2000-01-01"), D("2000-01-31")), (1, "a", D("2000-01-01"), D("2000-01-31")), (None, "a", D("2000-01-01"), D("2000-01-31")), (1, "c", D("2000-01-10"), D("2000-01-12"))]
+    e = spark.createDataFrame(given, "patid long, code string, start_date date, end_date date")
+    other = spark.createDataFrame([(1, D("2000-01-20")), (1, D("2000-01-10")), (1, D("2000-01-01")), (None, D("2000-01-10"))], "patid long, start_date date")
+    got = sorted(map(str, (tuple(r) for r in cohort.truncate_at(e, other).select("patid", "code", F.col("end_date").cast("string"), "truncated").collect())))
+    cut = "'2000-01-09', True"
+    assert got == sorted([f"(1, None, {cut})", f"(1, 'a', {cut})", f"(1, 'a', {cut})", "(None, 'a', '2000-01-31', False)", "(1, 'c', '2000-01-12', False)"])
+
+
 def test_overlaps_place_rows_on_levels_that_the_other_side_has(spark):
     """Short intervals meet short ones in one or two buckets each; a long one brings back its level."""
     short = spark.createDataFrame([(1, D("2000-01-01") + timedelta(k), D("2000-01-10") + timedelta(k)) for k in range(100)], "patid long, s date, e date")
