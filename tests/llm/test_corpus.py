@@ -568,3 +568,33 @@ def test_queries_on_tables(spark):
     assert held.where("lang_pred = lang").count() / held.where("lang is not null").count() > 0.97
     held = queries.op1_toxicity(spark, "/root/testdata/sf0.01").where("held_out").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     assert held.where("predicted = toxic").count() / held.count() > 0.93
+
+
+def test_components_take_few_shuffles_below_the_limit(spark, monkeypatch):
+    """A thread of the driver stays for each shuffle of the last minute; both forms of a round give the same."""
+    import random
+
+    from cohortloom.llm import graph
+
+    rng = random.Random(3)
+    pairs = [(0, k) for k in range(1, 60)] + [(k, k + 1) for k in range(100, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    number = spark.sparkContext._jsc.sc().newShuffleId
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+    used = {}
+    for limit in (1 << 22, 0):
+        monkeypatch.setattr(graph, "SPLIT_LINKS", limit)
+        began = number()
+        got = {r.id: r.component for r in graph.components(links).collect()}
+        used[limit] = number() - began
+        assert got == {x: root(x) for x in parent}
+    assert 3 * used[1 << 22] <= 2 * used[0]
