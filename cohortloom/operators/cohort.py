@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 from ..functions import days, greedy, spans
 
 
-def match_codes(records: DataFrame, codes: DataFrame, code: str = "code") -> DataFrame:
+def _matches(kinds: DataFrame, codes: DataFrame, code: str) -> DataFrame:
+    """Distinct codes of kinds with each entry of the code list that they match."""
+    kinds = kinds.select(code).distinct()
+    exact = kinds.join(codes.where("match = 'exact'"), F.col(code) == F.col("pattern"))
+    return exact.unionByName(kinds.join(codes.where("match = 'like'"), F.like(F.col(code), F.col("pattern"))))
+
+
+def match_codes(records: DataFrame, codes: DataFrame, code: str = "code", kinds: DataFrame | None = None) -> DataFrame:
     """Records with the group (``grp``) of each code-list entry they match, once a group.
 
-    Patterns meet the distinct codes only; records then join those by equality.
+    Patterns meet the distinct codes only; records then join those by equality where they lie, as the codes that match are broadcast.
     Care setting and principal flag of an entry hold where records have them.
+    kinds: a table whose column code has every code of records (others do no harm), where it costs less to read than they do.
     """
-    kinds = records.select(code).distinct()
-    exact = kinds.join(codes.where("match = 'exact'"), F.col(code) == F.col("pattern"))
-    like = kinds.join(codes.where("match = 'like'"), F.like(F.col(code), F.col("pattern")))
     settings = F.collect_set(F.struct(F.coalesce("enctype", F.lit("*")).alias("enctype"), F.coalesce("pdx", F.lit("*")).alias("pdx")))
-    matched = exact.unionByName(like).groupBy(F.col(code).alias("_code"), "grp").agg(settings.alias("_settings"))
+    matched = _matches(records if kinds is None else kinds, codes, code).groupBy(F.col(code).alias("_code"), "grp").agg(settings.alias("_settings"))
 
     def allowed(setting):
         out = F.lit(True)
@@ -31,7 +36,13 @@ def match_codes(records: DataFrame, codes: DataFrame, code: str = "code") -> Dat
             out = out & ((setting[name] == "*") | (setting[name] == F.col(name)))
         return out
 
-    return records.join(matched, F.col(code) == F.col("_code")).where(F.exists("_settings", allowed)).drop("_code", "_settings")
+    return records.join(F.broadcast(matched), F.col(code) == F.col("_code")).where(F.exists("_settings", allowed)).drop("_code", "_settings")
+
+
+def listed(records: DataFrame, codes: DataFrame, code: str = "code") -> DataFrame:
+    """Records whose code an entry of the code list matches in some setting."""
+    known = _matches(records, codes, code).select(F.col(code).alias("_known")).distinct()
+    return records.join(F.broadcast(known), F.col(code) == F.col("_known"), "left_semi")
 
 
 def care_setting(records: DataFrame, enctype: str | None = None, pdx: str | None = None) -> DataFrame:
@@ -59,14 +70,31 @@ def intersect_spans(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("patid", F.greatest("span_start", "s").alias("span_start"), F.least("span_end", "e").alias("span_end"))
 
 
-def require_enrollment(index: DataFrame, bridged: DataFrame, days_before: int) -> DataFrame:
+def intersect_bridged(a: DataFrame, b: DataFrame, shares: int | None = None) -> DataFrame:
+    """``intersect_spans`` of tables whose spans are disjoint, as ``bridge_spans`` makes them, without a join.
+
+    Of two spans that meet, the later one starts inside the other, which is then the last of its table that has started. So spans of both are
+    sorted together by day. shares: how many partitions by patient the spans are dealt into.
+    """
+    span, none = F.struct("span_start", "span_end"), F.lit(None).cast("struct<span_start:date,span_end:date>")
+    given = [t.where(F.col("patid").isNotNull() & (F.col("span_start") <= F.col("span_end"))) for t in (a, b)]
+    both = given[0].select("patid", "span_start", span.alias("_a"), none.alias("_b")).unionByName(given[1].select("patid", "span_start", none.alias("_a"), span.alias("_b")))
+    upto = W.partitionBy("patid").orderBy("span_start", F.col("_a").isNull()).rowsBetween(W.unboundedPreceding, 0)
+    dealt = both if shares is None else both.repartition(shares, "patid")
+    last = dealt.select("patid", *(F.last(c, ignorenulls=True).over(upto).alias(c) for c in ("_a", "_b"))).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    found = last.select("patid", F.greatest("_a.span_start", "_b.span_start").alias("span_start"), F.least("_a.span_end", "_b.span_end").alias("span_end"))
+    return found.where(F.col("span_start") <= F.col("span_end"))
+
+
+def require_enrollment(index: DataFrame, bridged: DataFrame, days_before: int, shares: int | None = None) -> DataFrame:
     """Index rows inside one bridged span that began at least days_before days earlier; the span's end as enr_end.
 
     Those spans are disjoint, as ``bridge_spans`` makes them, so only the last one that began by the index date can hold it: index rows and
-    spans are sorted together by day, and no row meets a patient's other spans.
+    spans are sorted together by day, and no row meets a patient's other spans. shares: how many partitions by patient they are dealt into.
     """
     began = bridged.where(F.col("patid").isNotNull()).select("patid", F.col("span_start").alias("_day"), F.struct("span_start", "span_end").alias("_span"))
     both = index.where(F.col("patid").isNotNull()).withColumn("_day", F.col("index_date")).unionByName(began, allowMissingColumns=True)
+    both = both if shares is None else both.repartition(shares, "patid")
     upto = W.partitionBy("patid").orderBy(F.col("_day"), F.col("_span").isNull()).rowsBetween(W.unboundedPreceding, 0)
     held = both.withColumn("_last", F.last("_span", ignorenulls=True).over(upto)).where(F.col("_span").isNull())
     inside = held.where((F.col("_last.span_start") <= F.date_sub("index_date", days_before)) & (F.col("_last.span_end") >= F.col("index_date")))
@@ -154,8 +182,12 @@ def apply_windows(index: DataFrame, records: DataFrame, rules: list[dict], date:
 
 def age_at(index: DataFrame, demographic: DataFrame, cuts: list[int]) -> DataFrame:
     """Index rows with age and age band."""
-    joined = index.join(demographic.select("patid", "birth_date"), "patid").withColumn("age", days.age("birth_date", "index_date"))
-    return joined.withColumn("age_band", days.band("age", cuts)).drop("birth_date")
+    return with_age(index.join(demographic.select("patid", "birth_date"), "patid"), cuts)
+
+
+def with_age(index: DataFrame, cuts: list[int]) -> DataFrame:
+    """The same of index rows that have birth_date, which goes."""
+    return index.withColumn("age", days.age("birth_date", "index_date")).withColumn("age_band", days.band("age", cuts)).drop("birth_date")
 
 
 def entry_first(index: DataFrame) -> DataFrame:

@@ -85,6 +85,12 @@ def patients(spark, sf_dir, code="p_brand"):
     return sources.to_patient_tables(sources.read_tables(spark, sf_dir), code)
 
 
+def listed_patients(spark, sf_dir, codes):
+    """The patient model of requests with this code list: fills of other codes go before they are joined and dealt."""
+    raw = sources.read_tables(spark, sf_dir)
+    return sources.to_patient_tables(raw | {"part": cohort.listed(raw["part"], codes, "p_brand")})
+
+
 def _urgent(t):
     return t["diagnosis"].where("dx = '1-URGENT'").select("patid", "adate")
 
@@ -150,7 +156,8 @@ def first_outcomes(t):
   SELECT patid, CASE WHEN code LIKE 'Brand#1%' THEN 'ones' END AS grp FROM dispensing UNION ALL SELECT patid, CASE WHEN code = 'Brand#23' THEN 'single' END FROM dispensing UNION ALL SELECT patid, CASE WHEN code LIKE 'Brand#_5' OR code = 'Brand#5' THEN 'fives' END FROM dispensing) WHERE grp IS NOT NULL GROUP BY 1""", longs="n n_patients")
 def match_codes(spark, sf_dir):
     codes = sources.code_list(spark, [("ones", "Brand#1%", "like"), ("single", "Brand#23", "exact"), ("fives", "Brand#_5", "like"), ("fives", "Brand#5", "exact")])
-    return cohort.match_codes(patients(spark, sf_dir)["dispensing"], codes).groupBy("grp").agg(F.count("*").alias("n"), F.count_distinct("patid").alias("n_patients"))
+    t = listed_patients(spark, sf_dir, codes)
+    return cohort.match_codes(t["dispensing"], codes, kinds=t["drugs"]).groupBy("grp").agg(F.count("*").alias("n"), F.count_distinct("patid").alias("n_patients"))
 
 
 @query("SELECT dx, count(*) AS n FROM diagnosis WHERE enctype = 'F' AND pdx = 'P' GROUP BY 1", longs="n")
@@ -627,4 +634,5 @@ SELECT sex, sum(CASE WHEN ended = outcome_date THEN 1 ELSE 0 END) AS n_events, s
 @query(" UNION ALL ".join(f"({_request_sql(name, s)})" for name, s in SCENARIOS.items()), longs="n_events person_days", doubles="rate low high")
 def request_rates(spark, sf_dir):
     """Whole requests: starters of two groups of brands under three scenarios, urgent orders as outcome."""
-    return run_requests(patients(spark, sf_dir), SCENARIOS, sources.code_list(spark, CODES))["rates"]
+    codes = sources.code_list(spark, CODES)
+    return run_requests(listed_patients(spark, sf_dir, codes), SCENARIOS, codes)["rates"]

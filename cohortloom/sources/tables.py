@@ -71,6 +71,7 @@ def to_patient_tables(tables: dict[str, DataFrame], code: str = "p_brand") -> di
         "demographic": people.select(F.col("c_custkey").alias("patid"), F.expr("date_add(date'1930-01-01', cast(c_custkey * 37 % 18000 as int))").alias("birth_date"), F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("sex"), F.col("r_name").alias("site"), F.col("c_mktsegment").alias("segment")),
         "enrollment": orders.select(patid, F.col("day").alias("enr_start"), F.date_add("day", 179).alias("enr_end"), F.lit(True).alias("medcov"), (F.col("o_orderstatus") != "P").alias("drugcov")),
         "dispensing": dealt(fills.select(patid, F.to_date("l_shipdate").alias("rxdate"), F.col(code).alias("code"), F.col("l_quantity").cast("int").alias("rxsup")), "patid"),
+        "drugs": tables["part"].select(F.col(code).alias("code")),
         "encounter": orders.select(*seen),
         "diagnosis": orders.select(*seen, F.col("o_orderpriority").alias("dx"), F.when(F.col("o_orderstatus") == "F", "P").otherwise("S").alias("pdx")),
         "procedure": lines.select(patid, F.to_date("l_shipdate").alias("adate"), F.col("l_orderkey").alias("encounterid"), F.col("o_orderstatus").alias("enctype"), F.col("l_returnflag").alias("px")),
@@ -93,15 +94,17 @@ def write_result(result: DataFrame, path: str, by: list[str] | None = None) -> N
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def save_patient_tables(tables: dict[str, DataFrame], prefix: str, directory: str, buckets: int | None = None) -> None:
+def save_patient_tables(tables: dict[str, DataFrame], prefix: str, directory: str, buckets: int | None = None, dealt: bool = False) -> None:
     """Tables of the patient model as Parquet tables ``<prefix><name>`` under directory, bucketed by patient where they have one.
 
+    dealt: tables lie by patient in that many partitions already and are not dealt again.
+
     Rows are dealt to buckets once, a task a bucket, so a bucket is one sorted file. Whatever groups, joins or
     windows by patient afterwards reads its buckets where they lie, without an exchange, if all tables have as many.
     """
     for name, table in tables.items():
         n = buckets or parts(table.sparkSession)
-        rows = table.repartition(n, "patid") if "patid" in table.columns else table
+        rows = table.repartition(n, "patid") if "patid" in table.columns and not dealt else table
         writer = rows.write.mode("overwrite").format("parquet").option("path", f"{directory}/{name}")
         if "patid" in table.columns:
             writer = writer.bucketBy(n, "patid").sortBy("patid")

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from cohortloom.plans import registry
+from cohortloom.plans import registry, scenario
 from cohortloom.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -88,3 +88,31 @@ def test_fills_are_dealt_into_shares_of_the_input(spark, duck, monkeypatch):
         test_query_equals_sql(spark, duck, name)
     for name in ("truncate_at", "concomitant", "pregnancy_episodes", "request_rates"):
         test_query_equals_sql(spark, duck, name)
+
+
+def test_scenarios_work_where_the_buckets_of_a_request_lie(spark, monkeypatch):
+    """A scenario deals its index rows by patient and nothing else, and the shares of a request follow the input."""
+    monkeypatch.setattr(scenario, "SHARE_BYTES", 1 << 14)
+    codes = tables.code_list(spark, registry.CODES)
+    t = registry.listed_patients(spark, SF, codes)
+    assert {r.code[:7] for r in t["dispensing"].select("code").distinct().collect()} == {"Brand#1", "Brand#2"}
+    shared = scenario.prepare(t, list(registry.SCENARIOS.values()), codes)
+    assert shared.shares == -(-tables.stored_bytes(t["dispensing"]) // (1 << 14)) > 4
+    assert not shared.fills.groupBy("patid", "code", "rxdate").count().where("count > 1").count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scenario.follow(shared, registry.SCENARIOS["all starts"])._jdf.queryExecution().executedPlan().toString()
+        assert "ENSURE_REQUIREMENTS" not in plan and "hashpartitioning(patid#" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bridged_spans_meet_as_joined_ones(spark):
+    enrolled = registry.patients(spark, SF)["enrollment"]
+    a, b = (registry.cohort.bridge_spans(enrolled.where(f"day(enr_start) % 3 = {k}"), 20 * k) for k in (0, 1))
+    rows = lambda df: sorted(map(tuple, df.select("patid", "span_start", "span_end").collect()))
+    assert rows(registry.cohort.intersect_bridged(a, b, 3)) == rows(registry.cohort.intersect_spans(a, b)) != []
+    assert rows(registry.cohort.intersect_bridged(a, a)) == rows(a)
+    again = registry.cohort.bridge_spans(a.withColumnsRenamed({"span_start": "enr_start", "span_end": "enr_end"}), 90)
+    assert rows(again) == rows(registry.cohort.bridge_spans(enrolled.where("day(enr_start) % 3 = 0"), 90))
